@@ -319,4 +319,135 @@ def build() -> dict[str, str]:
       FROM (SELECT *, CASE WHEN PAY_0 <= 0 THEN 'ontime' WHEN PAY_0 = 1 THEN 'late1'
         ELSE 'late2plus' END AS seg FROM dev) x
       LEFT JOIN (VALUES ('ontime', 0.3), ('late1', 0.55)) c(s, t) ON c.s = x.seg""")
+    build_more(q)
     return q
+
+
+def _devf(groups=CHOSEN, src="dev", name="devf") -> str:
+    eng = ", ".join(f"{e} AS {n}" for n, e in engineered(groups))
+    return f"{name} AS (SELECT *{', ' + eng if eng else ''} FROM (SELECT {folded_cols()} FROM {src}) z)"
+
+
+def _best_a_cut() -> str:
+    return f"""sa AS (SELECT ID, label, {_sa()} AS proba FROM dev),
+    cva AS (SELECT g.i, g.t, {_cm('s.proba >= g.t', 's.label')} FROM sa s, grid g GROUP BY g.i, g.t),
+    bca AS (SELECT t FROM cva ORDER BY {f1('tp', 'fp', 'fn', 'tn')} DESC, i ASC LIMIT 1),
+    sub AS (SELECT ID AS Id, CAST(CASE WHEN {_sa()} >= (SELECT t FROM bca) THEN 1 ELSE 0 END AS INT)
+      AS Predicted FROM evl)"""
+
+
+def _violations(src: str) -> str:
+    return f"""(SELECT
+      CAST(SUM(CASE WHEN c.Id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+      CAST(SUM(CASE WHEN e.Id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS extra,
+      CAST(COALESCE(SUM(CASE WHEN c.c > 1 THEN c.c - 1 END), 0) AS BIGINT) AS dup,
+      CAST(COALESCE(SUM(c.bad), 0) AS BIGINT) AS bad_value,
+      CAST(COALESCE(SUM(c.c), 0) AS BIGINT) AS n_rows,
+      CAST(SUM(CASE WHEN e.Id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_expected
+    FROM (SELECT Id, COUNT(*) AS c, SUM(CASE WHEN Predicted NOT IN (0, 1) OR Predicted IS NULL
+            THEN 1 ELSE 0 END) AS bad FROM {src} GROUP BY Id) c
+    FULL OUTER JOIN (SELECT DISTINCT ID AS Id FROM evl) e ON c.Id = e.Id)"""
+
+
+def _quote_column(sql: str) -> str:
+    """``column`` is reserved in DuckDB: quote every bare use."""
+    import re
+    return re.sub(r'(?<![\w"])column(?![\w"])', '"column"', sql)
+
+
+def build_more(q: dict) -> None:
+    feats = ", ".join(FEATURES)
+    q["a1_load_csv"] = with_panel(final=f"SELECT ID, {feats}, label FROM dev")
+    q["a7_submission"] = with_panel(GRID, _best_a_cut(), final="SELECT Id, Predicted FROM sub")
+    q["a8_validate"] = with_panel(GRID, _best_a_cut(), """bad_sub AS (
+        SELECT Id, CASE WHEN Id = (SELECT MAX(Id) FROM sub) THEN 7 ELSE Predicted END AS Predicted
+        FROM (SELECT * FROM sub WHERE Id <> (SELECT MIN(Id) FROM sub)
+              UNION ALL SELECT * FROM sub WHERE Id = (SELECT MAX(Id) FROM sub)) x
+        UNION ALL SELECT Id + 1, Predicted FROM sub WHERE Id = (SELECT MAX(Id) FROM sub))""",
+        final=f"SELECT *, 'written' AS \"case\" FROM {_violations('sub')} "
+              f"UNION ALL SELECT *, 'broken' FROM {_violations('bad_sub')}")
+    q["a10_emit"] = with_panel(GRID, _best_a_cut(), final=f"""
+        SELECT 1 AS n, COUNT(*) AS n_rows, {r6('AVG(CAST(Predicted AS DOUBLE))')} AS pos_rate,
+          'scorecard A at the best global cut' AS description FROM sub
+        UNION ALL SELECT 2, COUNT(*), 0.0, 'all zeros' FROM sub""")
+    eng_names = [n for n, _ in engineered(CHOSEN)]
+    cols = NUMERIC + eng_names
+    q["e1_medians"] = with_panel(_devf(), final=" UNION ALL ".join(
+        f"SELECT '{c}' AS column, {r6(f'quantile_cont({d(c)}, 0.5)')} AS median FROM devf"
+        for c in cols))
+    mcols = CAT + ["PAY_0"]
+    q["e2_modes"] = with_panel(_devf([]), final=" UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS mode FROM devf "
+        f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} ASC LIMIT 1)"
+        for c in mcols))
+    med = "med AS (SELECT " + ", ".join(
+        f"quantile_cont({d(c)}, 0.5) AS m_{c}" for c in cols) + " FROM devf)"
+    scl = "scl AS (SELECT " + ", ".join(
+        f"AVG(COALESCE({d(c)}, med.m_{c})) AS a_{c}, STDDEV_POP(COALESCE({d(c)}, med.m_{c})) AS s_{c}"
+        for c in cols) + " FROM devf, med)"
+    q["e3_scaler"] = with_panel(_devf(), med, scl, final=" UNION ALL ".join(
+        f"SELECT '{c}' AS column, {r6(f'a_{c}')} AS mean, "
+        f"{r6(f'CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1.0 ELSE s_{c} END')} AS std FROM scl"
+        for c in cols))
+    cats = "cats AS (" + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS column, CAST({c} AS DOUBLE) AS category FROM devf "
+        f"WHERE {c} IS NOT NULL" for c in CAT) + ")"
+    modes = "modes AS (" + " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS mode FROM devf "
+        f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} ASC LIMIT 1)"
+        for c in CAT) + ")"
+    evlong = "evlong AS (" + " UNION ALL ".join(
+        f"SELECT ID, '{c}' AS column, CAST({c} AS DOUBLE) AS v FROM evf" for c in CAT) + ")"
+    onehot = """oh AS (SELECT e.ID, e.column, c.category,
+        CASE WHEN COALESCE(e.v, m.mode) = c.category THEN 1.0E0 ELSE 0.0E0 END AS value
+        FROM evlong e JOIN cats c ON c.column = e.column JOIN modes m ON m.column = e.column)"""
+    qcol = _quote_column
+    q["e4_onehot"] = qcol(with_panel(_devf(), _devf(src="evl", name="evf"), cats, modes, evlong,
+                                     onehot, final="SELECT ID, column, category, value FROM oh"))
+    num = " UNION ALL ".join(
+        f"SELECT ID, '{c}' AS feature, "
+        f"{r6(f'(COALESCE({d(c)}, med.m_{c}) - scl.a_{c}) / (CASE WHEN scl.s_{c} IS NULL OR scl.s_{c} = 0 THEN 1.0 ELSE scl.s_{c} END)')}"
+        f" AS value FROM evf, med, scl" for c in cols)
+    oh_named = ("SELECT ID, column || '_' || CAST(CAST(category AS BIGINT) AS VARCHAR) AS feature, "
+                f"{r6('value')} FROM oh")
+    q["e5_router"] = qcol(with_panel(_devf(), _devf(src="evl", name="evf"), med, scl, cats,
+                                     modes, evlong, onehot, final=f"{num} UNION ALL {oh_named}"))
+    # Cross-fitted target encoding
+    te = [folds_cte([2024], "tf"),
+          "tr AS (SELECT d.ID, d.label, d.SEX, d.EDUCATION, d.MARRIAGE, tf.fold AS te_fold "
+          "FROM devf d JOIN tf ON tf.ID = d.ID)",
+          "tl AS (" + " UNION ALL ".join(
+              f"SELECT ID, te_fold, CAST(label AS DOUBLE) AS y, '{c}' AS column, "
+              f"CAST({c} AS DOUBLE) AS value FROM tr" for c in CAT) + ")",
+          "g AS (SELECT te_fold, CAST(COUNT(*) AS DOUBLE) AS n, SUM(CAST(label AS DOUBLE)) AS s, "
+          "SUM(CAST(label AS DOUBLE) * label) AS ss FROM tr GROUP BY te_fold)",
+          "ga AS (SELECT SUM(n) AS n, SUM(s) AS s, SUM(ss) AS ss FROM g)",
+          "og AS (SELECT g.te_fold, ga.n - g.n AS gn, ga.s - g.s AS gs, ga.ss - g.ss AS gss FROM g, ga)",
+          "cs AS (SELECT column, value, te_fold, CAST(COUNT(*) AS DOUBLE) AS n, SUM(y) AS s, "
+          "SUM(y * y) AS ss FROM tl GROUP BY column, value, te_fold)",
+          "ct AS (SELECT column, value, SUM(n) AS n, SUM(s) AS s, SUM(ss) AS ss FROM cs "
+          "GROUP BY column, value)"]
+
+    def enc(n, s_, ss, gn, gs, gss):
+        mc = f"(({s_}) / ({n}))"
+        vc = f"(({ss}) / ({n}) - {mc} * {mc})"
+        gm = f"(({gs}) / ({gn}))"
+        gv = f"(({gss}) / ({gn}) - {gm} * {gm})"
+        den = f"({gv} * ({n}) + {vc})"
+        return (f"(CASE WHEN ({n}) IS NULL OR ({n}) = 0 OR {den} = 0 THEN {gm} ELSE "
+                f"({gv} * ({n}) / {den}) * {mc} + (1.0 - ({gv} * ({n}) / {den})) * {gm} END)")
+    te.append(f"""tre AS (SELECT l.ID, l.column, {enc('ct.n - COALESCE(cs.n, 0)', 'ct.s - COALESCE(cs.s, 0)', 'ct.ss - COALESCE(cs.ss, 0)', 'og.gn', 'og.gs', 'og.gss')} AS enc
+        FROM tl l JOIN ct ON ct.column = l.column AND ct.value = l.value
+        LEFT JOIN cs ON cs.column = l.column AND cs.value = l.value AND cs.te_fold = l.te_fold
+        JOIN og ON og.te_fold = l.te_fold)""")
+    te.append("el AS (" + " UNION ALL ".join(
+        f"SELECT ID, '{c}' AS column, CAST({c} AS DOUBLE) AS value FROM evf" for c in CAT) + ")")
+    te.append(f"""nee AS (SELECT e.ID, e.column, CASE WHEN ct.n IS NULL THEN ga.s / ga.n ELSE
+        {enc('ct.n', 'ct.s', 'ct.ss', 'ga.n', 'ga.s', 'ga.ss')} END AS enc
+        FROM el e LEFT JOIN ct ON ct.column = e.column AND ct.value = e.value, ga)""")
+    piv = ", ".join(f"{r6(f'MAX(CASE WHEN column = {chr(39)}{c}{chr(39)} THEN enc END)')} AS {c}"
+                    for c in CAT)
+    q["e6_target_encoding"] = qcol(with_panel(
+        _devf([]), _devf([], src="evl", name="evf"), *te,
+        final=f"SELECT ID, 'train' AS part, {piv} FROM tre GROUP BY ID "
+              f"UNION ALL SELECT ID, 'new', {piv} FROM nee GROUP BY ID"))

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
+ACCURACY = 10_000
 
 
 def _lerp(a: float, b: float, t: float) -> float:
@@ -67,33 +67,29 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY) -> dic
 
 
 def _rank_values(df: DataFrame, cols, targets) -> dict:
-    """Values at ranks r_lo / r_hi of each target, computed inside each window."""
+    """Values at ranks r_lo / r_hi of each target: ONE pass emits, per target, either
+    a "below the window" marker (NULL value) or the in-window value; a grouped count
+    collapses ties and the markers, and a running sum per target (NULLs first, so the
+    below-count is the base) locates the two ranks."""
     spark = df.sparkSession
-    tdf = spark.createDataFrame(
-        [(t[0], t[1], t[2], t[3], int(t[4]), int(t[5])) for t in targets],
-        "tid int, ci int, lo double, hi double, r_lo long, r_hi long")
-    # base rank: rows strictly below each window
-    below = []
-    for t in targets:
-        x = F.col(f"`{cols[t[1]]}`").cast("double")
-        below.append(F.count_if(x < F.lit(t[2])).alias(f"b{t[0]}"))
-    base_row = df.agg(*below).collect()[0]
-    base = spark.createDataFrame([(t[0], int(base_row[f"b{t[0]}"])) for t in targets],
-                                 "tid int, base long")
-    # long form of in-window values, one pass over the rows
+    tdf = spark.createDataFrame([(t[0], int(t[4]), int(t[5])) for t in targets],
+                                "tid int, r_lo long, r_hi long")
     items = []
     for t in targets:
         x = F.col(f"`{cols[t[1]]}`").cast("double")
+        below = x.isNotNull() & (x < F.lit(t[2]))
         inwin = x.isNotNull() & (x >= F.lit(t[2])) & (x <= F.lit(t[3]))
-        items.append(F.when(inwin, F.struct(F.lit(t[0]).alias("tid"), x.alias("v"))))
+        items.append(F.when(below, F.struct(F.lit(t[0]).alias("tid"),
+                                            F.lit(None).cast("double").alias("v")))
+                     .when(inwin, F.struct(F.lit(t[0]).alias("tid"), x.alias("v"))))
     long = df.select(F.explode(F.array(*items)).alias("it")).where(F.col("it").isNotNull()) \
         .select("it.tid", "it.v")
     cnt = long.groupBy("tid", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("tid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = cnt.withColumn("cum", F.sum("cnt").over(w)).join(base, "tid") \
-        .withColumn("start", F.col("base") + F.col("cum") - F.col("cnt")) \
-        .withColumn("end", F.col("base") + F.col("cum"))
-    j = cum.join(tdf.select("tid", "r_lo", "r_hi"), "tid")
+    w = Window.partitionBy("tid").orderBy(F.col("v").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    cum = cnt.withColumn("end", F.sum("cnt").over(w)) \
+        .withColumn("start", F.col("end") - F.col("cnt")).where(F.col("v").isNotNull())
+    j = cum.join(F.broadcast(tdf), "tid")  # one row per target: bounded
     hit_lo = (F.col("r_lo") >= F.col("start")) & (F.col("r_lo") < F.col("end"))
     hit_hi = (F.col("r_hi") >= F.col("start")) & (F.col("r_hi") < F.col("end"))
     res = j.where(hit_lo | hit_hi).groupBy("tid").agg(

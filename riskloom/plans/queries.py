@@ -270,9 +270,136 @@ def j8_apply_segments(spark, sf_dir):
     return J.apply_segment_thresholds(s, cuts, 0.4).select("ID", "segment", "Predicted")
 
 
+# ------------------------------------------------------------------ A (sources / sinks)
+def _scratch(spark, name: str) -> str:
+    import os
+    import uuid
+    from riskloom.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+def a1_load_csv(spark, sf_dir):
+    """Panel written as CSV to the shared folder, read back with the explicit schema."""
+    path = _scratch(spark, "panel_csv")
+    _dev(spark, sf_dir).write.option("header", True).csv(path)
+    return S.load_table(spark, path, with_label=True, fmt="csv")
+
+
+def _submission(spark, sf_dir):
+    from riskloom.plans.flagship import scorecard_submission
+    return scorecard_submission(spark, sf_dir)
+
+
+def a7_submission(spark, sf_dir):
+    from riskloom.sources import sink
+    path = _scratch(spark, "submission")
+    sink.write_submission(_submission(spark, sf_dir), path)
+    return sink.read_submission(spark, path)
+
+
+def a8_validate(spark, sf_dir):
+    """Violations of a written submission vs the eval ids, plus a deliberately
+    broken copy (one id dropped, one duplicated, one bad value, one extra id)."""
+    from riskloom.sources import sink
+    path = _scratch(spark, "submission")
+    sub = _submission(spark, sf_dir)
+    sink.write_submission(sub, path)
+    ids = _eval(spark, sf_dir).select("ID")
+    good = sink.violations(sink.read_submission(spark, path), ids) \
+        .withColumn("case", F.lit("written"))
+    lo = sub.agg(F.min("Id")).collect()[0][0]
+    hi = sub.agg(F.max("Id")).collect()[0][0]
+    bad_sub = sub.where(F.col("Id") != lo) \
+        .unionByName(sub.where(F.col("Id") == hi)) \
+        .withColumn("Predicted", F.when(F.col("Id") == hi, F.lit(7)).otherwise(F.col("Predicted"))) \
+        .unionByName(sub.where(F.col("Id") == hi).select((F.col("Id") + 1).alias("Id"), "Predicted"))
+    bad = sink.violations(bad_sub, ids).withColumn("case", F.lit("broken"))
+    return good.unionByName(bad)
+
+
+def a10_emit(spark, sf_dir):
+    from riskloom.sources import sink
+    root = _scratch(spark, "ledger_root")
+    sub = _submission(spark, sf_dir)
+    ids = _eval(spark, sf_dir).select("ID")
+    sink.emit_submission(spark, sub, ids, root, "scorecard A at the best global cut")
+    sink.emit_submission(spark, sub.withColumn("Predicted", F.lit(0)), ids, root, "all zeros")
+    led = spark.read.parquet(f"{root}/ledger")
+    return led.select("n", "n_rows", r6("pos_rate"), "description")
+
+
+# ------------------------------------------------------------------ E
+def _dev_prepared(spark, sf_dir, groups=None):
+    groups = config.CHOSEN_FEATURE_GROUPS if groups is None else groups
+    return FE.add_engineered_features(FE.fold_undocumented_codes(_dev(spark, sf_dir)), groups)
+
+
+def e1_medians(spark, sf_dir):
+    from riskloom.operators.prep import fit_medians
+    cols = config.NUMERIC + FE.engineered_feature_names(config.CHOSEN_FEATURE_GROUPS)
+    med = fit_medians(_dev_prepared(spark, sf_dir), cols)
+    return spark.createDataFrame([(c, float(med[c])) for c in cols],
+                                 "column string, median double").select("column", r6("median"))
+
+
+def e2_modes(spark, sf_dir):
+    from riskloom.operators.prep import fit_modes
+    m = fit_modes(_dev_prepared(spark, sf_dir, []), config.CATEGORICAL + ["PAY_0"])
+    return spark.createDataFrame([(c, float(v)) for c, v in m.items()], "column string, mode double")
+
+
+def e3_scaler(spark, sf_dir):
+    from riskloom.operators.prep import fit_medians, fit_scaler
+    d = _dev_prepared(spark, sf_dir)
+    cols = config.NUMERIC + FE.engineered_feature_names(config.CHOSEN_FEATURE_GROUPS)
+    sc = fit_scaler(d, cols, fit_medians(d, cols))
+    return spark.createDataFrame([(c, float(m), float(sd)) for c, (m, sd) in sc.items()],
+                                 "column string, mean double, std double") \
+        .select("column", r6("mean"), r6("std"))
+
+
+def _fitted(spark, sf_dir, scale=True):
+    from riskloom.operators.prep import fit_preprocessor
+    groups = config.CHOSEN_FEATURE_GROUPS
+    pre = fit_preprocessor(_dev_prepared(spark, sf_dir), FE.engineered_feature_names(groups),
+                           scale=scale)
+    ev = FE.add_engineered_features(FE.fold_undocumented_codes(_eval(spark, sf_dir)), groups)
+    return pre, pre.transform(ev)
+
+
+def e4_onehot(spark, sf_dir):
+    pre, x = _fitted(spark, sf_dir, scale=False)
+    from riskloom.operators.prep import onehot_name
+    items = [F.struct(F.lit(c).alias("column"), F.lit(float(v)).alias("category"),
+                      F.col(onehot_name(c, v)).alias("value"))
+             for c in pre.categorical for v in pre.categories[c]]
+    return x.select("ID", F.inline(F.array(*items)))
+
+
+def e5_router(spark, sf_dir):
+    pre, x = _fitted(spark, sf_dir, scale=True)
+    items = [F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 6).alias("value"))
+             for c in pre.output_columns()]
+    return x.select("ID", F.inline(F.array(*items)))
+
+
+def e6_target_encoding(spark, sf_dir):
+    from riskloom.operators.target import target_encode
+    dev = FE.fold_undocumented_codes(_dev(spark, sf_dir))
+    ev = FE.fold_undocumented_codes(_eval(spark, sf_dir))
+    tr, new = target_encode(dev, ev)
+    cols = config.CATEGORICAL
+    return tr.select("ID", F.lit("train").alias("part"), *[r6(c) for c in cols]) \
+        .unionByName(new.select("ID", F.lit("new").alias("part"), *[r6(c) for c in cols]))
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
+        "a1_load_csv": a1_load_csv, "a7_submission": a7_submission, "a8_validate": a8_validate,
+        "a10_emit": a10_emit,
+        "e1_medians": e1_medians, "e2_modes": e2_modes, "e3_scaler": e3_scaler,
+        "e4_onehot": e4_onehot, "e5_router": e5_router, "e6_target_encoding": e6_target_encoding,
         "a4_features": a4_features, "a5_split_xy": a5_split_xy, "a6_eval_ids": a6_eval_ids,
         "b1_fold_codes": b1_fold_codes, "b2_safe_ratio": b2_safe_ratio,
         "b3_nonfinite": b3_nonfinite, "b6_pipeline": b6_pipeline,
