@@ -320,6 +320,7 @@ def build() -> dict[str, str]:
         ELSE 'late2plus' END AS seg FROM dev) x
       LEFT JOIN (VALUES ('ontime', 0.3), ('late1', 0.55)) c(s, t) ON c.s = x.seg""")
     build_more(q)
+    build_k(q)
     return q
 
 
@@ -451,3 +452,91 @@ def build_more(q: dict) -> None:
         _devf([]), _devf([], src="evl", name="evf"), *te,
         final=f"SELECT ID, 'train' AS part, {piv} FROM tre GROUP BY ID "
               f"UNION ALL SELECT ID, 'new', {piv} FROM nee GROUP BY ID"))
+
+
+def _kscores() -> list[str]:
+    hu = ("CAST(('0x' || substr(md5('dummy:' || CAST(f.seed AS VARCHAR) || ':' || "
+          "CAST(f.ID AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0")
+    return [folds_cte(SEEDS), """fs AS (SELECT seed, fold, COUNT(*) AS n, SUM(label) AS p
+        FROM folds GROUP BY seed, fold)""",
+            """ft AS (SELECT seed, SUM(n) AS tn, SUM(p) AS tp FROM fs GROUP BY seed)""",
+            """pr AS (SELECT fs.seed, fs.fold, CAST(ft.tp - fs.p AS DOUBLE) / CAST(ft.tn - fs.n AS DOUBLE)
+        AS prior FROM fs JOIN ft USING (seed))""",
+            f"""ks AS (
+        SELECT f.seed, f.fold, s.ID, s.label, s.model, s.proba FROM folds f JOIN scores s ON s.ID = f.ID
+        UNION ALL
+        SELECT f.seed, f.fold, f.ID, f.label, 'dummy', CASE WHEN {hu} < pr.prior THEN 1.0E0 ELSE 0.0E0 END
+        FROM folds f JOIN pr ON pr.seed = f.seed AND pr.fold = f.fold)"""]
+
+
+def _ens(ens: dict, src="ks", name="ens") -> str:
+    spec = " UNION ALL ".join(f"SELECT '{e}' AS ensemble, '{m}' AS member, {i} AS idx, {len(ms)} AS sz"
+                              for e, ms in ens.items() for i, m in enumerate(ms))
+    n = max(len(ms) for ms in ens.values())
+    terms = " + ".join(f"MAX(CASE WHEN idx = {i} THEN proba END)" for i in range(n))
+    # sum in member order: ((p0 + p1) + p2)...
+    nested = "MAX(CASE WHEN idx = 0 THEN proba END)"
+    for i in range(1, n):
+        nested = f"({nested} + COALESCE(MAX(CASE WHEN idx = {i} THEN proba END), 0))"
+    del terms
+    return f"""spec AS ({spec}),
+    {name} AS (SELECT x.seed, x.fold, x.ID, x.label, sp.ensemble AS model, {nested} / MAX(sp.sz) AS proba
+      FROM {src} x JOIN spec sp ON sp.member = x.model
+      GROUP BY sp.ensemble, x.seed, x.fold, x.ID, x.label HAVING COUNT(*) = MAX(sp.sz))"""
+
+
+def _best_by(src: str, keys: str, name: str) -> str:
+    return f"""{name}_c AS (SELECT {", ".join("s." + k.strip() for k in keys.split(","))}, g.i, g.t,
+        {_cm('s.proba >= g.t', 's.label')} FROM {src} s, grid g GROUP BY {", ".join("s." + k.strip() for k in keys.split(","))}, g.i, g.t),
+    {name} AS (SELECT * FROM (SELECT *, {f1('tp', 'fp', 'fn', 'tn')} AS f1, ROW_NUMBER() OVER (
+        PARTITION BY {keys} ORDER BY {f1('tp', 'fp', 'fn', 'tn')} DESC, i ASC) AS rn FROM {name}_c) WHERE rn = 1)"""
+
+
+def build_k(q: dict) -> None:
+    ks = _kscores()
+    q["k1_softvote"] = with_panel(SCORES, *ks, _ens({"AB": ["A", "B"]}),
+                                  final=f"SELECT seed, fold, ID, label, model, {r6('proba')} AS proba FROM ens")
+    kens = {"AB": ["A", "B"], "ABC": ["A", "B", "C"], "A_dummy": ["A", "dummy"],
+            "A_missing": ["A", "Z"]}
+    q["k2_named_ensembles"] = with_panel(SCORES, GRID, *ks, _ens(kens), _best_by("ens", "model, seed", "kb"),
+                                         final=f"SELECT model, seed, {r6('t')} AS threshold, {r6('f1')} AS macro_f1 FROM kb")
+    order = " UNION ALL ".join(f"SELECT {sd} AS seed, {i} AS seed_idx" for i, sd in enumerate(SEEDS))
+    q["k3_seed_average"] = with_panel(SCORES, *ks, f"so AS ({order})", final=f"""
+      SELECT model, ID, label, CAST(ROW_NUMBER() OVER w AS BIGINT) AS n_seeds,
+        {r6('SUM(proba) OVER w / ROW_NUMBER() OVER w')} AS proba
+      FROM ks JOIN so USING (seed) WHERE model = 'dummy'
+      WINDOW w AS (PARTITION BY model, ID, label ORDER BY seed_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+    q["k7_diversity"] = with_panel(SCORES, GRID, *ks, _best_by("ks", "model, seed", "kb"), """
+      hard AS (SELECT ks.*, CASE WHEN ks.proba >= kb.t THEN 1 ELSE 0 END AS h FROM ks
+        JOIN kb ON kb.model = ks.model AND kb.seed = ks.seed)""", final=f"""
+      SELECT b.model, b.seed, {r6('CORR(a.proba, b.proba)')} AS corr,
+        {r6('AVG(CASE WHEN a.h <> b.h THEN 1.0 ELSE 0.0 END)')} AS disagreement
+      FROM hard b JOIN hard a ON a.model = 'A' AND a.seed = b.seed AND a.ID = b.ID
+      WHERE b.model <> 'A' GROUP BY b.model, b.seed""")
+    allm = "allm AS (SELECT seed, fold, ID, label, model, proba FROM ks UNION ALL SELECT * FROM ens)"
+    q["k12_screen"] = with_panel(SCORES, GRID, *ks, _ens({"AB": ["A", "B"]}), allm,
+                                 _best_by("allm", "model, seed", "kb"), final=f"""
+      SELECT b.model, {r6('b.f1')} AS macro_f1, {r6('a.f1')} AS anchor_f1, {r6('b.f1 - a.f1')} AS delta,
+        b.f1 - a.f1 > 0 AS promising
+      FROM kb b JOIN kb a ON a.model = 'A' AND a.seed = b.seed WHERE b.model <> 'A' AND b.seed = 2024""")
+    n = len(SEEDS)
+
+    def om(col):
+        nested = f"MAX(CASE WHEN seed_idx = 0 THEN {col} END)"
+        for i in range(1, n):
+            nested = f"({nested} + MAX(CASE WHEN seed_idx = {i} THEN {col} END))"
+        return f"({nested} / {float(n)})"
+    q["k13_paired"] = with_panel(SCORES, GRID, *ks, _ens({"AB": ["A", "B"]}), allm,
+                                 _best_by("allm", "model, seed", "kb"), f"so AS ({order})", f"""
+      c AS (SELECT b.model, so.seed_idx, b.f1, b.f1 - a.f1 AS d FROM kb b
+        JOIN kb a ON a.model = 'A' AND a.seed = b.seed JOIN so ON so.seed = b.seed WHERE b.model <> 'A'),
+      g AS (SELECT model, {om('f1')} AS f1_mean, STDDEV_POP(f1) AS f1_std, {om('d')} AS dmean,
+        COUNT(CASE WHEN d > 0 THEN 1 END) AS wins, COUNT(*) AS n_seeds FROM c GROUP BY model),
+      rk AS (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY dmean DESC, wins DESC, model DESC) AS INT) AS rank FROM g),
+      rc AS (SELECT *, ROW_NUMBER() OVER (ORDER BY CASE WHEN wins = {n} THEN dmean END DESC NULLS LAST, rank) AS r FROM rk)""",
+                                 final=f"""
+      SELECT model, {r6('f1_mean')} AS f1_mean, {r6('f1_std')} AS f1_std, {r6('dmean')} AS dmean, wins, n_seeds,
+        CASE WHEN wins = {n} AND dmean >= 0.005 THEN 'KEEP (robust)'
+             WHEN wins = {n} AND dmean > 0 THEN 'keep? (robust but small)'
+             WHEN dmean > 0 THEN 'watch (not all seeds)' ELSE 'revert' END AS verdict,
+        rank, (r = 1 AND wins = {n}) AS recommended FROM rc""")

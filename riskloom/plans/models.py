@@ -161,6 +161,9 @@ class ModelPipeline:
         return va.transform(x)
 
     def fit(self, train: DataFrame) -> "ModelPipeline":
+        if self.kind == "dummy":
+            self.prior = train.agg(F.avg(F.col("label").cast("double"))).collect()[0][0]
+            return self
         prepared = self.prepare(train)
         self.pre = fit_preprocessor(prepared, self.extra_numeric(),
                                     scale=self.encoding.get("scale", True)
@@ -211,3 +214,18 @@ def pipeline_for(name: str, groups=(), seed: int = config.SEED,
     params = {**spec["params"], **(overrides or {})}
     enc = config.ENCODING_CONFIGS[spec.get("encoding", "baseline")]
     return make_pipeline(spec["kind"], params, groups, enc, seed)
+
+
+def dummy_oof(folds: DataFrame, seed: int, fold: str = "fold") -> DataFrame:
+    """G1 out-of-fold in one pass: each fold's prior comes from the OTHER folds
+    (fold totals minus own, a table of k rows), then a seeded hash draw per row —
+    the same scores as fitting the prior-sampling floor on each training split."""
+    from pyspark.sql import Window
+    y = F.col("label").cast("long")
+    per = folds.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("p"))
+    w = Window.partitionBy(F.lit(0))  # k rows (one per fold): a bounded window
+    prior = per.select(fold, ((F.sum("p").over(w) - F.col("p")).cast("double") /
+                              (F.sum("n").over(w) - F.col("n")).cast("double")).alias("prior"))
+    j = folds.join(F.broadcast(prior), fold)  # k rows: bounded by the fold count
+    u = hash_uniform("dummy", seed, F.col("ID"))
+    return j.select("ID", "label", fold, (u < F.col("prior")).cast("double").alias("proba"))

@@ -37,12 +37,19 @@ def _eval(spark, sf_dir) -> DataFrame:
     return P.evaluation(_panel(spark, sf_dir))
 
 
+def _dev_table(spark, sf_dir) -> DataFrame:
+    """Development rows materialised once (reliable checkpoint) for queries that
+    read them many times (one branch per fold seed)."""
+    from riskloom.session import cut_lineage
+    return cut_lineage(_dev(spark, sf_dir))
+
+
 def _scores(spark, sf_dir, names=("A", "B", "C")) -> DataFrame:
     return score_table(_dev(spark, sf_dir), names)
 
 
 def _folded_scores(spark, sf_dir, seeds=(config.SEED,), names=("A", "B", "C")) -> DataFrame:
-    dev = _dev(spark, sf_dir)
+    dev = _dev_table(spark, sf_dir) if len(seeds) > 1 else _dev(spark, sf_dir)
     f = FO.assign_folds_multi(dev.select("ID", "label", *config.PAY_COLS,
                                          *config.PAY_AMT_COLS), seeds)
     return score_table(f, names, keep=("seed", "fold", "ID", "label"))
@@ -393,6 +400,75 @@ def e6_target_encoding(spark, sf_dir):
         .unionByName(new.select("ID", F.lit("new").alias("part"), *[r6(c) for c in cols]))
 
 
+# ------------------------------------------------------------------ K
+K_ENSEMBLES = {"AB": ["A", "B"], "ABC": ["A", "B", "C"], "A_dummy": ["A", "dummy"],
+               "A_missing": ["A", "Z"]}
+
+
+def _k_scores(spark, sf_dir, seeds=tuple(config.VALIDATION_SEEDS)) -> DataFrame:
+    """Score table (seed, fold, ID, label, model, proba): scorecards A/B/C plus the
+    prior-sampling floor (G1) scored out-of-fold, for every fold seed."""
+    from riskloom.plans.models import dummy_oof
+    dev = _dev_table(spark, sf_dir).select("ID", "label", *config.PAY_COLS,
+                                           *config.PAY_AMT_COLS)
+    parts = []
+    for sd in seeds:
+        f = FO.assign_folds(dev, sd)
+        cards = score_table(f, ("A", "B", "C"), keep=("fold", "ID", "label"))
+        d = dummy_oof(f, sd).select("fold", "ID", "label", F.lit("dummy").alias("model"),
+                                    "proba")
+        parts.append(cards.unionByName(d).withColumn("seed", F.lit(int(sd))))
+    return M.union_all(parts)
+
+
+def k1_softvote(spark, sf_dir):
+    from riskloom.operators.ensemble import soft_vote
+    v = soft_vote(_k_scores(spark, sf_dir), ["A", "B"], "AB")
+    return v.select("seed", "fold", "ID", "label", "model", r6("proba"))
+
+
+def k2_named_ensembles(spark, sf_dir):
+    from riskloom.operators.ensemble import named_ensembles
+    e = named_ensembles(_k_scores(spark, sf_dir), K_ENSEMBLES)
+    b = J.best_threshold(e, ["model", "seed"])
+    return b.select("model", "seed", r6("threshold"), r6("macro_f1"))
+
+
+def k3_seed_average(spark, sf_dir):
+    from riskloom.operators.ensemble import seed_average
+    s = _k_scores(spark, sf_dir).where(F.col("model") == "dummy")
+    a = seed_average(s, config.VALIDATION_SEEDS)
+    return a.select("model", "ID", "label", "n_seeds", r6("proba"))
+
+
+def k7_diversity(spark, sf_dir):
+    from riskloom.operators.ensemble import diversity_vs_anchor
+    d = diversity_vs_anchor(_k_scores(spark, sf_dir), "A", ["seed"])
+    return d.select("model", "seed", r6("corr"), r6("disagreement"))
+
+
+def _k_results(spark, sf_dir, seeds=tuple(config.VALIDATION_SEEDS)):
+    from riskloom.operators.ensemble import named_ensembles
+    s = _k_scores(spark, sf_dir, seeds)
+    e = named_ensembles(s, {"AB": ["A", "B"]})
+    allm = s.select("seed", "fold", "ID", "label", "model", "proba").unionByName(e)
+    return J.best_threshold(allm, ["model", "seed"])
+
+
+def k12_screen(spark, sf_dir):
+    from riskloom.operators.compare import screen_vs_anchor
+    r = _k_results(spark, sf_dir, (config.SEED,)).drop("seed")
+    return screen_vs_anchor(r, "A").select("model", r6("macro_f1"), r6("anchor_f1"),
+                                           r6("delta"), "promising")
+
+
+def k13_paired(spark, sf_dir):
+    from riskloom.operators.compare import paired_report
+    p = paired_report(_k_results(spark, sf_dir), "A", config.VALIDATION_SEEDS)
+    return p.select("model", r6("f1_mean"), r6("f1_std"), r6("dmean"), "wins", "n_seeds",
+                    "verdict", "rank", "recommended")
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -418,6 +494,9 @@ def registry() -> dict:
         "j2_sweep_predictions": j2_sweep_predictions,
         "j3_transfer": j3_transfer, "j3_transfer_cuts": j3_transfer_cuts,
         "j4_fold_avg": j4_fold_avg, "j5_best_fixed": j5_best_fixed, "j6_summary": j6_summary,
-        "j7_segments": j7_segments, "j8_apply_segments": j8_apply_segments,
+        "j7_segments": j7_segments,
+        "k1_softvote": k1_softvote, "k2_named_ensembles": k2_named_ensembles,
+        "k3_seed_average": k3_seed_average, "k7_diversity": k7_diversity,
+        "k12_screen": k12_screen, "k13_paired": k13_paired, "j8_apply_segments": j8_apply_segments,
     })
     return q
