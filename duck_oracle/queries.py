@@ -321,6 +321,7 @@ def build() -> dict[str, str]:
       LEFT JOIN (VALUES ('ontime', 0.3), ('late1', 0.55)) c(s, t) ON c.s = x.seg""")
     build_more(q)
     build_k(q)
+    build_f(q)
     return q
 
 
@@ -540,3 +541,40 @@ def build_k(q: dict) -> None:
              WHEN wins = {n} AND dmean > 0 THEN 'keep? (robust but small)'
              WHEN dmean > 0 THEN 'watch (not all seeds)' ELSE 'revert' END AS verdict,
         rank, (r = 1 AND wins = {n}) AS recommended FROM rc""")
+
+
+def _rs_ctes() -> list[str]:
+    """Dev rows in the sampler space: median-imputed numerics, folded categoricals."""
+    med = "rmed AS (SELECT " + ", ".join(
+        f"quantile_cont({d(c)}, 0.5) AS m_{c}" for c in NUMERIC) + " FROM devf)"
+    cols = ", ".join(f"COALESCE({d(c)}, rmed.m_{c}) AS {c}" for c in NUMERIC)
+    return [_devf([]), med, f"rx AS (SELECT ID, label, SEX, EDUCATION, MARRIAGE, {cols} FROM devf, rmed)"]
+
+
+def _dist2(a="a", b="b") -> str:
+    num = " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in NUMERIC)
+    cat = " + ".join(f"CASE WHEN {a}.{c} <> {b}.{c} THEN 2.0 ELSE 0.0 END" for c in CAT)
+    return f"({num} + {cat})"
+
+
+def build_f(q: dict) -> None:
+    rs = _rs_ctes()
+    q["f1_undersample"] = with_panel(*rs, """cnt AS (SELECT label, COUNT(*) AS n FROM rx GROUP BY label),
+      mino AS (SELECT label, n FROM cnt ORDER BY n ASC, label ASC LIMIT 1),
+      rk AS (SELECT ID, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY md5(concat('2024', ':', CAST(ID AS VARCHAR))), ID) - 1 AS r FROM rx)""",
+                                     final="SELECT ID, label FROM rk WHERE label = (SELECT label FROM mino) OR r < (SELECT n FROM mino)")
+    q["f7_knn"] = with_panel(*rs, f"""pairs AS (SELECT a.ID AS ID, b.ID AS neighbor, {_dist2()} AS d2
+        FROM rx a JOIN rx b ON a.label = 1 AND b.label = 1 AND a.ID <> b.ID),
+      rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ID ORDER BY d2, neighbor) AS rank FROM pairs)""",
+                             final="SELECT ID, neighbor, CAST(rank AS INT) AS rank, ROUND(SQRT(d2), 3) AS dist FROM rk WHERE rank <= 5")
+    nn1 = f"""p1 AS (SELECT a.ID AS qid, b.ID AS nid, {_dist2()} AS d2 FROM rx a JOIN rx b ON a.ID <> b.ID),
+      n1 AS (SELECT qid, nid FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY d2, nid) AS r FROM p1) WHERE r = 1),
+      links AS (SELECT x.qid AS a, x.nid AS b, la.label AS la, lb.label AS lb FROM n1 x
+        JOIN n1 y ON y.qid = x.nid AND y.nid = x.qid
+        JOIN rx la ON la.ID = x.qid JOIN rx lb ON lb.ID = x.nid
+        WHERE x.qid < x.nid AND la.label <> lb.label)"""
+    q["f4_tomek_links"] = with_panel(*rs, nn1, final="SELECT a, b, la, lb FROM links")
+    q["f4_tomek"] = with_panel(*rs, nn1, """cnt AS (SELECT label, COUNT(*) AS n FROM rx GROUP BY label),
+      majo AS (SELECT label FROM cnt ORDER BY n DESC, label DESC LIMIT 1),
+      gone AS (SELECT CASE WHEN la = (SELECT label FROM majo) THEN a ELSE b END AS ID FROM links)""",
+                               final="SELECT ID, label FROM rx WHERE ID NOT IN (SELECT ID FROM gone)")

@@ -469,6 +469,59 @@ def k13_paired(spark, sf_dir):
                     "verdict", "rank", "recommended")
 
 
+# ------------------------------------------------------------------ F
+def _resample_input(spark, sf_dir) -> DataFrame:
+    """(ID, label, features): folded codes, median-imputed numerics + one-hot
+    categoricals fitted on the development rows (the sampler's input space)."""
+    from riskloom.operators.prep import fit_preprocessor
+    dev = FE.fold_undocumented_codes(_dev_table(spark, sf_dir))
+    pre = fit_preprocessor(dev, (), scale=False)
+    x = pre.transform(dev, keep=("ID", "label"))
+    return x.select("ID", "label", F.array(*pre.output_columns()).alias("features"))
+
+
+def f1_undersample(spark, sf_dir):
+    from riskloom.operators.resample import undersample
+    return undersample(_resample_input(spark, sf_dir), config.SEED).select("ID", "label")
+
+
+def f7_knn(spark, sf_dir):
+    from riskloom.operators.knn import knn
+    x = _resample_input(spark, sf_dir).where(F.col("label") == 1)
+    nn = knn(x, x, 5, exclude_self=True, blocks=3)
+    return nn.select(F.col("qid").alias("ID"), F.col("nid").alias("neighbor"),
+                     F.col("rank").cast("int").alias("rank"),
+                     F.round(F.sqrt("dist2"), 3).alias("dist"))
+
+
+def f4_tomek_links(spark, sf_dir):
+    from riskloom.operators.resample import tomek_links
+    return tomek_links(_resample_input(spark, sf_dir), blocks=2).select("a", "b", "la", "lb")
+
+
+def f4_tomek(spark, sf_dir):
+    from riskloom.operators.resample import tomek
+    return tomek(_resample_input(spark, sf_dir), "majority", blocks=2).select("ID", "label")
+
+
+def _resampled(fn):
+    def q(spark, sf_dir):
+        out = fn(_resample_input(spark, sf_dir))
+        if "synthetic" not in out.columns:
+            out = out.withColumn("synthetic", F.lit(False))
+        return out.select("ID", "label", "synthetic",
+                          F.transform("features", lambda v: F.round(v, 6)).alias("features"))
+    return q
+
+
+def _sampler(name):
+    from riskloom.operators import resample as R
+    return {"smote": lambda d: R.smote(d, config.SEED, blocks=2),
+            "borderline": lambda d: R.borderline_smote(d, config.SEED, blocks=2),
+            "smotetomek": lambda d: R.smote_tomek(d, config.SEED, blocks=2),
+            "smoteenn": lambda d: R.smote_enn(d, config.SEED, blocks=2)}[name]
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -497,6 +550,12 @@ def registry() -> dict:
         "j7_segments": j7_segments,
         "k1_softvote": k1_softvote, "k2_named_ensembles": k2_named_ensembles,
         "k3_seed_average": k3_seed_average, "k7_diversity": k7_diversity,
-        "k12_screen": k12_screen, "k13_paired": k13_paired, "j8_apply_segments": j8_apply_segments,
+        "k12_screen": k12_screen, "k13_paired": k13_paired,
+        "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f4_tomek_links": f4_tomek_links,
+        "f4_tomek": f4_tomek,
+        "f2_smote": _resampled(_sampler("smote")),
+        "f3_borderline_smote": _resampled(_sampler("borderline")),
+        "f5_smote_tomek": _resampled(_sampler("smotetomek")),
+        "f6_smote_enn": _resampled(_sampler("smoteenn")), "j8_apply_segments": j8_apply_segments,
     })
     return q
