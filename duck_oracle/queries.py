@@ -322,6 +322,7 @@ def build() -> dict[str, str]:
     build_more(q)
     build_k(q)
     build_f(q)
+    build_misc(q)
     return q
 
 
@@ -578,3 +579,20 @@ def build_f(q: dict) -> None:
       majo AS (SELECT label FROM cnt ORDER BY n DESC, label DESC LIMIT 1),
       gone AS (SELECT CASE WHEN la = (SELECT label FROM majo) THEN a ELSE b END AS ID FROM links)""",
                                final="SELECT ID, label FROM rx WHERE ID NOT IN (SELECT ID FROM gone)")
+
+
+def build_misc(q: dict) -> None:
+    q["j9_segment_hist"] = with_panel(GRID, _best_a_cut(), f"""seg AS (SELECT ID, label, {_sa()} AS proba,
+        CASE WHEN PAY_0 <= 0 THEN 'ontime' WHEN PAY_0 = 1 THEN 'late1' ELSE 'late2plus' END AS segment FROM dev),
+      b AS (SELECT segment, label, CAST((SELECT COUNT(*) FROM grid WHERE grid.t <= seg.proba) AS INT) AS bin,
+        CAST(CASE WHEN proba >= (SELECT t FROM bca) THEN 1 ELSE 0 END AS INT) AS ge_global FROM seg)""",
+                                      final="""SELECT segment, bin, ge_global, CAST(SUM(label) AS BIGINT) AS n_pos,
+        CAST(SUM(1 - label) AS BIGINT) AS n_neg FROM b GROUP BY segment, bin, ge_global""")
+    hu = ("CAST(('0x' || substr(md5('dummy:2024:' || CAST(f.ID AS VARCHAR)), 1, 13)) AS BIGINT)"
+          " / 4503599627370496.0")
+    q["g1_dummy_oof"] = with_panel(folds_cte([2024]), """fs AS (SELECT fold, COUNT(*) AS n, SUM(label) AS p FROM folds GROUP BY fold),
+      pr AS (SELECT fold, CAST((SELECT SUM(p) FROM fs) - p AS DOUBLE) / CAST((SELECT SUM(n) FROM fs) - n AS DOUBLE) AS prior FROM fs)""",
+                                   final=f"""SELECT f.ID, f.label, f.fold, CASE WHEN {hu} < pr.prior THEN 1.0E0 ELSE 0.0E0 END AS proba
+      FROM folds f JOIN pr ON pr.fold = f.fold""")
+    q["g9_class_weights"] = with_panel(final=f"""SELECT label, {r6('(SELECT COUNT(*) FROM dev) / (2.0 * COUNT(*))')} AS weight
+      FROM dev GROUP BY label""")

@@ -95,7 +95,8 @@ def make_estimator(kind: str, params: dict | None = None, seed: int = config.SEE
         return LogisticRegression(maxIter=int(p.get("max_iter", 100)), elasticNetParam=0.0,
                                   standardization=False, tol=1e-6, **common)
     if kind in ("rf", "et"):
-        return RandomForestClassifier(
+        extra = {"impurity": p["criterion"]} if p.get("criterion") in ("gini", "entropy") else {}
+        return RandomForestClassifier(**extra,
             numTrees=int(p.get("n_estimators", 100)),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             maxDepth=int(min(p.get("max_depth") or MAX_DEPTH, MAX_DEPTH)),
@@ -108,9 +109,12 @@ def make_estimator(kind: str, params: dict | None = None, seed: int = config.SEE
             cacheNodeIds=True, maxMemoryInMB=2048, checkpointInterval=10, **common)
     if kind in ("hgb", "gb", "lgbm"):
         if kind == "hgb":
-            depth, rounds, step, leaf = 5, int(p.get("max_iter", 100)), \
-                float(p.get("learning_rate", 0.1)), int(p.get("min_samples_leaf", 20))
-            bins = int(p.get("max_bins", 255))
+            leaves = int(p.get("max_leaf_nodes", 31))
+            depth = max(1, math.ceil(math.log2(leaves + 1)))
+            rounds, step = int(p.get("max_iter", 100)), float(p.get("learning_rate", 0.1))
+            leaf, bins = int(p.get("min_samples_leaf", 20)), int(p.get("max_bins", 255))
+            if "max_features" in p and "colsample_bytree" not in p:
+                p["colsample_bytree"] = float(p["max_features"])
         elif kind == "gb":
             depth, rounds, step, leaf, bins = int(p.get("max_depth", 3)), \
                 int(p.get("n_estimators", 100)), float(p.get("learning_rate", 0.1)), 1, 256

@@ -522,6 +522,132 @@ def _sampler(name):
             "smoteenn": lambda d: R.smote_enn(d, config.SEED, blocks=2)}[name]
 
 
+# ------------------------------------------------------------------ J9 / J10 / J11
+def _seg_scores(spark, sf_dir, seeds=(config.SEED,)):
+    dev = _dev_table(spark, sf_dir)
+    s = _folded_scores(spark, sf_dir, seeds, ("A",))
+    seg = J.make_segments(dev.select("ID", "PAY_0"), "pay0").select("ID", "segment")
+    return s.join(seg, "ID")
+
+
+def j9_segment_hist(spark, sf_dir):
+    """The single histogram job J9 needs: (segment, bin, ge_global, n_pos, n_neg)."""
+    s = _seg_scores(spark, sf_dir)
+    g = J.best_threshold(s).first()["threshold"]
+    return J.segment_hist(s, [], global_thr=g).select("segment", "bin", "ge_global",
+                                                       "n_pos", "n_neg")
+
+
+def j9_segment_cuts(spark, sf_dir):
+    s = _seg_scores(spark, sf_dir)
+    b = J.best_threshold(s).first()
+    cuts = J.tune_segment_thresholds(s, float(b["threshold"]))
+    t = J.thresholds_frame(spark, cuts)
+    pred = J.apply_segment_thresholds(s, t, float(b["threshold"]))
+    f1 = M.macro_f1_at_cut(pred.withColumn("p", F.col("Predicted").cast("double")),
+                           [], 0.5, score="p")
+    return t.select("segment", r6("threshold")).crossJoin(
+        f1.select(r6("macro_f1")).withColumnRenamed("macro_f1", "segmented_f1")) \
+        .withColumn("global_f1", F.round(F.lit(float(b["macro_f1"])), 6))
+
+
+def j10_honest_transfer(spark, sf_dir):
+    s = _seg_scores(spark, sf_dir, tuple(config.VALIDATION_SEEDS)).withColumn("model", F.lit("A"))
+    rows = [(r["model"], int(r["seed"]), float(r["global_f1"]), float(r["segmented_f1"]),
+             float(r["delta"])) for r in J.honest_transfer(s, ["model", "seed"])]
+    return spark.createDataFrame(rows, "model string, seed int, global_f1 double, "
+                                       "segmented_f1 double, delta double").select("model", "seed", r6("global_f1"),
+                                              r6("segmented_f1"), r6("delta"))
+
+
+def j11_segment_predictions(spark, sf_dir):
+    s = _seg_scores(spark, sf_dir)
+    b = J.best_threshold(s).first()
+    cuts = J.thresholds_frame(spark, J.tune_segment_thresholds(s, float(b["threshold"])))
+    ev = J.make_segments(score_table(_eval(spark, sf_dir).withColumn("label", F.lit(0)), ["A"],
+                                     keep=("ID", "PAY_0")), "pay0")
+    return J.apply_segment_thresholds(ev, cuts, float(b["threshold"])) \
+        .select(F.col("ID").alias("Id"), "segment", "Predicted")
+
+
+# ------------------------------------------------------------------ E7 / G / H / K6 / K8-K10
+def e7_anomaly(spark, sf_dir):
+    from riskloom.operators.anomaly import add_anomaly_score, fit_isolation_forest
+    from riskloom.operators.prep import fit_preprocessor
+    dev = FE.fold_undocumented_codes(_dev_table(spark, sf_dir))
+    ev = FE.fold_undocumented_codes(_eval(spark, sf_dir))
+    pre = fit_preprocessor(dev, (), scale=False)
+
+    def mat(df):
+        return pre.transform(df, keep=("ID",)).select(
+            "ID", F.array(*pre.output_columns()).alias("features"))
+    model = fit_isolation_forest(mat(dev), 200, 256, config.SEED)
+    out = add_anomaly_score(mat(dev).withColumn("part", F.lit("train")), model) \
+        .unionByName(add_anomaly_score(mat(ev).withColumn("part", F.lit("new")), model))
+    return out.select("ID", "part", r6("anomaly_score"))
+
+
+def _oof_query(name, groups=()):
+    def q(spark, sf_dir):
+        from riskloom.plans import oof
+        s = oof.oof_proba(name, _dev_table(spark, sf_dir), config.SEED, groups)
+        return s.select("ID", "label", "fold", "model", r6("proba"))
+    return q
+
+
+def g1_dummy_oof(spark, sf_dir):
+    from riskloom.plans.models import dummy_oof
+    f = FO.assign_folds(_dev(spark, sf_dir).select("ID", "label"), config.SEED)
+    return dummy_oof(f, config.SEED).select("ID", "label", "fold", "proba")
+
+
+def g9_class_weights(spark, sf_dir):
+    from riskloom.plans.models import class_weights
+    w = class_weights(_dev(spark, sf_dir), "balanced")
+    return spark.createDataFrame([(int(k), float(v)) for k, v in sorted(w.items())],
+                                 "label int, weight double").select("label", r6("weight"))
+
+
+def g12_train_predict(spark, sf_dir):
+    from riskloom.plans.chosen import train_and_predict
+    from riskloom.session import cut_lineage
+    panel = cut_lineage(_panel(spark, sf_dir))
+    pred, _ = train_and_predict(P.development(panel), P.evaluation(panel))
+    return pred
+
+
+def h5_fit_eval(spark, sf_dir):
+    from riskloom.plans import oof
+    from riskloom.session import cut_lineage
+    panel = cut_lineage(_panel(spark, sf_dir))
+    s = oof.fit_eval_proba("logreg_clean", P.development(panel), P.evaluation(panel))
+    return s.select("ID", r6("proba"))
+
+
+def k6_stacking(spark, sf_dir):
+    from riskloom.plans.stacking import Stacking
+    from riskloom.session import cut_lineage
+    panel = cut_lineage(_panel(spark, sf_dir))
+    spec = config.STACKING_CONFIGS["stack_rfbal_logreg"]
+    st = Stacking(spec["members"], spec["meta"]).fit(P.development(panel))
+    return st.score(P.evaluation(panel)).select("ID", r6("proba"))
+
+
+def k8_k9_calibration(spark, sf_dir):
+    from riskloom.plans.calibrate import calibration_report
+    r = calibration_report(_scores(spark, sf_dir, ("A",)))
+    return r.select("method", r6("threshold"), r6("macro_f1"))
+
+
+def k10_calibrated_cv(spark, sf_dir):
+    from riskloom.plans.calibrate import CalibratedCV
+    from riskloom.plans.models import pipeline_for
+    from riskloom.session import cut_lineage
+    panel = cut_lineage(_panel(spark, sf_dir))
+    m = CalibratedCV(lambda: pipeline_for("logreg_clean"), "sigmoid").fit(P.development(panel))
+    return m.score(P.evaluation(panel)).select("ID", r6("proba"))
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -553,6 +679,17 @@ def registry() -> dict:
         "k12_screen": k12_screen, "k13_paired": k13_paired,
         "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f4_tomek_links": f4_tomek_links,
         "f4_tomek": f4_tomek,
+        "j9_segment_hist": j9_segment_hist, "j9_segment_cuts": j9_segment_cuts,
+        "j10_honest_transfer": j10_honest_transfer,
+        "j11_segment_predictions": j11_segment_predictions,
+        "e7_anomaly": e7_anomaly, "g1_dummy_oof": g1_dummy_oof,
+        "g9_class_weights": g9_class_weights,
+        "h2_oof_hgb": _oof_query("hgb"), "h2_oof_logreg_clean": _oof_query("logreg_clean"),
+        "h2_oof_rf_balanced": _oof_query("rf_balanced", config.CHOSEN_FEATURE_GROUPS),
+        "h2_oof_et": _oof_query("et"), "h2_oof_gb": _oof_query("gb"),
+        "g12_train_predict": g12_train_predict, "h5_fit_eval": h5_fit_eval,
+        "k6_stacking": k6_stacking, "k8_k9_calibration": k8_k9_calibration,
+        "k10_calibrated_cv": k10_calibrated_cv,
         "f2_smote": _resampled(_sampler("smote")),
         "f3_borderline_smote": _resampled(_sampler("borderline")),
         "f5_smote_tomek": _resampled(_sampler("smotetomek")),
