@@ -53,17 +53,22 @@ def main() -> None:
 
     q["hgb_train_predict"] = hgb_train_predict
     names = [n for n in HEADLINE if not only or n in only]
-    times, rows = {}, {}
+    times = {}
+    failed = {}
     for name in names:
         t0 = time.time()
-        df = q[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
-        rows[name] = None
+        try:
+            df = q[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - record and continue
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        print(f"[bench] {name}: {times.get(name)}", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
-                      "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus)}))
+                      "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
+                      "failed": failed}))
 
 
 if __name__ == "__main__":

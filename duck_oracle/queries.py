@@ -323,6 +323,7 @@ def build() -> dict[str, str]:
     build_k(q)
     build_f(q)
     build_misc(q)
+    build_router(q)
     return q
 
 
@@ -596,3 +597,49 @@ def build_misc(q: dict) -> None:
       FROM folds f JOIN pr ON pr.fold = f.fold""")
     q["g9_class_weights"] = with_panel(final=f"""SELECT label, {r6('(SELECT COUNT(*) FROM dev) / (2.0 * COUNT(*))')} AS weight
       FROM dev GROUP BY label""")
+
+
+def _router_sql(enc: dict, groups=()) -> str:
+    """Oracle for encode -> impute [+ scale] -> one-hot, long output on eval rows."""
+    ex, extra = encoding_exprs(enc)
+    eng = engineered(groups)
+    numeric = NUMERIC + [n for n, _ in extra] + [n for n, _ in eng]
+
+    def src(name, frm):
+        cols = ["ID"] + [f"{ex[c]} AS {c}" if c in NUMERIC else c for c in FEATURES]
+        cols += [f"{e} AS {n}" for n, e in extra]
+        return f"{name} AS (SELECT {', '.join(cols)} FROM {frm})"
+    ctes = [_devf(list(groups), name="d0"), _devf(list(groups), src="evl", name="e0"),
+            src("devx", "d0"), src("evx", "e0")]
+    med = "med AS (SELECT " + ", ".join(f"quantile_cont({d(c)}, 0.5) AS m_{c}" for c in numeric) + " FROM devx)"
+    ctes.append(med)
+    scale = enc.get("scale", True)
+    if scale:
+        ctes.append("scl AS (SELECT " + ", ".join(
+            f"AVG(COALESCE({d(c)}, med.m_{c})) AS a_{c}, STDDEV_POP(COALESCE({d(c)}, med.m_{c})) AS s_{c}"
+            for c in numeric) + " FROM devx, med)")
+    ctes.append("cats AS (" + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS column, CAST({c} AS DOUBLE) AS category FROM devx WHERE {c} IS NOT NULL"
+        for c in CAT) + ")")
+    ctes.append("modes AS (" + " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS mode FROM devx "
+        f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} ASC LIMIT 1)" for c in CAT) + ")")
+    ctes.append("evlong AS (" + " UNION ALL ".join(
+        f"SELECT ID, '{c}' AS column, CAST({c} AS DOUBLE) AS v FROM evx" for c in CAT) + ")")
+    ctes.append("""oh AS (SELECT e.ID, e.column, c.category,
+        CASE WHEN COALESCE(e.v, m.mode) = c.category THEN 1.0E0 ELSE 0.0E0 END AS value
+        FROM evlong e JOIN cats c ON c.column = e.column JOIN modes m ON m.column = e.column)""")
+    parts = []
+    for c in numeric:
+        v = f"COALESCE({d(c)}, med.m_{c})"
+        if scale:
+            v = f"({v} - scl.a_{c}) / (CASE WHEN scl.s_{c} IS NULL OR scl.s_{c} = 0 THEN 1.0 ELSE scl.s_{c} END)"
+        parts.append(f"SELECT ID, '{c}' AS feature, {r6(v)} AS value FROM evx, med{', scl' if scale else ''}")
+    parts.append("SELECT ID, column || '_' || CAST(CAST(category AS BIGINT) AS VARCHAR) AS feature, "
+                 f"{r6('value')} FROM oh")
+    return _quote_column(with_panel(*ctes, final=" UNION ALL ".join(parts)))
+
+
+def build_router(q: dict) -> None:
+    q["d6_scale"] = _router_sql(ENCODINGS.get("baseline", {}))
+    q["d7_clean_linear"] = _router_sql(ENCODINGS["clean_linear"])

@@ -116,8 +116,11 @@ def macro_f1_at(scored: DataFrame, cuts: DataFrame, keys=(), score="proba",
     groups; AQE broadcasts it when small and falls back to a shuffle join otherwise.
     """
     keys = list(keys)
-    j = scored.join(cuts.select(*keys, cut_col), on=keys, how="inner") if keys else \
-        scored.crossJoin(cuts.select(cut_col))
+    if not keys:  # a single group: the cut is one scalar
+        cut = cuts.select(cut_col).first()[0]
+        j = scored.withColumn(cut_col, F.lit(float(cut)))
+    else:
+        j = scored.join(cuts.select(*keys, cut_col), on=keys, how="inner")
     pred = F.col(score) >= F.col(cut_col)
     y = F.col(label) == 1
     agg = j.groupBy(*keys, cut_col).agg(
@@ -156,6 +159,9 @@ def evaluate_strategies(scored: DataFrame, keys=(), score="proba", label="label"
                         fold="fold") -> DataFrame:
     """GLOBAL / TRANSFER / FOLD-AVG / BEST-FIXED per group (one row each)."""
     keys = list(keys)
+    if not keys:  # one group: give it a key so the per-group tables join on it
+        out = evaluate_strategies(scored.withColumn("_g", F.lit(0)), ["_g"], score, label, fold)
+        return out.drop("_g")
     g = best_threshold(scored, keys, score, label) \
         .withColumnRenamed("threshold", "global_thr").withColumnRenamed("macro_f1", "global_f1")
     t = transfer_f1(scored, keys, score, label, fold)
@@ -164,8 +170,6 @@ def evaluate_strategies(scored: DataFrame, keys=(), score="proba", label="label"
     bf = best_fixed(scored, keys, score, label, fold) \
         .withColumnRenamed("threshold", "bestfixed_thr") \
         .withColumnRenamed("macro_f1", "bestfixed_f1")
-    if not keys:
-        return g.crossJoin(t).crossJoin(fa).crossJoin(bf)
     return g.join(t, keys).join(fa, keys).join(bf, keys)
 
 

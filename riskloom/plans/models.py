@@ -40,6 +40,7 @@ from riskloom.functions import features as FE
 from riskloom.operators.prep import Preprocessor, fit_preprocessor
 
 MAX_DEPTH = 30  # Spark's tree depth limit
+ROWS_PER_PARTITION = 50_000
 
 
 def hash_uniform(*parts) -> F.Column:
@@ -179,14 +180,19 @@ class ModelPipeline:
         est = make_estimator(self.kind, self.params, self.seed, weighted=bool(weights))
         m = self._matrix(train.withColumn("weight", weight_column(weights)),
                          keep=("ID", "label", "weight"))
-        # Tree learners depend on the partitioning -> fix it before fitting
-        parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Tree learners depend on the partitioning -> fix it before fitting.
+        # Partitions are sized by rows (ROWS_PER_PARTITION each, at most the shuffle
+        # partition count): small fits stay on few tasks (iteration latency), large
+        # fits spread over the cluster.
+        n = m.count()
+        cap = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(cap, -(-n // ROWS_PER_PARTITION)))
         m = m.repartition(parts, "ID").sortWithinPartitions("ID")
         if self.kind in ("hgb",) and self.params.get("early_stopping", "auto") == "auto":
-            n = m.count()
             if n > 10_000:  # the analysed learner's "auto": hold out 10 % when n > 10k
                 m = m.withColumn("is_val", hash_uniform("val", self.seed, F.col("ID")) < 0.1)
-                est.setValidationIndicatorCol("is_val").setValidationTol(1e-7)
+                est.setValidationIndicatorCol("is_val")
+                est.set(est.getParam("validationTol"), 1e-7)
         if self.kind == "logreg":
             total_w = m.agg(F.sum("weight")).collect()[0][0]
             est.setRegParam(1.0 / float(total_w))

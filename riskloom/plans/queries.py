@@ -545,10 +545,10 @@ def j9_segment_cuts(spark, sf_dir):
     t = J.thresholds_frame(spark, cuts)
     pred = J.apply_segment_thresholds(s, t, float(b["threshold"]))
     f1 = M.macro_f1_at_cut(pred.withColumn("p", F.col("Predicted").cast("double")),
-                           [], 0.5, score="p")
-    return t.select("segment", r6("threshold")).crossJoin(
-        f1.select(r6("macro_f1")).withColumnRenamed("macro_f1", "segmented_f1")) \
-        .withColumn("global_f1", F.round(F.lit(float(b["macro_f1"])), 6))
+                           [], 0.5, score="p").first()["macro_f1"]
+    return t.select("segment", r6("threshold"),
+                    F.round(F.lit(float(f1)), 6).alias("segmented_f1"),
+                    F.round(F.lit(float(b["macro_f1"])), 6).alias("global_f1"))
 
 
 def j10_honest_transfer(spark, sf_dir):
@@ -648,6 +648,33 @@ def k10_calibrated_cv(spark, sf_dir):
     return m.score(P.evaluation(panel)).select("ID", r6("proba"))
 
 
+# ------------------------------------------------------------------ D-6 / D-7
+def _router_long(spark, sf_dir, encoding_name: str, groups=()):
+    """Encode -> fit the router on the development rows -> long (ID, feature, value)
+    for the evaluation rows; ``scale`` comes from the encoding spec."""
+    from riskloom.operators.prep import fit_preprocessor
+    enc = config.ENCODING_CONFIGS[encoding_name]
+
+    def prep(df):
+        out = FE.add_engineered_features(FE.fold_undocumented_codes(df), groups)
+        return E.apply_encoding(out, enc)
+    pre = fit_preprocessor(prep(_dev(spark, sf_dir)),
+                           E.encoding_extra_columns(enc) + FE.engineered_feature_names(groups),
+                           scale=enc.get("scale", True))
+    x = pre.transform(prep(_eval(spark, sf_dir)))
+    items = [F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 6).alias("value"))
+             for c in pre.output_columns()]
+    return x.select("ID", F.inline(F.array(*items)))
+
+
+def d6_scale(spark, sf_dir):
+    return _router_long(spark, sf_dir, "baseline")
+
+
+def d7_clean_linear(spark, sf_dir):
+    return _router_long(spark, sf_dir, "clean_linear")
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -679,6 +706,7 @@ def registry() -> dict:
         "k12_screen": k12_screen, "k13_paired": k13_paired,
         "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f4_tomek_links": f4_tomek_links,
         "f4_tomek": f4_tomek,
+        "d6_scale": d6_scale, "d7_clean_linear": d7_clean_linear,
         "j9_segment_hist": j9_segment_hist, "j9_segment_cuts": j9_segment_cuts,
         "j10_honest_transfer": j10_honest_transfer,
         "j11_segment_predictions": j11_segment_predictions,
