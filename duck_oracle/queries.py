@@ -583,6 +583,8 @@ def build_f(q: dict) -> None:
 
 
 def build_misc(q: dict) -> None:
+    q["h4_oof_cache"] = with_panel(SCORES, *_kscores(), final="""SELECT CAST(seed AS INT) AS seed,
+      fold, ID, label, model, proba FROM ks WHERE model = 'dummy'""")
     q["j9_segment_hist"] = with_panel(GRID, _best_a_cut(), f"""seg AS (SELECT ID, label, {_sa()} AS proba,
         CASE WHEN PAY_0 <= 0 THEN 'ontime' WHEN PAY_0 = 1 THEN 'late1' ELSE 'late2plus' END AS segment FROM dev),
       b AS (SELECT segment, label, CAST((SELECT COUNT(*) FROM grid WHERE grid.t <= seg.proba) AS INT) AS bin,

@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -184,19 +185,26 @@ class ModelPipeline:
         # Partitions are sized by rows (ROWS_PER_PARTITION each, at most the shuffle
         # partition count): small fits stay on few tasks (iteration latency), large
         # fits spread over the cluster.
-        n = m.count()
+        n = train.count()
         cap = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         parts = max(1, min(cap, -(-n // ROWS_PER_PARTITION)))
-        m = m.repartition(parts, "ID").sortWithinPartitions("ID")
+        # iterative learners re-read their input every round: persist the prepared
+        # matrix once (memory, spilling to disk) for the duration of the fit
         if self.kind in ("hgb",) and self.params.get("early_stopping", "auto") == "auto":
             if n > 10_000:  # the analysed learner's "auto": hold out 10 % when n > 10k
                 m = m.withColumn("is_val", hash_uniform("val", self.seed, F.col("ID")) < 0.1)
                 est.setValidationIndicatorCol("is_val")
                 est.set(est.getParam("validationTol"), 1e-7)
+        m = m.repartition(parts, "ID").sortWithinPartitions("ID") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        m.count()
         if self.kind == "logreg":
             total_w = m.agg(F.sum("weight")).collect()[0][0]
             est.setRegParam(1.0 / float(total_w))
-        self.model = est.fit(m)
+        try:
+            self.model = est.fit(m)
+        finally:
+            m.unpersist()
         return self
 
     def score(self, df: DataFrame, keep=("ID",)) -> DataFrame:

@@ -675,6 +675,15 @@ def d7_clean_linear(spark, sf_dir):
     return _router_long(spark, sf_dir, "clean_linear")
 
 
+def h4_oof_cache(spark, sf_dir):
+    """H4: the long OOF score table for every (model, seed), built once through the
+    fold-fit path and checkpointed; here for the prior-sampling floor over the five
+    validation seeds."""
+    from riskloom.plans.oof import build_oof_cache
+    c = build_oof_cache(["dummy"], _dev_table(spark, sf_dir), config.VALIDATION_SEEDS)
+    return c.select("seed", "fold", "ID", "label", "model", "proba")
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -711,7 +720,7 @@ def registry() -> dict:
         "j10_honest_transfer": j10_honest_transfer,
         "j11_segment_predictions": j11_segment_predictions,
         "e7_anomaly": e7_anomaly, "g1_dummy_oof": g1_dummy_oof,
-        "g9_class_weights": g9_class_weights,
+        "g9_class_weights": g9_class_weights, "h4_oof_cache": h4_oof_cache,
         "h2_oof_hgb": _oof_query("hgb"), "h2_oof_logreg_clean": _oof_query("logreg_clean"),
         "h2_oof_rf_balanced": _oof_query("rf_balanced", config.CHOSEN_FEATURE_GROUPS),
         "h2_oof_et": _oof_query("et"), "h2_oof_gb": _oof_query("gb"),
