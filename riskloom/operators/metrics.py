@@ -202,15 +202,19 @@ def missingness(df: DataFrame, cols=None) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols=None, label="label") -> DataFrame:
-    """Pairwise-complete Pearson correlations, upper triangle incl. diagonal,
-    all pairs in ONE aggregate."""
+    """Pairwise-complete Pearson correlations, upper triangle incl. diagonal.
+
+    Each row is expanded to one (pair, x, y) item per pair inside the scan and
+    aggregated per pair (partial aggregation: the shuffle is pairs x partitions
+    buffers). One very wide aggregate would do the same per-row work but generates
+    a method too large for the JIT.
+    """
     cols = list(cols or (config.NUMERIC + [label]))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{k}")
-                   for k, (a, b) in enumerate(pairs)])
     items = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                               F.col(f"c{k}").alias("corr")) for k, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(items))
+                               F.col(a).cast("double").alias("x"),
+                               F.col(b).cast("double").alias("y")) for a, b in pairs])
+    return df.select(F.inline(items)).groupBy("a", "b").agg(F.corr("x", "y").alias("corr"))
 
 
 def positive_rate(pred: DataFrame, keys=(), col="Predicted") -> DataFrame:
