@@ -684,6 +684,22 @@ def h4_oof_cache(spark, sf_dir):
     return c.select("seed", "fold", "ID", "label", "model", "proba")
 
 
+def k4_view_ensemble(spark, sf_dir):
+    """K4: one learner (logreg_clean) on two named feature views, OOF averaged."""
+    from riskloom.plans.stacking import view_ensemble
+    views = {v: config.FEATURE_CONFIGS[v] for v in ("paysem_util_payratio", "all_new")}
+    e = view_ensemble(views, "logreg_clean", _dev_table(spark, sf_dir))
+    return e.select("ID", "label", "fold", "model", r6("proba"))
+
+
+def k5_family_ensemble(spark, sf_dir):
+    """K5: several learners on ONE feature set (the chosen families), OOF averaged."""
+    from riskloom.plans.stacking import family_ensemble
+    e = family_ensemble(["logreg_clean", "et"], config.CHOSEN_FEATURE_GROUPS,
+                        _dev_table(spark, sf_dir))
+    return e.select("ID", "label", "fold", "model", r6("proba"))
+
+
 # ------------------------------------------------------------------ registry
 def registry() -> dict:
     q = {
@@ -725,6 +741,7 @@ def registry() -> dict:
         "h2_oof_rf_balanced": _oof_query("rf_balanced", config.CHOSEN_FEATURE_GROUPS),
         "h2_oof_et": _oof_query("et"), "h2_oof_gb": _oof_query("gb"),
         "g12_train_predict": g12_train_predict, "h5_fit_eval": h5_fit_eval,
+        "k4_view_ensemble": k4_view_ensemble, "k5_family_ensemble": k5_family_ensemble,
         "k6_stacking": k6_stacking, "k8_k9_calibration": k8_k9_calibration,
         "k10_calibrated_cv": k10_calibrated_cv,
         "f2_smote": _resampled(_sampler("smote")),
