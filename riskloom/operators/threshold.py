@@ -62,13 +62,15 @@ def sweep_predictions(scored: DataFrame, cuts, score: str = "proba",
 # ---------------------------------------------------------- J3 / J4 / J5 / J6
 
 
-def _fold_cells(scored: DataFrame, keys, score, label, fold):
+def _fold_cells(scored: DataFrame, keys, score, label, fold, hist: DataFrame | None = None):
     """Rows (keys, k, i) with other-fold F1 and own-fold counts at cut i.
 
     Own-fold counts are window suffix sums per (keys, fold); all-fold counts are a
     sum over folds per (keys, cut); "other" = all - own. No row is re-read.
     """
-    own = suffix_counts(class_counts(scored, keys, score, label, extra=[fold]), [*keys, fold])
+    if hist is None:
+        hist = class_counts(scored, keys, score, label, extra=[fold])
+    own = suffix_counts(hist, [*keys, fold])
     pk = keys if keys else [F.lit(0)]
     wk = Window.partitionBy(*pk, "i")
     c = own.select(*keys, F.col(fold).alias("k"), "i", "tp", "fp", "pos", "neg",
@@ -157,19 +159,48 @@ def best_fixed(scored: DataFrame, keys=(), score="proba", label="label",
 
 def evaluate_strategies(scored: DataFrame, keys=(), score="proba", label="label",
                         fold="fold") -> DataFrame:
-    """GLOBAL / TRANSFER / FOLD-AVG / BEST-FIXED per group (one row each)."""
+    """GLOBAL / TRANSFER / FOLD-AVG / BEST-FIXED per group (one row each).
+
+    The (keys, fold, bin) histogram is built ONCE and cached (it is tiny); GLOBAL,
+    TRANSFER and BEST-FIXED all derive from it, and only FOLD-AVG's off-grid cut
+    needs a second pass over the rows.
+    """
     keys = list(keys)
     if not keys:  # one group: give it a key so the per-group tables join on it
         out = evaluate_strategies(scored.withColumn("_g", F.lit(0)), ["_g"], score, label, fold)
         return out.drop("_g")
-    g = best_threshold(scored, keys, score, label) \
-        .withColumnRenamed("threshold", "global_thr").withColumnRenamed("macro_f1", "global_f1")
-    t = transfer_f1(scored, keys, score, label, fold)
-    fa = fold_avg_f1(scored, keys, score, label, fold) \
+    hist = class_counts(scored, keys, score, label, extra=[fold]).cache()
+    glob = hist.groupBy(*keys, "bin").agg(F.sum("n_pos").alias("n_pos"),
+                                          F.sum("n_neg").alias("n_neg"))
+    c = suffix_counts(glob, keys)
+    tp, fp = F.col("tp"), F.col("fp")
+    curve = c.select(*keys, "i", grid_at(F.col("i")).alias("threshold"),
+                     macro_f1(tp, fp, F.col("pos") - tp, F.col("neg") - fp).alias("macro_f1"))
+    g = pick_best(curve, keys, carry=("threshold",)).select(
+        *keys, F.col("threshold").alias("global_thr"), F.col("macro_f1").alias("global_f1"))
+    cells = _fold_cells(scored, keys, score, label, fold, hist).cache()
+    tc = pick_best(cells, [*keys, "k"], f1="other_f1",
+                   carry=("threshold", "tp", "fp", "fn", "tn"))
+    t = tc.groupBy(*keys).agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn", "tn")],
+                              ordered_mean("k", "threshold").alias("fold_thr_mean"),
+                              F.stddev_pop("threshold").alias("fold_thr_std"),
+                              F.min("threshold").alias("fold_thr_min"),
+                              F.max("threshold").alias("fold_thr_max")) \
+        .select(*keys, macro_f1(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
+                .alias("transfer_f1"), "fold_thr_mean", "fold_thr_std", "fold_thr_min",
+                "fold_thr_max")
+    avg = tc.groupBy(*keys).agg(ordered_mean("k", "threshold").alias("threshold"))
+    fa = macro_f1_at(scored, avg, keys, score, label) \
         .withColumnRenamed("threshold", "foldavg_thr").withColumnRenamed("macro_f1", "foldavg_f1")
-    bf = best_fixed(scored, keys, score, label, fold) \
-        .withColumnRenamed("threshold", "bestfixed_thr") \
-        .withColumnRenamed("macro_f1", "bestfixed_f1")
+    per = cells.select(*keys, "k", "i", "threshold",
+                       macro_f1(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")).alias("f1"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("k"), F.col("f1"))))
+    mean = per.groupBy(*keys, "i", "threshold").agg(ordered.alias("fs")).select(
+        *keys, "i", "threshold",
+        (F.aggregate("fs", F.lit(0.0), lambda acc, x: acc + x["f1"]) / F.size("fs"))
+        .alias("macro_f1"))
+    bf = pick_best(mean, keys, carry=("threshold",)).select(
+        *keys, F.col("threshold").alias("bestfixed_thr"), F.col("macro_f1").alias("bestfixed_f1"))
     return g.join(t, keys).join(fa, keys).join(bf, keys)
 
 

@@ -337,8 +337,11 @@ def a10_emit(spark, sf_dir):
 
 # ------------------------------------------------------------------ E
 def _dev_prepared(spark, sf_dir, groups=None):
+    """Development rows (materialised once: a fit reads them in several jobs) with
+    folded codes and the requested feature families."""
     groups = config.CHOSEN_FEATURE_GROUPS if groups is None else groups
-    return FE.add_engineered_features(FE.fold_undocumented_codes(_dev(spark, sf_dir)), groups)
+    return FE.add_engineered_features(FE.fold_undocumented_codes(_dev_table(spark, sf_dir)),
+                                      groups)
 
 
 def e1_medians(spark, sf_dir):
@@ -392,7 +395,7 @@ def e5_router(spark, sf_dir):
 
 def e6_target_encoding(spark, sf_dir):
     from riskloom.operators.target import target_encode
-    dev = FE.fold_undocumented_codes(_dev(spark, sf_dir))
+    dev = FE.fold_undocumented_codes(_dev_table(spark, sf_dir))
     ev = FE.fold_undocumented_codes(_eval(spark, sf_dir))
     tr, new = target_encode(dev, ev)
     cols = config.CATEGORICAL
@@ -658,7 +661,7 @@ def _router_long(spark, sf_dir, encoding_name: str, groups=()):
     def prep(df):
         out = FE.add_engineered_features(FE.fold_undocumented_codes(df), groups)
         return E.apply_encoding(out, enc)
-    pre = fit_preprocessor(prep(_dev(spark, sf_dir)),
+    pre = fit_preprocessor(prep(_dev_table(spark, sf_dir)),
                            E.encoding_extra_columns(enc) + FE.engineered_feature_names(groups),
                            scale=enc.get("scale", True))
     x = pre.transform(prep(_eval(spark, sf_dir)))
