@@ -98,3 +98,22 @@ def test_segment_ascent_not_worse_than_global(scored):
 def test_segments_unknown_kind(spark, panel):
     with pytest.raises(ValueError):
         J.make_segments(panel, "nope")
+
+
+def test_roc_auc_matches_pairwise_count(spark):
+    from riskloom.operators.metrics import roc_auc
+    rng = np.random.default_rng(9)
+    n = 2000
+    y = rng.integers(0, 2, n)
+    # clustered scores: most distinct values inside a tiny band, plus ties
+    p = np.where(rng.random(n) < 0.8, 0.5 + rng.random(n) * 1e-9, rng.random(n)).round(12)
+    p[:100] = 0.25
+    df = spark.createDataFrame([(int(y[i]), float(p[i]), "m") for i in range(n)],
+                               "label int, proba double, model string")
+    pos, neg = p[y == 1], p[y == 0]
+    exp = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) \
+        / (len(pos) * len(neg))
+    got = roc_auc(df, ["model"], n_buckets=64).first()["roc_auc"]
+    assert abs(got - exp) < 1e-12
+    got0 = roc_auc(df.drop("model"), [], n_buckets=64).first()["roc_auc"]
+    assert abs(got0 - exp) < 1e-12
