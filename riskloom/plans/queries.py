@@ -452,7 +452,9 @@ def k7_diversity(spark, sf_dir):
 
 def _k_results(spark, sf_dir, seeds=tuple(config.VALIDATION_SEEDS)):
     from riskloom.operators.ensemble import named_ensembles
-    s = _k_scores(spark, sf_dir, seeds)
+    from riskloom.session import cut_lineage
+    # the score table feeds both the members and the ensemble: materialise it once
+    s = cut_lineage(_k_scores(spark, sf_dir, seeds))
     e = named_ensembles(s, {"AB": ["A", "B"]})
     allm = s.select("seed", "fold", "ID", "label", "model", "proba").unionByName(e)
     return J.best_threshold(allm, ["model", "seed"])
