@@ -446,7 +446,9 @@ def k3_seed_average(spark, sf_dir):
 
 def k7_diversity(spark, sf_dir):
     from riskloom.operators.ensemble import diversity_vs_anchor
-    d = diversity_vs_anchor(_k_scores(spark, sf_dir), "A", ["seed"])
+    from riskloom.session import cut_lineage
+    # read twice (best cuts, then the pairing): materialise once
+    d = diversity_vs_anchor(cut_lineage(_k_scores(spark, sf_dir)), "A", ["seed"])
     return d.select("model", "seed", r6("corr"), r6("disagreement"))
 
 
