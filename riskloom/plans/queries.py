@@ -172,7 +172,9 @@ def i5_fold_f1(spark, sf_dir):
 
 
 def i6_compare(spark, sf_dir):
-    r = M.compare_models(_folded_scores(spark, sf_dir))
+    from riskloom.session import cut_lineage
+    # three metric families read the score table: materialise it once
+    r = M.compare_models(cut_lineage(_folded_scores(spark, sf_dir)))
     return r.select("model", r6("macro_f1_mean"), r6("macro_f1_std"), r6("roc_auc"),
                     "tn", "fp", "fn", "tp", "rank")
 
