@@ -257,8 +257,10 @@ def j5_best_fixed(spark, sf_dir):
 
 
 def j6_summary(spark, sf_dir):
-    st = J.evaluate_strategies(_folded_scores(spark, sf_dir, config.VALIDATION_SEEDS),
-                               ["model", "seed"])
+    from riskloom.session import cut_lineage
+    # histogram pass + FOLD-AVG re-scoring pass: materialise the score table once
+    sc = cut_lineage(_folded_scores(spark, sf_dir, config.VALIDATION_SEEDS))
+    st = J.evaluate_strategies(sc, ["model", "seed"])
     s = J.strategy_summary(st, ["model", "seed"], over="seed")
     cols = [c for c in s.columns if c not in ("model", "n_seeds")]
     return s.select("model", "n_seeds", *[r6(c) for c in cols])
