@@ -44,6 +44,14 @@ def _dev_table(spark, sf_dir) -> DataFrame:
     return cut_lineage(_dev(spark, sf_dir))
 
 
+def _split_tables(spark, sf_dir):
+    """(dev, eval) from ONE materialised panel: fit-on-dev / apply-to-eval queries
+    read the panel in several jobs, so it is derived from the tables once."""
+    from riskloom.session import cut_lineage
+    panel = cut_lineage(_panel(spark, sf_dir))
+    return P.development(panel), P.evaluation(panel)
+
+
 def _scores(spark, sf_dir, names=("A", "B", "C")) -> DataFrame:
     return score_table(_dev(spark, sf_dir), names)
 
@@ -375,9 +383,10 @@ def e3_scaler(spark, sf_dir):
 def _fitted(spark, sf_dir, scale=True):
     from riskloom.operators.prep import fit_preprocessor
     groups = config.CHOSEN_FEATURE_GROUPS
-    pre = fit_preprocessor(_dev_prepared(spark, sf_dir), FE.engineered_feature_names(groups),
-                           scale=scale)
-    ev = FE.add_engineered_features(FE.fold_undocumented_codes(_eval(spark, sf_dir)), groups)
+    dev, evl = _split_tables(spark, sf_dir)
+    pre = fit_preprocessor(FE.add_engineered_features(FE.fold_undocumented_codes(dev), groups),
+                           FE.engineered_feature_names(groups), scale=scale)
+    ev = FE.add_engineered_features(FE.fold_undocumented_codes(evl), groups)
     return pre, pre.transform(ev)
 
 
@@ -399,8 +408,8 @@ def e5_router(spark, sf_dir):
 
 def e6_target_encoding(spark, sf_dir):
     from riskloom.operators.target import target_encode
-    dev = FE.fold_undocumented_codes(_dev_table(spark, sf_dir))
-    ev = FE.fold_undocumented_codes(_eval(spark, sf_dir))
+    d0, e0 = _split_tables(spark, sf_dir)
+    dev, ev = FE.fold_undocumented_codes(d0), FE.fold_undocumented_codes(e0)
     tr, new = target_encode(dev, ev)
     cols = config.CATEGORICAL
     return tr.select("ID", F.lit("train").alias("part"), *[r6(c) for c in cols]) \
@@ -585,8 +594,8 @@ def j11_segment_predictions(spark, sf_dir):
 def e7_anomaly(spark, sf_dir):
     from riskloom.operators.anomaly import add_anomaly_score, fit_isolation_forest
     from riskloom.operators.prep import fit_preprocessor
-    dev = FE.fold_undocumented_codes(_dev_table(spark, sf_dir))
-    ev = FE.fold_undocumented_codes(_eval(spark, sf_dir))
+    d0, e0 = _split_tables(spark, sf_dir)
+    dev, ev = FE.fold_undocumented_codes(d0), FE.fold_undocumented_codes(e0)
     pre = fit_preprocessor(dev, (), scale=False)
 
     def mat(df):
@@ -669,10 +678,11 @@ def _router_long(spark, sf_dir, encoding_name: str, groups=()):
     def prep(df):
         out = FE.add_engineered_features(FE.fold_undocumented_codes(df), groups)
         return E.apply_encoding(out, enc)
-    pre = fit_preprocessor(prep(_dev_table(spark, sf_dir)),
+    dev, evl = _split_tables(spark, sf_dir)
+    pre = fit_preprocessor(prep(dev),
                            E.encoding_extra_columns(enc) + FE.engineered_feature_names(groups),
                            scale=enc.get("scale", True))
-    x = pre.transform(prep(_eval(spark, sf_dir)))
+    x = pre.transform(prep(evl))
     items = [F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 6).alias("value"))
              for c in pre.output_columns()]
     return x.select("ID", F.inline(F.array(*items)))
