@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,16 +37,39 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the session's own, or a fresh one when unset (tests)."""
+    """The shared scratch folder: ``spark.checkpoint.dir`` where the session sets it.
+
+    Only a session whose driver and tasks run in one local process may fall back to a
+    temporary folder; anywhere else a missing setting is an error, because executors
+    cannot see each other's disks.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     sc.setCheckpointDir(conf)
-    return conf
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared scratch folder."""
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df, label: str, partition_by=()):
+    """Write ``df`` once as Parquet under the shared scratch folder and read it back.
+
+    Cuts the lineage like a checkpoint, but later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df, eager: bool = True):
