@@ -25,6 +25,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                           capacity=2048)
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
+
+
 def registry() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
