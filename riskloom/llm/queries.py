@@ -19,6 +19,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.rules import quality_verdicts
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        "base_failed", "kept")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=0,
