@@ -19,6 +19,15 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.suffix import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return out.select(
+        "row.doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["length"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.rules import quality_verdicts
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
