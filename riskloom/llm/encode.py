@@ -17,6 +17,7 @@ import re
 
 import numpy as np
 
+_TAIL = ".,;:!?#$%&*|"
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -28,7 +29,7 @@ class Encoder:
     own default.
     """
 
-    def __init__(self, path: str, memo_units: int = 1_200_000, block_chars: int = 1 << 20):
+    def __init__(self, path: str, memo_units: int = 1_400_000, block_chars: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -40,6 +41,7 @@ class Encoder:
         self.mark = marks[-1] if marks and self.mode != "whole" else None
         self.memo_units, self.block_chars = memo_units, block_chars
         self.memo: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     @staticmethod
     def _mode(spec: dict) -> str:
@@ -96,19 +98,46 @@ class Encoder:
             if not first and self.mode == "space" and u:
                 u[0] = u[0][1:]
             units.append(u)
-        need = set().union(*units)
         memo = self.memo
-        fresh = [u for u in need if u not in memo]
+        fresh = set()
+        for u in units:
+            fresh.update(itertools.filterfalse(memo.__contains__, u))
         if len(memo) + len(fresh) > self.memo_units:
             for u in list(itertools.islice(memo, len(memo) // 2)):
                 del memo[u]
-            fresh = [u for u in need if u not in memo]
+            fresh = {u for us in units for u in us if u not in memo}
         self._learn(fresh)
         return [b"".join(map(memo.__getitem__, u)) for u in units]
 
-    def _learn(self, units: list[str]) -> None:
-        """Encode unknown units. Many go in one call, set apart by a special token, which
-        the library cuts out before it looks at what lies between."""
+    def _learn(self, fresh: set[str]) -> None:
+        """Ids of unknown units. Punctuation after a letter is a token group of its own,
+        so a unit's stem and its tail are looked up apart; what is left goes to the
+        library."""
+        if self.mode == "whole":
+            self._encode_units(list(fresh))
+            return
+        memo, stems, tailed = self.memo, set(), []
+        for u in fresh:
+            stem = u.rstrip(_TAIL)
+            if len(stem) < len(u) and stem and stem[-1].isalpha():
+                tailed.append((u, stem))
+                if stem not in memo:
+                    stems.add(stem)
+            else:
+                stems.add(u)
+        self._encode_units(list(stems))
+        for u, stem in tailed:
+            tail = u[len(stem):]
+            ids = self.tails.get(tail)
+            if ids is None:
+                ids = np.asarray(self.tok.encode(tail, add_special_tokens=False).ids, "<u4").tobytes()
+                if len(self.tails) < 10_000:
+                    self.tails[tail] = ids
+            memo[u] = memo[stem] + ids
+
+    def _encode_units(self, units: list[str]) -> None:
+        """Many units go in one call, set apart by a special token, which the library cuts
+        out before it looks at what lies between."""
         alone = units
         if self.mark:
             text, number = self.mark

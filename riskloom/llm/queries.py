@@ -46,6 +46,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.decontam import leaks
+    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
 def registry() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 

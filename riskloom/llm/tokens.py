@@ -1,7 +1,7 @@
 """Operator 2: token ids as flat binary files, read back by memory mapping.
 
 Each range of ascending doc_id is one task, which writes three flat little-endian files:
-``.ids`` (uint32 token ids), ``.offsets`` (uint64, one more than documents, counted from
+``.ids`` (token ids, uint16 where the vocabulary fits, else uint32), ``.offsets`` (uint64, one more than documents, counted from
 the file's first id) and ``.docs`` (int64 doc_id, NO_ID for null). The tasks return one
 manifest row per file set; the manifest's prefix sums are the files' bases in the whole
 sequence. File names hold the task attempt, so a retried or lost task leaves no
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from riskloom.llm.common import NO_ID, id_text, scratch_path, ship, stored
 from riskloom.llm.encode import encoder
 
-MANIFEST = "part int, path string, n_docs long, n_ids long"
+MANIFEST = "part int, path string, width int, n_docs long, n_ids long"
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                   ("ids", pa.binary())])
 
@@ -73,6 +73,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int,
     def write(batches):
         ctx = TaskContext.get()
         path = f"{out_dir}/{run}-{ctx.partitionId():06d}-{ctx.taskAttemptId()}"
+        enc = encoder(tokenizer_path)
+        width = 2 if max(enc.tok.get_vocab_size() - 1, end_id) < 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
         files = None
         n_docs = n_ids = 0
@@ -84,9 +86,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int,
                 files[1](np.zeros(1, "<u8"))
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [x + end for x in encoder(tokenizer_path).encode(part.column("text").to_pylist())]
+                ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
                 size = np.array([len(x) // 4 for x in ids], "<u8")
-                files[0](b"".join(ids))
+                files[0](np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}"))
                 files[1](np.uint64(n_ids) + np.cumsum(size))
                 files[2](part.column("doc_id").to_numpy().astype("<i8"))
                 n_docs += part.num_rows
@@ -96,6 +98,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int,
                 f.out.close()
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([ctx.partitionId()], pa.int32()), "path": [path],
+                 "width": pa.array([width], pa.int32()),
                  "n_docs": [n_docs], "n_ids": [n_ids]})
 
     ordered = id_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -114,7 +117,7 @@ def read_token_files(manifest: DataFrame, block_ids: int = 1 << 20) -> DataFrame
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = _mapped(row["path"] + ".ids", "<u4")
+                ids = _mapped(row["path"] + ".ids", f"<u{row['width']}")
                 offsets = _mapped(row["path"] + ".offsets", "<u8").astype(np.int64)
                 doc = _mapped(row["path"] + ".docs", "<i8")
                 a = 0
@@ -129,7 +132,7 @@ def read_token_files(manifest: DataFrame, block_ids: int = 1 << 20) -> DataFrame
                         pa.array(np.diff(offsets[a:b + 1])),
                         pa.Array.from_buffers(pa.binary(), b - a, [
                             None, pa.py_buffer(cut.tobytes()),
-                            pa.py_buffer(ids[offsets[a]:offsets[b]].tobytes())]),
+                            pa.py_buffer(ids[offsets[a]:offsets[b]].astype("<u4").tobytes())]),
                     ], schema=DOCS)
                     a = b
 
