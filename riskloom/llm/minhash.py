@@ -36,11 +36,14 @@ _ID_BITS = 10  # texts of a block; the other 54 bits hold the shingle
 _UNNAMED = 1 << 62
 
 
+def _node():
+    """doc_id, or for a row without one a name made of its text."""
+    return F.coalesce(F.col("doc_id").cast("long"),
+                      F.pmod(F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.lit(_UNNAMED)) + _UNNAMED)
+
+
 def _named(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"),
-                                  F.pmod(F.xxhash64(text), F.lit(_UNNAMED)) + _UNNAMED).alias("doc_id"),
-                       text.alias("text"))
+    return docs.select(_node().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def shingle_sets(data, offsets, words: int, hasher: WordHasher):
@@ -169,9 +172,9 @@ def _ordered_pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
             .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = BANDS,
-                    rows: int = ROWS, pivots: int = 4, max_rounds: int = 8) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
+def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = BANDS,
+           rows: int = ROWS, pivots: int = 4, max_rounds: int = 8) -> DataFrame:
+    """doc_id (or a text's stand-in for it), n_shingles and component of every row.
 
     ``similarity`` is in percent. Each round compares the members of a bucket with
     ``pivots`` of its members; only members still in different components go to the next
@@ -233,8 +236,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, bands
         "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
     rows_out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(
         by_class.withColumnRenamed("n", "n_shingles"), ["set_a", "set_b", "n_shingles"], "left")
-    component = F.coalesce("component", "doc_id")
-    return rows_out.select(
-        F.when(F.col("doc_id") < _UNNAMED, F.col("doc_id")).alias("doc_id"), "n_shingles",
-        F.when(component < _UNNAMED, component).alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"))
+    return rows_out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    def real(name: str):
+        return F.when(F.col(name) < _UNNAMED, F.col(name))
+    return linked(docs, **options).select(
+        real("doc_id").alias("doc_id"), "n_shingles", real("component").alias("component_id"),
+        (F.col("doc_id") == F.col("component")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs`` for each component: its smallest doc_id, and any one of the rows
+    that share that doc_id."""
+    first = linked(docs, **options).where("doc_id = component").select(F.col("doc_id").alias("node")).distinct()
+    named = docs.select(_node().alias("node"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return named.join(first, "node", "left_semi").dropDuplicates(["node"]).select("row.*")

@@ -53,7 +53,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def registry() -> dict:
-    return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
+    import corpus_pipeline
+    ops = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
+    return ops | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:

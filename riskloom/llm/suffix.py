@@ -437,7 +437,16 @@ def _judge(length: int):
     return run
 
 
-def _cut(length: int, schema: pa.Schema):
+def _whole_characters(gone: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``gone``, with every UTF-8 character that lost a byte gone as a whole."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    if len(lead) == len(data):
+        return gone
+    lost = np.logical_or.reduceat(gone, lead)
+    return np.repeat(lost, np.diff(np.append(lead, len(data))))
+
+
+def _cut(length: int, schema: pa.Schema, as_text: bool):
     def run(key: tuple, texts: pa.Table, hits: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return schema.empty_table()
@@ -461,7 +470,7 @@ def _cut(length: int, schema: pa.Schema):
         owner = _doc_of(begin, offsets)
         n = batch.num_rows
         per = np.bincount(owner, minlength=n)
-        left = ~gone
+        left = ~(_whole_characters(gone, data) if as_text and len(data) else gone)
         kept = data[left]
         ends = np.concatenate([[0], np.cumsum(left)])[offsets]
         spans = pa.StructArray.from_arrays([pa.array(begin - offsets[owner]), pa.array(end - begin)],
@@ -470,15 +479,17 @@ def _cut(length: int, schema: pa.Schema):
         return pa.Table.from_arrays([
             batch.column("row"), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(heads, spans),
             pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64).tobytes()),
-                                                         pa.py_buffer(kept.tobytes())]).cast(pa.binary())],
+                                                         pa.py_buffer(kept.tobytes())]).cast(
+                pa.string() if as_text else pa.binary())],
             schema=schema)
     return run
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None = None,
-                   chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+                   as_text: bool = False, chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """``row`` (the carried columns), ``n_bytes``, ``spans`` (start and length of the runs
-    removed, in bytes) and ``kept`` (the bytes that remain) of every row of ``docs``.
+    removed, in bytes) and ``kept`` (the bytes that remain) of every row of ``docs``. With
+    ``as_text``, ``kept`` is a string without the characters that lost a byte.
 
     ``chunk_bytes`` and ``bucket_bytes`` set how much text a task holds at a time; raise
     both on very large tables, where each chunk talks to each bucket.
@@ -495,7 +506,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None =
         _surroundings(length, buckets), "bucket int, chunk long, entries binary")
     hits = stored(entries.groupBy("bucket").applyInArrow(_judge(length), "chunk long, hits binary"), "repeat-hits")
     row_type = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")).schema
-    extra = StructType.fromDDL("n_bytes long, spans array<struct<start:long,length:long>>, kept binary")
+    extra = StructType.fromDDL("n_bytes long, spans array<struct<start:long,length:long>>, kept " + ("string" if as_text else "binary"))
     out = StructType(row_type.fields + extra.fields)
     return chunks.select("chunk", "payload").groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
-        _cut(length, to_arrow_schema(out)), out)
+        _cut(length, to_arrow_schema(out), as_text), out)
