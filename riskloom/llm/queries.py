@@ -13,6 +13,16 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.quality import quality_scores
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          held_out=_fold(5) == 0, calibrate=_fold(5) == 4, threshold=0.3)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.tokens import read_token_files, write_token_files
     files = write_token_files(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
