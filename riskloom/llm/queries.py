@@ -48,6 +48,12 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.langid import languages
+    return languages(table(spark, sf_dir, "documents"), held_out=_fold(3) == 1).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.rules import quality_verdicts
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
