@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm import oracle
 from riskloom.llm.common import table
 
 
@@ -90,4 +91,11 @@ def registry() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "op3_license_scan": oracle.license_scan(),
+        "op4_url_filter": oracle.url_filter(URL_RULES),
+        "op5_suffix_array_dedup": oracle.suffix_array_dedup(50),
+        "op7_quality_rules": oracle.quality_rules(),
+        "op9_minhash_near_dedup": oracle.near_dedup(80),
+        "op10_benchmark_decontamination": oracle.benchmark_leaks(),
+    }
