@@ -1,7 +1,7 @@
 """Operator 3: licences by recognised sentences and ordered rules, in SQL functions only.
 
 A text is split into sentences at line ends and full stops (a line that goes on in lower
-case belongs to the line before). Sentences are lower-cased, everything but letters,
+case belongs to the line before, but for SPDX tags). Sentences are lower-cased, everything but letters,
 digits and dots becomes a blank, and each that equals a known licence sentence becomes
 that sentence's identifier. Rules are tried in order on the identifiers: a rule that
 finds its identifiers one after the other names its licence and uses them up. What no
@@ -112,6 +112,7 @@ def rules() -> list[tuple[str, list[str]]]:
     return out + [(spdx, [_identifier("spdx_", spdx)]) for spdx in _SPDX]
 
 
+TAG_LINE = r"(SPDX-License-Identifier:[^\n]*)\n"
 CONTINUED = r"\n[ \t*#/;-]*([a-z(])"
 OTHER = r"[^a-z0-9.\n]+"
 ENDS = r"\.? *\n[ .\n]*|\. +"
@@ -122,7 +123,8 @@ def normal(sentence: str) -> str:
 
 
 def _sentences(text: Column) -> Column:
-    joined = F.regexp_replace(F.coalesce(text, F.lit("")), CONTINUED, " $1")
+    tagged = F.regexp_replace(F.coalesce(text, F.lit("")), TAG_LINE, "$1.\n")
+    joined = F.regexp_replace(tagged, CONTINUED, " $1")
     clean = F.regexp_replace(F.translate(joined, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), OTHER, " ")
     return F.transform(F.split(clean, ENDS), lambda s: F.btrim(s, F.lit(" .")))
 

@@ -18,8 +18,9 @@ def _quoted(text: str) -> str:
 def license_scan() -> str:
     names = {licenses.normal(s): k for k, s in licenses.dictionary().items()}
     known = "MAP {" + ", ".join(f"{_quoted(s)}: {_quoted(k)}" for s, k in names.items()) + "}"
-    clean = (f"regexp_replace({_LOWER.format('regexp_replace(coalesce(text, chr(32)), ' + _quoted(licenses.CONTINUED) + ', ' + _quoted(' ' + chr(92) + '1') + ', ' + _quoted('g') + ')')}, "
-             f"{_quoted(licenses.OTHER)}, ' ', 'g')")
+    tagged = f"regexp_replace(coalesce(text, ''), {_quoted(licenses.TAG_LINE)}, {_quoted(chr(92) + '1.' + chr(10))}, 'g')"
+    joined = f"regexp_replace({tagged}, {_quoted(licenses.CONTINUED)}, {_quoted(' ' + chr(92) + '1')}, 'g')"
+    clean = f"regexp_replace({_LOWER.format(joined)}, {_quoted(licenses.OTHER)}, ' ', 'g')"
     parts = [f"""WITH s AS (SELECT doc_id, list_transform(regexp_split_to_array({clean}, {_quoted(licenses.ENDS)}),
       lambda x: trim(x, ' .')) AS s FROM documents),
     f AS (SELECT doc_id, list_filter(list_transform(s, lambda x: {known}[x]), lambda x: x IS NOT NULL) AS f FROM s),
@@ -67,7 +68,7 @@ def url_filter(rules_: list[tuple[str, str, str]], rounds: int = 12, damping: fl
     return ",\n".join(out) + f""",
     g AS (SELECT host, sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END) AS trust,
       sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM m{rounds} GROUP BY host),
-    j AS (SELECT host, distrust > trust AND distrust > 1.0 / (SELECT count(*) FROM g) AS blocked FROM g)
+    j AS (SELECT host, distrust > trust AND distrust > 1.0 / (SELECT count(DISTINCT host) FROM q WHERE host <> '') AS blocked FROM g)
     SELECT page_id, q.host, path, rule, coalesce(fit, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
     FROM q LEFT JOIN j USING (host)"""
 

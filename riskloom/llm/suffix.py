@@ -5,7 +5,8 @@ a smaller doc_id. The suffixes that are sorted start at anchors: the ``GRAM``-by
 whose hash is the least of some window of ``length`` bytes. Every window holds an anchor,
 and equal windows hold equal anchors, so each repeat shows up at its anchors.
 
-1. Documents are stored in chunks. Each chunk sends the fingerprints of its anchors to
+1. Documents are stored in chunk files on the shared storage (the attempt of a task is part
+   of a file's name, and only files of finished tasks are listed). Each chunk sends the fingerprints of its anchors to
    buckets by hash range; a bucket answers which anchors occur in two documents.
 2. A chunk sends the bytes around such anchors to the anchor's bucket. Equal surroundings
    in one chunk travel once, with their smallest doc_id, so a passage that a third of all
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from riskloom.llm.common import NO_ID, mix64, run_index, ship, slices, stored, text_bytes
+from riskloom.llm.common import (NO_ID, mix64, open_output, read_shared, scratch_path, ship, slices, stored,
+                                 text_bytes)
 
 GRAM = 24
 SHALLOW = 32  # bytes that multikey quicksort looks at before blind tries take over
@@ -50,7 +52,7 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of a run of texts."""
     places, hashes = [], []
-    for a, b in slices(offsets, 1 << 20):
+    for a, b in slices(offsets, 1 << 19):
         lo, hi = int(offsets[a]), int(offsets[b])
         n = hi - lo
         if n < length:
@@ -266,20 +268,24 @@ def _unpack(raw: bytes) -> dict[str, np.ndarray]:
 
 
 def _chunks(docs: DataFrame, carry: list[str], chunk_bytes: int) -> DataFrame:
-    """Rows of about ``chunk_bytes`` of text: a number, the bytes and a compressed Arrow
-    stream of doc_id, text and the carried columns."""
+    """Files of about ``chunk_bytes`` of text, each a compressed Arrow stream of doc_id, text
+    and the carried columns; one row per file: its number, path and bytes of text."""
+    folder = scratch_path(docs.sparkSession, "text-chunks")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))
 
     def pack(batches):
-        base, number = TaskContext.get().partitionId() << 32, 0
+        ctx = TaskContext.get()
+        base, number = ctx.partitionId() << 32, 0
         held, size = [], 0
 
         def emit():
             batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            return pa.RecordBatch.from_pydict({"chunk": [base + number], "n_bytes": [size],
-                                               "payload": [_stream(batch)]})
+            path = f"{folder}/{base + number}-{ctx.taskAttemptId()}.arrow"
+            with open_output(path) as f:
+                f.write(_stream(batch))
+            return pa.RecordBatch.from_pydict({"chunk": [base + number], "n_bytes": [size], "path": [path]})
 
         for batch in batches:
             _, offsets = text_bytes(batch.column("text"))
@@ -292,11 +298,11 @@ def _chunks(docs: DataFrame, carry: list[str], chunk_bytes: int) -> DataFrame:
         if held and sum(x.num_rows for x in held):
             yield emit()
 
-    return rows.mapInArrow(pack, "chunk long, n_bytes long, payload binary")
+    return rows.mapInArrow(pack, "chunk long, n_bytes long, path string")
 
 
-def _opened(payload: bytes):
-    batch = pa.ipc.open_stream(payload).read_next_batch()
+def _opened(path: str):
+    batch = pa.ipc.open_stream(read_shared(path)).read_next_batch()
     data, offsets = text_bytes(batch.column("text"))
     return batch, batch.column("doc_id").to_numpy(), data, offsets
 
@@ -313,8 +319,8 @@ def _doc_of(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _fingerprints(chunks: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for number, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
-                _, ids, data, offsets = _opened(payload.as_buffer())
+            for number, path in zip(batch.column("chunk").to_pylist(), batch.column("path").to_pylist()):
+                _, ids, data, offsets = _opened(path)
                 places, hashes = anchors(data, offsets, length)
                 doc = ids[_doc_of(places, offsets)]
                 order = np.argsort(hashes, kind="stable")
@@ -361,7 +367,7 @@ def _surroundings(length: int, buckets: int):
         if not texts.num_rows:
             return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64()),
                              "entries": pa.array([], pa.binary())})
-        _, ids, data, offsets = _opened(texts.column("payload")[0].as_buffer())
+        _, ids, data, offsets = _opened(texts.column("path")[0].as_py())
         places, hashes = anchors(data, offsets, length)
         distinct, inverse = np.unique(hashes, return_inverse=True)
         answers = answers.sort_by("bucket")
@@ -373,8 +379,8 @@ def _surroundings(length: int, buckets: int):
         row = _doc_of(places, offsets)
         begin, end, doc = offsets[row], offsets[row + 1], ids[row]
         around = np.zeros((len(places), len(spread)), np.uint8)
-        for a in range(0, len(places), 1 << 16):
-            s = slice(a, a + (1 << 16))
+        for a in range(0, len(places), 1 << 14):
+            s = slice(a, a + (1 << 14))
             at = places[s, None] + spread
             inside = (at >= begin[s, None]) & (at < end[s, None])
             around[s] = np.where(inside, data[np.where(inside, at, 0)], 0)
@@ -450,7 +456,7 @@ def _cut(length: int, schema: pa.Schema, as_text: bool):
     def run(key: tuple, texts: pa.Table, hits: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return schema.empty_table()
-        batch, _, data, offsets = _opened(texts.column("payload")[0].as_buffer())
+        batch, _, data, offsets = _opened(texts.column("path")[0].as_py())
         step = np.zeros(len(data) + 1, np.int32)
         for raw in hits.column("hits"):
             found = _unpack(raw.as_buffer().to_pybytes())
@@ -486,7 +492,7 @@ def _cut(length: int, schema: pa.Schema, as_text: bool):
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None = None,
-                   as_text: bool = False, chunk_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+                   as_text: bool = False, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
     """``row`` (the carried columns), ``n_bytes``, ``spans`` (start and length of the runs
     removed, in bytes) and ``kept`` (the bytes that remain) of every row of ``docs``. With
     ``as_text``, ``kept`` is a string without the characters that lost a byte.
@@ -497,16 +503,22 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None =
     ship(docs.sparkSession)
     carry = ["doc_id"] if carry is None else carry
     chunks = stored(_chunks(docs, carry, chunk_bytes), "text-chunks")
-    total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
+    n_chunks, total = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     buckets = max(1, -(-total // bucket_bytes))
-    shared = (_fingerprints(chunks.select("chunk", "payload"), length, buckets).groupBy("bucket")
+    # the rows that name chunks are tiny, so the number of tasks is set by chunks, not bytes
+    tasks = max(1, -(-n_chunks // 4))
+
+    def by_chunk(rows: DataFrame):
+        return rows.repartition(tasks, "chunk").groupBy("chunk")
+
+    names = chunks.select("chunk", "path")
+    shared = (_fingerprints(names.repartition(tasks, "chunk"), length, buckets).groupBy("bucket")
               .applyInArrow(_shared, "chunk long, bucket int, n long, flags binary"))
-    texts = chunks.select("chunk", "payload").groupBy("chunk")
-    entries = texts.cogroup(shared.groupBy("chunk")).applyInArrow(
+    entries = by_chunk(names).cogroup(by_chunk(shared)).applyInArrow(
         _surroundings(length, buckets), "bucket int, chunk long, entries binary")
     hits = stored(entries.groupBy("bucket").applyInArrow(_judge(length), "chunk long, hits binary"), "repeat-hits")
     row_type = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")).schema
-    extra = StructType.fromDDL("n_bytes long, spans array<struct<start:long,length:long>>, kept " + ("string" if as_text else "binary"))
+    extra = StructType.fromDDL("n_bytes long, spans array<struct<start:long,length:long>>, kept "
+                               + ("string" if as_text else "binary"))
     out = StructType(row_type.fields + extra.fields)
-    return chunks.select("chunk", "payload").groupBy("chunk").cogroup(hits.groupBy("chunk")).applyInArrow(
-        _cut(length, to_arrow_schema(out), as_text), out)
+    return by_chunk(names).cogroup(by_chunk(hits)).applyInArrow(_cut(length, to_arrow_schema(out), as_text), out)

@@ -13,19 +13,16 @@ text is its end id alone; an empty table has an empty manifest.
 
 from __future__ import annotations
 
-import os
 import uuid
-from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskloom.llm.common import NO_ID, id_text, scratch_path, ship, stored
+from riskloom.llm.common import NO_ID, id_text, open_output, read_shared, scratch_path, ship, stored
 from riskloom.llm.encode import encoder
 
 MANIFEST = "part int, path string, width int, n_docs long, n_ids long"
@@ -33,34 +30,8 @@ DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
                   ("ids", pa.binary())])
 
 
-def _local(uri: str) -> str | None:
-    u = urlparse(uri)
-    return unquote(u.path) if u.scheme in ("", "file") else None
-
-
-class _Writer:
-    """A file on the shared storage; other schemes go through Arrow's file systems."""
-
-    def __init__(self, uri: str):
-        local = _local(uri)
-        if local:
-            os.makedirs(os.path.dirname(local), exist_ok=True)
-            self.out = open(local, "wb")
-        else:
-            fs, path = pa.fs.FileSystem.from_uri(uri)
-            self.out = fs.open_output_stream(path)
-
-    def __call__(self, array: np.ndarray | bytes) -> None:
-        self.out.write(array if isinstance(array, bytes) else array.tobytes())
-
-
 def _mapped(uri: str, dtype: str) -> np.ndarray:
-    """The file as an array: memory-mapped on a mounted file system."""
-    local = _local(uri)
-    if local:
-        return np.memmap(local, dtype, "r") if os.path.getsize(local) else np.zeros(0, dtype)
-    fs, path = pa.fs.FileSystem.from_uri(uri)
-    return np.frombuffer(fs.open_input_file(path).read_buffer(), dtype)
+    return np.frombuffer(read_shared(uri), dtype)
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int,
@@ -82,20 +53,20 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int,
             if not batch.num_rows:
                 continue
             if files is None:
-                files = [_Writer(f"{path}.{k}") for k in ("ids", "offsets", "docs")]
-                files[1](np.zeros(1, "<u8"))
+                files = [open_output(f"{path}.{k}") for k in ("ids", "offsets", "docs")]
+                files[1].write(np.zeros(1, "<u8").tobytes())
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 ids = [x + end for x in enc.encode(part.column("text").to_pylist())]
                 size = np.array([len(x) // 4 for x in ids], "<u8")
-                files[0](np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}"))
-                files[1](np.uint64(n_ids) + np.cumsum(size))
-                files[2](part.column("doc_id").to_numpy().astype("<i8"))
+                files[0].write(np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes())
+                files[1].write((np.uint64(n_ids) + np.cumsum(size)).tobytes())
+                files[2].write(part.column("doc_id").to_numpy().astype("<i8").tobytes())
                 n_docs += part.num_rows
                 n_ids += int(size.sum())
         if files is not None:
             for f in files:
-                f.out.close()
+                f.close()
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([ctx.partitionId()], pa.int32()), "path": [path],
                  "width": pa.array([width], pa.int32()),

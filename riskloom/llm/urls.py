@@ -6,7 +6,7 @@ blocks). Hosts of pages that a rule allows are trusted seeds, hosts of pages tha
 blocks are distrusted seeds, each weighted by such pages. Personalised PageRank carries
 trust along host edges and distrust against them. An edge is a hyperlink between hosts
 (a relative one stays at home) or the tie between a host and the domain above it. A host
-is blocked if its distrust exceeds its trust and the share that every host would have.
+is blocked if its distrust exceeds both its trust and an equal share for each host with pages.
 
 A null URL or one without ``://`` has an empty host and path: no rule fits and the method
 allows it. Null or empty html has no links. Repeated pages count as often as they occur.
@@ -99,7 +99,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], rounds: in
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     parsed = parsed.withColumn("fit", best_rule(rules))
     graph = host_trust(parsed, rounds, damping)
-    n_hosts = max(1, graph.count())
+    n_hosts = max(1, parsed.where("host <> ''").select("host").distinct().count())
     judged = graph.withColumn("blocked", (F.col("distrust") > F.col("trust")) & (F.col("distrust") > 1 / n_hosts))
     return parsed.select("page_id", "host", "path", "fit").join(judged, "host", "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
