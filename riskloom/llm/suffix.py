@@ -74,7 +74,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
         reach[width - 1:width - 1 + len(least)] = least
         chosen = np.flatnonzero(_slide(reach, width, np.maximum) == h)
         places.append(chosen + lo)
-        hashes.append(h[chosen])
+        hashes.append(mix64(h[chosen] ^ _U(0x632BE59BD9B4E019)))  # minima are small; spread them evenly
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate(places), np.concatenate(hashes)
