@@ -195,7 +195,7 @@ def build() -> dict[str, str]:
     q["i7_class_balance"] = with_panel(final=f"""SELECT label, COUNT(*) AS n,
       {r6('COUNT(*) / SUM(COUNT(*)) OVER ()')} AS share FROM dev GROUP BY label""")
     q["i8_value_counts"] = with_panel(final=" UNION ALL ".join(
-        f"SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS value, COUNT(*) AS n FROM dev GROUP BY {c}"
+        f"SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS value, COUNT(*) AS n FROM dev WHERE {c} IS NOT NULL GROUP BY {c}"
         for c in CAT))
     q["i9_distinct_codes"] = with_panel(final=" UNION ".join(
         f"SELECT DISTINCT '{c}' AS column, CAST({c} AS DOUBLE) AS value FROM dev WHERE {c} IS NOT NULL"
@@ -213,7 +213,7 @@ def build() -> dict[str, str]:
     q["i10_histograms"] = with_panel(*hist_parts, final=" UNION ALL ".join(
         f"SELECT '{c}' AS column, bin, {r6('lo')} AS lo, {r6('hi')} AS hi, COUNT(*) AS n "
         f"FROM b2_{c} GROUP BY bin, lo, hi" for c in ("LIMIT_BAL", "AGE")))
-    q["i10_count_plot"] = with_panel(final="SELECT PAY_0, COUNT(*) AS n FROM dev GROUP BY PAY_0")
+    q["i10_count_plot"] = with_panel(final="SELECT PAY_0, COUNT(*) AS n FROM dev WHERE PAY_0 IS NOT NULL GROUP BY PAY_0")
     allc = ["ID"] + FEATURES + ["label"]
     q["i11_missingness"] = with_panel(final=" UNION ALL ".join(
         f"SELECT COUNT(*) AS n_rows, '{c}' AS column, COUNT(*) - COUNT({c}) AS n_null FROM dev"
@@ -507,7 +507,7 @@ def build_k(q: dict) -> None:
     q["k3_seed_average"] = with_panel(SCORES, *ks, f"so AS ({order})", final=f"""
       SELECT model, ID, label, CAST(ROW_NUMBER() OVER w AS BIGINT) AS n_seeds,
         {r6('SUM(proba) OVER w / ROW_NUMBER() OVER w')} AS proba
-      FROM ks JOIN so USING (seed) WHERE model = 'dummy'
+      FROM ks JOIN so USING (seed)
       WINDOW w AS (PARTITION BY model, ID, label ORDER BY seed_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
     q["k7_diversity"] = with_panel(SCORES, GRID, *ks, _best_by("ks", "model, seed", "kb"), """
       hard AS (SELECT ks.*, CASE WHEN ks.proba >= kb.t THEN 1 ELSE 0 END AS h FROM ks
@@ -566,7 +566,7 @@ def build_f(q: dict) -> None:
       rk AS (SELECT ID, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY md5(concat('2024', ':', CAST(ID AS VARCHAR))), ID) - 1 AS r FROM rx)""",
                                      final="SELECT ID, label FROM rk WHERE label = (SELECT label FROM mino) OR r < (SELECT n FROM mino)")
     q["f7_knn"] = with_panel(*rs, f"""pairs AS (SELECT a.ID AS ID, b.ID AS neighbor, {_dist2()} AS d2
-        FROM rx a JOIN rx b ON a.label = 1 AND b.label = 1 AND a.ID <> b.ID),
+        FROM rx a JOIN rx b ON a.ID <> b.ID),
       rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ID ORDER BY d2, neighbor) AS rank FROM pairs)""",
                              final="SELECT ID, neighbor, CAST(rank AS INT) AS rank, ROUND(SQRT(d2), 3) AS dist FROM rk WHERE rank <= 5")
     nn1 = f"""p1 AS (SELECT a.ID AS qid, b.ID AS nid, {_dist2()} AS d2 FROM rx a JOIN rx b ON a.ID <> b.ID),

@@ -1,10 +1,9 @@
 """Isolation-forest anomaly score column (Liu, Ting & Zhou 2008).
 
 Fit (training rows only):
-1. ONE pass draws each tree's subsample: every row gets a seeded hash per tree, and
-   the ``psi`` (<= 256) smallest hashes of a tree form its sample — chosen with a
-   ``row_number`` over pre-filtered candidates (about 2*psi rows per tree), so no
-   task sees more than a few hundred rows of one tree.
+1. Each tree's subsample are the rows with its ``psi`` (<= 256) smallest seeded hashes. A
+   row's array of trees is filtered by a pre-set hash bound before it is exploded, so about
+   2*psi rows per tree leave the scan, and only the chosen IDs fetch their features.
 2. ``groupBy(tree).applyInPandas`` grows all trees in parallel (random feature,
    uniform split between the node's min and max, height limit ceil(log2 psi)).
 3. The trees (<= T x (2*psi - 1) nodes, a fixed bound) are collected and broadcast.
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import cut_lineage
+
 EULER = 0.5772156649015329
 
 
@@ -107,20 +108,20 @@ def fit_isolation_forest(train: DataFrame, n_trees: int = 200, max_samples: int
     n = train.count()
     psi = int(min(max_samples, n))
     frac = min(1.0, 2.0 * psi / max(n, 1) + 1e-9)
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    cand = train.select("ID", features, F.explode(trees).alias("tree")) \
-        .withColumn("u", F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), F.col("ID")),
-                                F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
-    # pre-filter keeps ~2*psi rows per tree; if a tree falls short, take all rows
-    while True:  # widen the pre-filter until every tree has psi candidates
-        cand_f = cand.where(F.col("u") < F.lit(frac)) if frac < 1.0 else cand
-        if frac >= 1.0 or cand_f.groupBy("tree").count() \
-                .where(F.col("count") < psi).limit(1).count() == 0:
+
+    def u(tree):
+        return F.pmod(F.xxhash64(F.lit(seed), tree, F.col("ID")), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+
+    while True:  # widen the bound until every tree has psi candidates
+        chosen = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < F.lit(frac))
+        cand = cut_lineage(train.select("ID", F.explode(chosen).alias("tree")).withColumn("u", u(F.col("tree"))))
+        enough = cand.groupBy("tree").count().where(F.col("count") >= psi).count()
+        if frac >= 1.0 or enough == n_trees:
             break
         frac = min(1.0, frac * 2.0)
     w = Window.partitionBy("tree").orderBy("u", "ID")
-    sample = cand_f.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi) \
-        .select("tree", F.col(features).alias("features"))
+    ids = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") <= psi).select("tree", "ID")
+    sample = train.select("ID", F.col(features).alias("features")).join(ids, "ID").select("tree", "features")
     max_height = int(math.ceil(math.log2(max(psi, 2))))
     tdf = sample.groupBy("tree").applyInPandas(_grow(seed, max_height), TREE_SCHEMA).toPandas()
     return IsolationForestModel(tdf, psi)

@@ -1,82 +1,163 @@
-"""Exact k-nearest-neighbour join (F7), blocked so no task ever holds n^2 pairs.
-
-Queries and targets are hash-assigned to ``B`` blocks; every query block meets every
-target block in its own group ``(qb, tb)`` (each row is replicated B times), where
-a vectorised numpy kernel computes squared Euclidean distances for a slice of the
-queries at a time and keeps the k best per query (ties by target ID). The partial
-lists (B x k per query) are merged with a ``row_number`` window per query.
-Memory per task = block x block (x a query slice), never n x n; the total work is
-the exact n x m comparison, spread over B^2 tasks.
+"""Exact k-nearest-neighbour join (F7) that skips blocks by distance bounds.
+
+Targets are dealt to blocks by their nearest pivot (target rows drawn by hash, one for every
+``rows_per_block`` targets); a block with more rows is split into units by hash, so a unit
+has a bounded size whatever the data looks like. Every query first meets one unit of its own
+block, which bounds the distance of its k-th neighbour. By the triangle inequality a block
+whose pivot is farther than that bound plus the block's radius holds no neighbour; the query
+is sent to the units of the other blocks only. Where many queries go to a unit, they are
+split and the unit is copied. Partial lists (k rows each) are merged per query; ties go to
+the smaller target ID.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-OUT_SCHEMA = T.StructType([T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()),
-                           T.StructField("dist2", T.DoubleType())])
+from riskloom.session import cut_lineage
+
+PARTIAL = "qid long, nid long, dist2 double"
+
+
+def _matrix(rows: pd.Series) -> np.ndarray:
+    return np.stack(rows.to_numpy()).astype("float64")
 
 
-def _blocks(n_rows: int, target_rows_per_block: int = 4000) -> int:
-    return max(1, int(np.ceil(n_rows / target_rows_per_block)))
+def _squared(q: np.ndarray, t: np.ndarray) -> np.ndarray:
+    return np.maximum((q * q).sum(1)[:, None] + (t * t).sum(1)[None, :] - 2 * q @ t.T, 0)
 
 
-def _kernel(k: int, exclude_self: bool, slice_rows: int = 256):
+def _nearest(k: int, exclude_self: bool, slice_rows: int = 256):
+    """The k best targets of each query of a group. A matrix product proposes, exact
+    distances decide; a query whose proposals are too close to call gets all of them."""
+    spare = 8
+
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"),
-                                 "nid": pd.Series([], dtype="int64"),
-                                 "dist2": pd.Series([], dtype="float64")})
-        tx = np.stack(t["features"].to_numpy()).astype("float64")
-        tid = t["ID"].to_numpy().astype("int64")
-        order = np.argsort(tid, kind="stable")  # ties resolved by smaller target id
-        tx, tid = tx[order], tid[order]
-        qx_all = np.stack(q["features"].to_numpy()).astype("float64")
-        qid_all = q["ID"].to_numpy().astype("int64")
-        out_q, out_n, out_d = [], [], []
-        kk = min(k + (1 if exclude_self else 0), len(tid))
-        for s in range(0, len(qid_all), slice_rows):
-            qx = qx_all[s:s + slice_rows]
-            qid = qid_all[s:s + slice_rows]
-            diff = qx[:, None, :] - tx[None, :, :]
-            d2 = np.einsum("ijk,ijk->ij", diff, diff)
-            if exclude_self:
-                d2 = np.where(qid[:, None] == tid[None, :], np.inf, d2)
-            idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            dd = np.take_along_axis(d2, idx, axis=1)
-            keep = np.isfinite(dd)
-            out_q.append(np.repeat(qid, kk)[keep.ravel()])
-            out_n.append(tid[idx].ravel()[keep.ravel()])
-            out_d.append(dd.ravel()[keep.ravel()])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "nid": np.concatenate(out_n),
-                             "dist2": np.concatenate(out_d)})
+        found = []
+        if len(q) and len(t):
+            t = t.sort_values("ID", kind="stable")
+            tx, tid = _matrix(t["features"]), t["ID"].to_numpy("int64")
+            qx_all, qid_all = _matrix(q["features"]), q["ID"].to_numpy("int64")
+            scale = 1e-9 * (1 + (tx * tx).sum(1).max())
+            for s in range(0, len(qid_all), slice_rows):
+                qx, qid = qx_all[s:s + slice_rows], qid_all[s:s + slice_rows]
+                near = _squared(qx, tx)
+                if exclude_self:
+                    near[qid[:, None] == tid[None, :]] = np.inf
+                want = min(k + spare, len(tid))
+                for i in range(len(qid)):
+                    row = near[i]
+                    if want < len(tid):
+                        pick = np.sort(np.argpartition(row, want - 1)[:want])
+                        kth = np.partition(row[pick], min(k, want) - 1)[min(k, want) - 1]
+                        if row[pick].max() <= kth + scale + 1e-9 * (qx[i] * qx[i]).sum():
+                            pick = np.arange(len(tid))
+                    else:
+                        pick = np.arange(len(tid))
+                    pick = pick[np.isfinite(row[pick])]
+                    diff = tx[pick] - qx[i]
+                    exact = np.einsum("ij,ij->i", diff, diff)
+                    best = np.argsort(exact, kind="stable")[:k]
+                    found.append(pd.DataFrame({"qid": qid[i], "nid": tid[pick[best]], "dist2": exact[best]}))
+        return pd.concat(found) if found else pd.DataFrame({"qid": pd.Series([], dtype="int64"),
+                                                            "nid": pd.Series([], dtype="int64"),
+                                                            "dist2": pd.Series([], dtype="float64")})
     return run
 
 
+def _placed(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """ID, features, block (nearest pivot) and the distance to that pivot."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                x = _matrix(f["features"])
+                block = np.concatenate([_squared(x[s:s + 1024], pivots).argmin(1) for s in range(0, len(x), 1024)])
+                yield f.assign(block=block, near=np.sqrt(((x - pivots[block]) ** 2).sum(1)))
+    return rows.select(F.col("ID").cast("long").alias("ID"), F.col("features").cast("array<double>").alias("features")
+                       ).mapInPandas(run, "ID long, features array<double>, block int, near double")
+
+
+class _Units:
+    """Units of each block: ``first[block]`` on, ``many[block]`` of them; ``radius`` by block."""
+
+    def __init__(self, stats, blocks: int, rows_per_block: int):
+        self.many, self.radius = np.zeros(blocks, np.int64), np.zeros(blocks)
+        for r in stats:
+            self.many[r["block"]], self.radius[r["block"]] = -(-r["n"] // rows_per_block), r["radius"]
+        self.first = np.concatenate([[0], np.cumsum(self.many)])
+
+    def column(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with a unit of its block drawn by the hash of its ID (null: empty block)."""
+        many, first = self.many, self.first
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                b = f["block"].to_numpy()
+                unit = first[b] + f["h"].to_numpy() % np.maximum(many[b], 1)
+                yield f.drop(columns="h").assign(unit=np.where(many[b] > 0, unit, -1))
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+        return rows.withColumn("h", F.pmod(F.xxhash64("ID"), F.lit(1 << 40))).mapInPandas(run, schema + ", unit long")
+
+
+def _meet(queries: DataFrame, targets: DataFrame, k: int, exclude_self: bool, rows_per_block: int) -> DataFrame:
+    """Partial lists of (unit, ID, features) queries against the targets of their unit."""
+    share = queries.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias("parts"))
+    q = queries.join(share, "unit").withColumn("part", F.pmod(F.xxhash64("ID", F.lit(1)), F.col("parts")).cast("int"))
+    t = targets.join(share, "unit").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return q.select("unit", "part", "ID", "features").groupBy("unit", "part").cogroup(
+        t.select("unit", "part", "ID", "features").groupBy("unit", "part")).applyInPandas(_nearest(k, exclude_self), PARTIAL)
+
+
+def _reachable(queries: DataFrame, pivots: np.ndarray, units: _Units) -> DataFrame:
+    """(ID, features, unit) for every unit, besides the first one met, that may hold a
+    neighbour of the query: ``kth`` is its bound (null: none yet)."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for s in range(0, len(f), 256):
+                g = f.iloc[s:s + 256]
+                x = _matrix(g["features"])
+                away = np.sqrt(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(2)) if len(pivots) * x.size < 1e7 \
+                    else np.sqrt(_squared(x, pivots))
+                bound = np.sqrt(g["kth"].fillna(np.inf).to_numpy())
+                slack = 1e-6 * (1 + np.abs(x).max())
+                row, block = np.nonzero((away - units.radius <= bound[:, None] + slack) & (units.many > 0))
+                many = units.many[block]
+                row = np.repeat(row, many)
+                unit = np.repeat(units.first[block], many) + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                other = unit != g["unit"].to_numpy()[row]
+                yield pd.DataFrame({"ID": g["ID"].to_numpy()[row[other]], "features": g["features"].to_numpy()[row[other]],
+                                    "unit": unit[other]})
+    return queries.select("ID", "features", "unit", "kth").mapInPandas(run, "ID long, features array<double>, unit long")
+
+
 def knn(queries: DataFrame, targets: DataFrame, k: int, exclude_self: bool = True,
-        blocks: int | None = None) -> DataFrame:
+        rows_per_block: int = 4000) -> DataFrame:
     """(qid, nid, dist2, rank) — the k nearest targets of every query row.
 
     Both inputs have ``ID`` and ``features`` (array<double>). ``exclude_self`` drops
-    the pair with equal IDs (neighbours of a row within its own set).
+    the pair with equal IDs (neighbours of a row within its own set). ``rows_per_block``
+    bounds the rows that a task compares at a time.
     """
-    if blocks is None:
-        n = targets.count()
-        blocks = _blocks(n)
-    b = int(blocks)
-    rep = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
-    # fresh attribute ids on both sides: inputs often share lineage (self-joins)
-    q = queries.select(F.col("ID").alias("ID"), F.col("features").alias("features"),
-                       F.pmod(F.xxhash64("ID", F.lit("q")), F.lit(b)).alias("qb"),
-                       rep.alias("tb"))
-    t = targets.select(F.col("ID").alias("ID"), F.col("features").alias("features"),
-                       rep.alias("qb"),
-                       F.pmod(F.xxhash64("ID", F.lit("t")), F.lit(b)).alias("tb"))
-    partial = q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")) \
-        .applyInPandas(_kernel(k, exclude_self), OUT_SCHEMA)
+    n = targets.count()
+    blocks = max(1, -(-n // rows_per_block))
+    drawn = targets.orderBy(F.xxhash64("ID", F.lit(7)), "ID").limit(blocks).select("features").collect()
+    pivots = np.array([r["features"] for r in drawn], "float64").reshape(len(drawn), -1)
+    if not n:
+        return queries.sparkSession.createDataFrame([], PARTIAL + ", rank int")
+    placed = _placed(targets, pivots)
+    stats = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("radius")).collect()
+    units = _Units(stats, blocks, rows_per_block)
+    t = cut_lineage(units.column(placed).select("ID", "features", "unit"))
+    q = cut_lineage(units.column(_placed(queries, pivots)).select("ID", "features", "unit"))
+    first = cut_lineage(_meet(q, t, k, exclude_self, rows_per_block))
+    kth = first.groupBy(F.col("qid").alias("ID")).agg(
+        F.when(F.count(F.lit(1)) >= k, F.max("dist2")).alias("kth"))
+    rest = cut_lineage(_reachable(q.join(kth, "ID", "left"), pivots, units))
+    partial = first.unionByName(_meet(rest, t, k, exclude_self, rows_per_block))
     w = Window.partitionBy("qid").orderBy("dist2", "nid")
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

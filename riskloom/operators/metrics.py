@@ -72,27 +72,34 @@ def macro_f1_at_cut(scored: DataFrame, keys=(), cut=0.5, score="proba",
                      .alias("macro_f1"))
 
 
+#: distinct scores that one task orders at a time in ``roc_auc``
+SCORES_PER_BUCKET = 20_000
+
+
 def roc_auc(scored: DataFrame, keys=(), score="proba", label="label",
-            n_buckets: int = 1024) -> DataFrame:
-    """I4: ROC-AUC with half credit for ties, exact in integer arithmetic.
+            per_bucket: int = SCORES_PER_BUCKET) -> DataFrame:
+    """I4: ROC-AUC with half credit for ties; NULL for a group with one class.
 
     Distinct scores are aggregated first (a score shared by many rows is one row).
     "Negatives strictly below" = a running sum inside a bucket + the running totals
     of the buckets before it. Bucket edges are approximate quantiles of the DISTINCT
-    (group, score) rows, applied with ``Bucketizer`` (JVM binary search), so each
-    bucket holds ~1/n_buckets of them however the scores cluster; the bucket-level
-    window holds at most n_buckets rows per group.
+    (group, score) rows, one for every ``per_bucket`` of them, applied with ``Bucketizer``
+    (JVM binary search). Counts are summed as 38-digit decimals, so they stay exact for
+    any number of rows.
     """
     from pyspark.ml.feature import Bucketizer
     keys = list(keys)
     y = F.col(label).cast("long")
     d = scored.groupBy(*keys, F.col(score).cast("double").alias("s")) \
         .agg(F.sum(y).alias("n_pos"), F.sum(1 - y).alias("n_neg"))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = d.agg(F.percentile_approx("s", probs, 10_000).alias("e")).first()
-    edges = sorted({float(v) for v in (row["e"] or [])})
-    splits = [float("-inf")] + edges + [float("inf")]
-    d = Bucketizer(splits=splits, inputCol="s", outputCol="bkt").transform(d)
+    n_buckets = max(1, -(-d.count() // per_bucket))
+    edges = []
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        edges = d.agg(F.percentile_approx("s", probs, max(10_000, 10 * n_buckets)).alias("e")).first()["e"] or []
+    splits = [float("-inf")] + sorted({float(v) for v in edges}) + [float("inf")]
+    d = Bucketizer(splits=splits, inputCol="s", outputCol="bkt").transform(d) if len(splits) > 2 \
+        else d.withColumn("bkt", F.lit(0.0))
     w_in = Window.partitionBy(*keys, "bkt").orderBy("s") \
         .rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("neg_in", F.coalesce(F.sum("n_neg").over(w_in), F.lit(0)))
@@ -101,11 +108,12 @@ def roc_auc(scored: DataFrame, keys=(), score="proba", label="label",
         .orderBy("bkt").rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("neg_before", F.coalesce(F.sum("bneg").over(w_b), F.lit(0))).drop("bneg")
     j = d.join(b, [*keys, "bkt"])
-    twice = F.col("n_pos") * (2 * (F.col("neg_before") + F.col("neg_in")) + F.col("n_neg"))
-    agg = j.groupBy(*keys).agg(F.sum(twice).alias("num2"), F.sum("n_pos").alias("P"),
-                               F.sum("n_neg").alias("N"))
-    return agg.select(*keys, (F.col("num2").cast("double") /
-                              (F.lit(2.0) * F.col("P") * F.col("N"))).alias("roc_auc"))
+    below = (2 * (F.col("neg_before") + F.col("neg_in")) + F.col("n_neg")).cast("decimal(20,0)")
+    agg = j.groupBy(*keys).agg(
+        F.sum(F.col("n_pos").cast("decimal(18,0)") * below).cast("decimal(38,0)").alias("num2"),
+        F.sum("n_pos").alias("P"), F.sum("n_neg").alias("N"))
+    area = F.col("num2").cast("double") / F.col("P").cast("double") / F.col("N").cast("double") / 2
+    return agg.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), area).alias("roc_auc"))
 
 
 def fold_macro_f1(scored: DataFrame, keys=(), fold="fold", cut=0.5, score="proba",
@@ -144,9 +152,10 @@ def _long(df: DataFrame, cols, name="column", value="value") -> DataFrame:
 
 
 def value_counts(df: DataFrame, cols=None) -> DataFrame:
-    """I8: per-column value counts of the categoricals (one job for all columns)."""
+    """I8: per-column value counts of the categoricals (one job for all columns); missing
+    values are not counted."""
     cols = list(cols or config.CATEGORICAL)
-    return _long(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _long(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_codes(df: DataFrame, cols=None) -> DataFrame:
@@ -194,8 +203,8 @@ def bin_index(x: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def count_plot(df: DataFrame, col: str = "PAY_0") -> DataFrame:
-    """I10 count plot: counts per value."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    """I10 count plot: counts per value that is not missing."""
+    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def missingness(df: DataFrame, cols=None) -> DataFrame:

@@ -62,8 +62,7 @@ def undersample(df: DataFrame, seed: int = config.SEED) -> DataFrame:
     return r.where((F.col("label") == mino) | (F.col("rk") < c[mino])).drop("rk")
 
 
-def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame | None = None,
-          blocks: int | None = None) -> DataFrame:
+def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame | None = None) -> DataFrame:
     """original rows + synthetic minority rows (``synthetic`` flag, new negative IDs)."""
     mino, majo, c = _minority_majority(df)
     m = c[majo] - c[mino]
@@ -75,7 +74,7 @@ def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame |
     n_base = base.count()
     if n_base == 0:
         return out
-    nn = knn(base, minority, k, exclude_self=True, blocks=blocks)
+    nn = knn(base, minority, k, exclude_self=True)
     ranked = hash_rank(base.withColumn("label", F.lit(mino)), seed)
     q, r = divmod(m, n_base)
     per = ranked.select("ID", "features", "rk",
@@ -93,17 +92,18 @@ def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame |
     feats = minority.select(F.col("ID").alias("nid"), F.col("features").alias("nf"))
     syn = syn.join(feats, "nid")
     newf = F.zip_with("features", "nf", lambda a, b: a + F.col("gap") * (b - a))
-    new_id = -(F.col("rk") * F.lit(1_000_003) + F.col("j") + 1)
+    # ranks are distinct and a base has q or q + 1 rows, so no two rows share a number
+    new_id = -(F.col("rk") * F.lit(q + 1) + F.col("j") + 1)
     s = syn.select(new_id.alias("ID"), F.lit(mino).alias("label"), newf.alias("features"),
                    F.lit(True).alias("synthetic"))
     return out.unionByName(s)
 
 
-def danger_rows(df: DataFrame, m: int = 10, blocks: int | None = None) -> DataFrame:
+def danger_rows(df: DataFrame, m: int = 10) -> DataFrame:
     """F3 selection: minority rows with m/2 <= #majority neighbours < m."""
     mino, majo, _ = _minority_majority(df)
     minority = df.where(F.col("label") == mino).select("ID", "features")
-    nn = knn(minority, df.select("ID", "features"), m, exclude_self=True, blocks=blocks)
+    nn = knn(minority, df.select("ID", "features"), m, exclude_self=True)
     lab = df.select(F.col("ID").alias("nid"), F.col("label").alias("nl"))
     cnt = nn.join(lab, "nid").groupBy("qid").agg(F.count_if(F.col("nl") == majo).alias("n_maj"))
     danger = cnt.where((F.col("n_maj") * 2 >= m) & (F.col("n_maj") < m)).select(
@@ -111,16 +111,15 @@ def danger_rows(df: DataFrame, m: int = 10, blocks: int | None = None) -> DataFr
     return minority.join(danger, "ID")
 
 
-def borderline_smote(df: DataFrame, seed: int = config.SEED, k: int = 5, m: int = 10,
-                     blocks: int | None = None) -> DataFrame:
+def borderline_smote(df: DataFrame, seed: int = config.SEED, k: int = 5, m: int = 10) -> DataFrame:
     """SMOTE from the danger rows only."""
-    return smote(df, seed, k, bases=danger_rows(df, m, blocks), blocks=blocks)
+    return smote(df, seed, k, bases=danger_rows(df, m))
 
 
-def tomek_links(df: DataFrame, blocks: int | None = None) -> DataFrame:
+def tomek_links(df: DataFrame) -> DataFrame:
     """(a, b) pairs, a < b, of opposite classes that are each other's 1-NN."""
     x = df.select("ID", "features")
-    nn = knn(x, x, 1, exclude_self=True, blocks=blocks).select("qid", "nid")
+    nn = knn(x, x, 1, exclude_self=True).select("qid", "nid")
     lab = df.select("ID", "label")
     pairs = nn.alias("a").join(nn.alias("b"), (F.col("a.qid") == F.col("b.nid")) &
                                (F.col("a.nid") == F.col("b.qid")))
@@ -131,9 +130,9 @@ def tomek_links(df: DataFrame, blocks: int | None = None) -> DataFrame:
     return pairs.where(F.col("la") != F.col("lb")).select("a", "b", "la", "lb")
 
 
-def tomek(df: DataFrame, drop: str = "majority", blocks: int | None = None) -> DataFrame:
+def tomek(df: DataFrame, drop: str = "majority") -> DataFrame:
     """remove Tomek-link members (majority member, or both with ``drop='all'``)."""
-    links = tomek_links(df, blocks)
+    links = tomek_links(df)
     if drop == "all":
         gone = links.select(F.col("a").alias("ID")).unionByName(links.select(F.col("b").alias("ID")))
     else:
@@ -142,16 +141,16 @@ def tomek(df: DataFrame, drop: str = "majority", blocks: int | None = None) -> D
     return df.join(gone.distinct(), "ID", "left_anti")
 
 
-def smote_tomek(df: DataFrame, seed: int = config.SEED, blocks: int | None = None) -> DataFrame:
+def smote_tomek(df: DataFrame, seed: int = config.SEED) -> DataFrame:
     """SMOTE, then drop both members of every Tomek link."""
-    s = smote(df, seed, blocks=blocks)
-    return tomek(s, drop="all", blocks=blocks)
+    s = smote(df, seed)
+    return tomek(s, drop="all")
 
 
-def enn(df: DataFrame, k: int = 3, blocks: int | None = None) -> DataFrame:
+def enn(df: DataFrame, k: int = 3) -> DataFrame:
     """Edited nearest neighbours: keep rows whose k nearest rows all share their class."""
     x = df.select("ID", "features")
-    nn = knn(x, x, k, exclude_self=True, blocks=blocks)
+    nn = knn(x, x, k, exclude_self=True)
     lab = df.select(F.col("ID").alias("nid"), F.col("label").alias("nl"))
     own = df.select(F.col("ID").alias("qid"), F.col("label").alias("ql"))
     bad = nn.join(lab, "nid").join(own, "qid").groupBy("qid") \
@@ -160,9 +159,9 @@ def enn(df: DataFrame, k: int = 3, blocks: int | None = None) -> DataFrame:
     return df.join(bad, "ID", "left_anti")
 
 
-def smote_enn(df: DataFrame, seed: int = config.SEED, blocks: int | None = None) -> DataFrame:
+def smote_enn(df: DataFrame, seed: int = config.SEED) -> DataFrame:
     """SMOTE, then edited nearest neighbours (k=3) on all classes."""
-    return enn(smote(df, seed, blocks=blocks), 3, blocks)
+    return enn(smote(df, seed), 3)
 
 
 SAMPLERS = {"undersample": undersample, "smote": smote, "borderline": borderline_smote,

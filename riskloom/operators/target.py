@@ -43,10 +43,6 @@ def _stats(df: DataFrame, cols, fold_col):
         F.sum(F.col("y") * F.col("y")).alias("ss"))
 
 
-def _small(df: DataFrame, max_rows: int = 1_000_000) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def target_encode(train: DataFrame, new: DataFrame | None = None, cols=None,
                   seed: int = config.SEED, k: int = config.N_SPLITS):
     """Returns (train_encoded, new_encoded): ID + one encoded column per categorical."""
@@ -91,7 +87,6 @@ def target_encode(train: DataFrame, new: DataFrame | None = None, cols=None,
         for c in cols:
             t = table.where(F.col("column") == c).select(
                 F.col("value").alias(c), *[k for k in keys], F.col("enc").alias(f"_e_{c}"))
-            t = F.broadcast(t) if _small(t) else t
             out = out.join(t, [c, *keys], "left")
         if fallback is not None:
             out = out.join(F.broadcast(fallback), keys, "left")
@@ -109,3 +104,36 @@ def target_encode(train: DataFrame, new: DataFrame | None = None, cols=None,
                                    F.lit(float(g_all["gss"]))).alias("enc"))
         new_enc = apply(impute(new), full_tab, [], None, float(g_all["gs"]) / float(g_all["gn"]))
     return train_enc, new_enc
+
+
+class TargetEncoder:
+    """E6 as a fitted stage: training rows get cross-fitted codes, any other row the codes
+    of all training rows. The codes are bounded by the categories and bound as literals."""
+
+    def __init__(self, cols=None, seed: int = config.SEED, k: int = config.N_SPLITS):
+        self.cols, self.seed, self.k = list(cols or config.CATEGORICAL), seed, k
+
+    def fit_transform(self, train: DataFrame) -> DataFrame:
+        self.modes = fit_modes(train, self.cols)
+        imputed = train.select(F.lit(0).alias("all"), "label", *[
+            F.coalesce(F.col(c).cast("double"), F.lit(self.modes[c]).cast("double")).alias(c) for c in self.cols])
+        rows = _stats(imputed, self.cols, "all").collect()
+        first = [r for r in rows if r["column"] == self.cols[0]]
+        n, s, ss = (sum(r[k] for r in first) for k in ("n", "s", "ss"))
+        self.mean, var = s / n, ss / n - (s / n) ** 2
+        self.codes: dict[str, dict[float, float]] = {c: {} for c in self.cols}
+        for r in rows:
+            own = r["s"] / r["n"]
+            den = var * r["n"] + r["ss"] / r["n"] - own * own
+            lam = var * r["n"] / den if den else 0.0
+            self.codes[r["column"]][r["value"]] = lam * own + (1 - lam) * self.mean
+        coded, _ = target_encode(train, cols=self.cols, seed=self.seed, k=self.k)
+        rest = [c for c in train.columns if c not in self.cols]
+        return train.select(*rest).join(coded, "ID")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        def code(c: str):
+            pairs = [F.lit(float(x)) for kv in sorted(self.codes[c].items()) for x in kv]
+            value = F.coalesce(F.col(c).cast("double"), F.lit(self.modes[c]).cast("double"))
+            return F.coalesce(F.element_at(F.create_map(*pairs), value), F.lit(float(self.mean))).alias(c)
+        return df.select(*[code(c) if c in self.cols else F.col(f"`{c}`") for c in df.columns])

@@ -257,18 +257,11 @@ def apply_segment_thresholds(scored: DataFrame, cuts: DataFrame, global_thr: flo
                              score: str = "proba", segment: str = "segment",
                              out: str = "Predicted") -> DataFrame:
     """Per-segment cut with the global fallback (left join to a per-segment table)."""
-    j = scored.join(F.broadcast(cuts.select(segment, F.col("threshold").alias("_cut"))),
-                    on=segment, how="left") if _small(cuts) else \
-        scored.join(cuts.select(segment, F.col("threshold").alias("_cut")), segment, "left")
+    j = scored.join(cuts.select(segment, F.col("threshold").alias("_cut")), segment, "left")
     cut = F.coalesce(F.col("_cut"), F.lit(float(global_thr)))
     return j.withColumn(out, (F.col(score) >= cut).cast("int")).drop("_cut")
 
 
-def _small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Size check before broadcasting: count a (tiny, group-level) table."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 # ------------------------------------------------------------- J9 / J10 / J11
 
 
@@ -283,72 +276,53 @@ def segment_hist(scored: DataFrame, keys=(), score="proba", label="label",
     return class_counts(s, list(keys), score, label, extra=extra)
 
 
-def _counts_table(rows, segs, global_thr):
-    """Per segment: arrays (tp, fp) at each grid cut + at the global cut; totals."""
-    n_seg = len(segs)
-    idx = {s: j for j, s in enumerate(segs)}
-    tp = np.zeros((n_seg, N_CUTS + 1))
-    fp = np.zeros((n_seg, N_CUTS + 1))
-    pos = np.zeros(n_seg)
-    neg = np.zeros(n_seg)
-    for r in rows:
-        j = idx[r["segment"]]
-        b, npos, nneg = int(r["bin"]), int(r["n_pos"]), int(r["n_neg"])
-        pos[j] += npos
-        neg[j] += nneg
-        tp[j, :b] += npos  # predicted positive at cut i  <=>  bin > i
-        fp[j, :b] += nneg
-        if r["ge_global"] == 1:
-            tp[j, N_CUTS] += npos
-            fp[j, N_CUTS] += nneg
-    return tp, fp, pos, neg
-
-
-def _f1(tp, fp, fn, tn) -> float:
+def _f1(tp, fp, fn, tn):
+    """Macro-F1 of counts or arrays of counts; an empty class scores 0."""
     def one(a, b, c):
-        d = 2 * a + b + c
-        return 0.0 if d == 0 else 2 * a / d
+        d = np.asarray(2.0 * a + b + c)
+        return np.divide(2.0 * a, d, out=np.zeros_like(d), where=d > 0)
     return (one(tn, fn, fp) + one(tp, fp, fn)) / 2.0
 
 
-def coordinate_ascent(rows, global_thr: float, min_support: int = config.SEGMENT_MIN_SUPPORT,
-                      max_passes: int = config.SEGMENT_MAX_PASSES) -> dict:
-    """J9 core on the collected histogram (<= segments x 182 cells).
+def _reach(cells, bins=N_CUTS + 1):
+    """(2, N_CUTS): positives and negatives that reach each cut, from (bin, p, q) cells."""
+    table = np.zeros((2, bins))
+    for b, p, q in cells:
+        table[:, b] += p, q
+    return table[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:]
+
 
-    Exactly the analysed procedure: segments sorted, support >= min_support tunable,
-    every segment starts at the global cut, each pass scans the grid in order keeping
-    a cut only if it beats the running best by more than 1e-12, stop on no change.
+def segment_cuts(cells: dict, start: dict, global_thr: float,
+                 min_support: int = config.SEGMENT_MIN_SUPPORT,
+                 max_passes: int = config.SEGMENT_MAX_PASSES) -> dict:
+    """Cuts of the segments with enough rows that raise the macro-F1 of all rows.
+
+    ``cells``: segment -> list of (bin, positives, negatives); ``start``: segment ->
+    (positives, negatives) at or above the global cut, where every segment begins. For one
+    segment the score of every cut is one vector: what the others predict now plus what
+    the segment reaches. Going up the grid, a cut replaces the one held if it is better by
+    more than IMPROVE_EPS. Segments take turns until a whole turn changes nothing.
     """
-    segs = sorted({r["segment"] for r in rows})
-    tp, fp, pos, neg = _counts_table(rows, segs, global_thr)
-    support = pos + neg
-    tunable = [j for j, s in enumerate(segs) if support[j] >= min_support]
-    cur = {j: N_CUTS for j in range(len(segs))}  # column N_CUTS = the global cut
-
-    def total_f1(assign):
-        t = sum(tp[j, assign[j]] for j in assign)
-        f = sum(fp[j, assign[j]] for j in assign)
-        p, n = pos.sum(), neg.sum()
-        return _f1(t, f, p - t, n - f)
-
-    best = total_f1(cur)
+    names = sorted(cells)
+    totals = {s: np.sum([(p, q) for _, p, q in cells[s]], axis=0) for s in names}
+    everyone = sum(totals.values())
+    options = {s: _reach(cells[s]) for s in names if totals[s].sum() >= min_support}
+    held = {s: np.asarray(start[s], float) for s in names}
+    cut = dict.fromkeys(options, float(global_thr))
+    score = lambda hit: _f1(hit[0], hit[1], everyone[0] - hit[0], everyone[1] - hit[1])
+    best = float(score(sum(held.values())))
     for _ in range(max_passes):
-        changed = False
-        for j in tunable:
-            start = cur[j]
-            best_c = start
-            for i in range(N_CUTS):
-                cur[j] = i
-                f = total_f1(cur)
-                if f > best + config.IMPROVE_EPS:
-                    best, best_c = f, i
-            cur[j] = best_c
-            if best_c != start:
-                changed = True
-        if not changed:
+        before = dict(cut)
+        for s, own in options.items():
+            others = sum(held.values()) - held[s]
+            scores = score(others[:, None] + own)
+            while (better := np.flatnonzero(scores > best + config.IMPROVE_EPS)).size:
+                i = int(better[0])
+                best, held[s], cut[s] = float(scores[i]), own[:, i], GRID[i]
+                scores[:i + 1] = -np.inf
+        if cut == before:
             break
-    return {segs[j]: (GRID[cur[j]] if cur[j] < N_CUTS else float(global_thr))
-            for j in tunable}
+    return cut
 
 
 def tune_segment_thresholds(scored: DataFrame, global_thr: float, score="proba",
@@ -357,9 +331,13 @@ def tune_segment_thresholds(scored: DataFrame, global_thr: float, score="proba",
                             max_passes: int = config.SEGMENT_MAX_PASSES) -> dict:
     """Per-segment cuts maximising GLOBAL macro-F1 (hist on Spark, ascent on
     the bounded histogram)."""
-    h = segment_hist(scored, [], score, label, segment, global_thr) \
-        .withColumnRenamed(segment, "segment").collect()
-    return coordinate_ascent([r.asDict() for r in h], global_thr, min_support, max_passes)
+    cells: dict = {}
+    start: dict = {}
+    for r in segment_hist(scored, [], score, label, segment, global_thr).collect():
+        cells.setdefault(r[segment], []).append((r["bin"], r["n_pos"], r["n_neg"]))
+        above = start.setdefault(r[segment], np.zeros(2))
+        above += r["ge_global"] * np.array([r["n_pos"], r["n_neg"]], float)
+    return segment_cuts(cells, start, global_thr, min_support, max_passes) if cells else {}
 
 
 def thresholds_frame(spark, cuts: dict, segment: str = "segment") -> DataFrame:
@@ -374,45 +352,36 @@ def honest_transfer(scored: DataFrame, keys=(), score="proba", label="label",
     """Per fold k, J1 and J9 tuned without fold k and applied to k; pooled
     global vs segmented macro-F1 per group. One histogram job over the rows."""
     keys = list(keys)
-    h = class_counts(scored, keys, score, label, extra=[fold, segment]).collect()
     groups: dict = {}
-    for r in h:
-        d = r.asDict()
-        groups.setdefault(tuple(d[k] for k in keys), []).append(d)
+    for r in class_counts(scored, keys, score, label, extra=[fold, segment]).collect():
+        groups.setdefault(tuple(r[k] for k in keys), []).append(
+            (r[fold], r[segment], r["bin"], r["n_pos"], r["n_neg"]))
     out = []
-    for gk, rows in sorted(groups.items()):
-        folds = sorted({r[fold] for r in rows})
-        pooled_g = np.zeros(4)
-        pooled_s = np.zeros(4)
-        for k in folds:
-            train = [r for r in rows if r[fold] != k]
-            test = [r for r in rows if r[fold] == k]
-            # global cut on the other folds
-            tp = np.zeros(N_CUTS)
-            fp = np.zeros(N_CUTS)
-            p = sum(r["n_pos"] for r in train)
-            n = sum(r["n_neg"] for r in train)
-            for r in train:
-                tp[:r["bin"]] += r["n_pos"]
-                fp[:r["bin"]] += r["n_neg"]
-            f1s = [_f1(tp[i], fp[i], p - tp[i], n - fp[i]) for i in range(N_CUTS)]
-            gi = int(np.argmax(f1s))
-            gthr = GRID[gi]
-            seg_rows = [{"segment": r[segment], "bin": r["bin"], "n_pos": r["n_pos"],
-                         "n_neg": r["n_neg"], "ge_global": int(r["bin"] > gi)} for r in train]
-            cuts = coordinate_ascent(seg_rows, gthr, min_support, max_passes)
-            for r in test:
-                cut_g = gi
-                cs = cuts.get(r[segment], gthr)
-                cut_s = GRID.index(cs) if cs in GRID else gi
-                for arr, ci in ((pooled_g, cut_g), (pooled_s, cut_s)):
-                    predpos = r["bin"] > ci
-                    arr[0] += r["n_pos"] if predpos else 0
-                    arr[1] += r["n_neg"] if predpos else 0
-                    arr[2] += 0 if predpos else r["n_pos"]
-                    arr[3] += 0 if predpos else r["n_neg"]
-        gf1 = _f1(*pooled_g)
-        sf1 = _f1(*pooled_s)
-        out.append({**dict(zip(keys, gk)), "global_f1": gf1, "segmented_f1": sf1,
-                    "delta": sf1 - gf1})
+    for group, rows in sorted(groups.items()):
+        pooled = {"global_f1": np.zeros(4), "segmented_f1": np.zeros(4)}
+        for k in sorted({r[0] for r in rows}):
+            own = _reach([r[2:] for r in rows if r[0] != k])
+            p, q = np.sum([r[3:] for r in rows if r[0] != k], axis=0)
+            at = int(np.argmax(_f1(own[0], own[1], p - own[0], q - own[1])))
+            cells, start = {}, {}
+            for f, s, b, n_pos, n_neg in rows:
+                if f != k:
+                    cells.setdefault(s, []).append((b, n_pos, n_neg))
+                    above = start.setdefault(s, np.zeros(2))
+                    above += (b > at) * np.array([n_pos, n_neg], float)
+            cuts = segment_cuts(cells, start, GRID[at], min_support, max_passes)
+            place = {s: GRID.index(c) for s, c in cuts.items()}
+            for f, s, b, n_pos, n_neg in rows:
+                if f == k:
+                    for name, cut in (("global_f1", at), ("segmented_f1", place.get(s, at))):
+                        pooled[name] += [n_pos, n_neg, 0, 0] if b > cut else [0, 0, n_pos, n_neg]
+        f1 = {name: float(_f1(*x)) for name, x in pooled.items()}
+        out.append({**dict(zip(keys, group)), **f1, "delta": f1["segmented_f1"] - f1["global_f1"]})
     return out
+
+
+def scheme_summary(results: list[dict]) -> dict:
+    """Mean global and segmented macro-F1 over the groups, mean difference and wins."""
+    mean = lambda k: float(np.mean([r[k] for r in results]))
+    return {"groups": len(results), "global_f1": mean("global_f1"), "segmented_f1": mean("segmented_f1"),
+            "delta": mean("delta"), "wins": sum(r["delta"] > 0 for r in results)}

@@ -19,6 +19,9 @@ Parameter map (documented approximations):
 * ``gb``: ``GBTClassifier`` depth 3.
 * ``lgbm`` presets: named ``GBTClassifier`` settings (rounds, step, depth, leaf size,
   subsampling, feature subsets). The library itself is not used.
+* Early stopping is off unless a spec sets ``early_stopping`` (with ``validation_fraction``
+  of the rows held out by hash); then every fit of a job stops the same way.
+* ``effective_params`` tells what Spark is given, after these maps and the depth limit.
 * ``dummy`` (G1): draws 1 with the training prior from a seeded hash of (seed, ID).
 """
 
@@ -31,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,7 @@ from riskloom import config
 from riskloom.functions import encode as E
 from riskloom.functions import features as FE
 from riskloom.operators.prep import Preprocessor, fit_preprocessor
+from riskloom.session import cut_lineage
 
 MAX_DEPTH = 30  # Spark's tree depth limit
 ROWS_PER_PARTITION = 50_000
@@ -84,6 +88,33 @@ def _feature_subset(mf) -> str:
     return str(int(mf))
 
 
+def effective_params(kind: str, params: dict | None = None) -> dict:
+    """The settings that reach Spark for a spec; specs with equal settings fit alike."""
+    p = dict(params or {})
+    if kind == "dummy":
+        return {}
+    if kind == "logreg":
+        return {"max_iter": int(p.get("max_iter", 100)), "weights": p.get("class_weight")}
+    if kind in ("rf", "et"):
+        return {"trees": int(p.get("n_estimators", 100)), "leaf": int(p.get("min_samples_leaf", 1)),
+                "depth": int(min(p.get("max_depth") or MAX_DEPTH, MAX_DEPTH)),
+                "subset": _feature_subset(p.get("max_features", "sqrt")), "bins": int(p.get("max_bins", 64)),
+                "share": float(p.get("max_samples", 1.0)), "weights": p.get("class_weight"),
+                "impurity": p["criterion"] if p.get("criterion") in ("gini", "entropy") else "gini"}
+    if kind not in ("hgb", "gb", "lgbm"):
+        raise ValueError(f"unknown estimator kind {kind!r}")
+    leaves = p.get("max_leaf_nodes" if kind == "hgb" else "num_leaves", 31)
+    subset = p.get("colsample_bytree", p.get("max_features") if kind == "hgb" else None)
+    return {"depth": int(p.get("max_depth", 3)) if kind == "gb" else max(1, math.ceil(math.log2(int(leaves) + 1))),
+            "rounds": int(p.get("max_iter" if kind == "hgb" else "n_estimators", 100)),
+            "step": float(p.get("learning_rate", 0.1)),
+            "leaf": 1 if kind == "gb" else int(p.get("min_samples_leaf" if kind == "hgb" else "min_child_samples", 20)),
+            "bins": 256 if kind == "gb" else int(p.get("max_bins", 255)) if kind == "hgb" else 255,
+            "share": float(p.get("subsample", 1.0)), "subset": "all" if subset is None else _feature_subset(float(subset)),
+            "held_out": float(p.get("validation_fraction", 0.1)) if p.get("early_stopping") is True else 0.0,
+            "weights": p.get("class_weight")}
+
+
 def make_estimator(kind: str, params: dict | None = None, seed: int = config.SEED,
                    weighted: bool = False):
     """Spark ML estimator for a model kind (``dummy`` returns None: scored by hash)."""
@@ -96,55 +127,41 @@ def make_estimator(kind: str, params: dict | None = None, seed: int = config.SEE
     if kind == "logreg":
         return LogisticRegression(maxIter=int(p.get("max_iter", 100)), elasticNetParam=0.0,
                                   standardization=False, tol=1e-6, **common)
+    e = effective_params(kind, p)
     if kind in ("rf", "et"):
-        extra = {"impurity": p["criterion"]} if p.get("criterion") in ("gini", "entropy") else {}
-        return RandomForestClassifier(**extra,
-            numTrees=int(p.get("n_estimators", 100)),
-            minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-            maxDepth=int(min(p.get("max_depth") or MAX_DEPTH, MAX_DEPTH)),
-            featureSubsetStrategy=_feature_subset(p.get("max_features", "sqrt")),
-            bootstrap=(kind == "rf"), maxBins=int(p.get("max_bins", 64)), seed=seed,
-            subsamplingRate=float(p.get("max_samples", 1.0)),
+        return RandomForestClassifier(
+            impurity=e["impurity"], numTrees=e["trees"], minInstancesPerNode=e["leaf"], maxDepth=e["depth"],
+            featureSubsetStrategy=e["subset"], bootstrap=(kind == "rf"), maxBins=e["bins"], seed=seed,
+            subsamplingRate=e["share"],
             # deep forests: keep node ids with the rows instead of re-walking every
             # tree each level (4x faster on 300 deep trees), and give each pass
             # enough memory to grow many nodes at once
             cacheNodeIds=True, maxMemoryInMB=2048, checkpointInterval=10, **common)
-    if kind in ("hgb", "gb", "lgbm"):
-        if kind == "hgb":
-            leaves = int(p.get("max_leaf_nodes", 31))
-            depth = max(1, math.ceil(math.log2(leaves + 1)))
-            rounds, step = int(p.get("max_iter", 100)), float(p.get("learning_rate", 0.1))
-            leaf, bins = int(p.get("min_samples_leaf", 20)), int(p.get("max_bins", 255))
-            if "max_features" in p and "colsample_bytree" not in p:
-                p["colsample_bytree"] = float(p["max_features"])
-        elif kind == "gb":
-            depth, rounds, step, leaf, bins = int(p.get("max_depth", 3)), \
-                int(p.get("n_estimators", 100)), float(p.get("learning_rate", 0.1)), 1, 256
-        else:
-            leaves = int(p.get("num_leaves", 31))
-            depth = max(1, math.ceil(math.log2(leaves + 1)))
-            rounds = int(p.get("n_estimators", 100))
-            step = float(p.get("learning_rate", 0.1))
-            leaf, bins = int(p.get("min_child_samples", 20)), 255
-        return GBTClassifier(maxIter=rounds, stepSize=step, maxDepth=depth,
-                             minInstancesPerNode=leaf, maxBins=bins, seed=seed,
-                             subsamplingRate=float(p.get("subsample", 1.0)),
-                             featureSubsetStrategy=_feature_subset(
-                                 p.get("colsample_bytree", "all"))
-                             if "colsample_bytree" in p else "all", **common)
-    raise ValueError(f"unknown estimator kind {kind!r}")
+    return GBTClassifier(maxIter=e["rounds"], stepSize=e["step"], maxDepth=e["depth"],
+                         minInstancesPerNode=e["leaf"], maxBins=e["bins"], seed=seed,
+                         subsamplingRate=e["share"], featureSubsetStrategy=e["subset"], **common)
 
 
 # ------------------------------------------------------------------ G10
 @dataclass
 class ModelPipeline:
-    """fold codes -> [engineer] -> [encode] -> fitted preprocessor -> learner."""
+    """fold codes -> [engineer] -> [encode] -> [target encoder] -> fitted preprocessor ->
+    [anomaly score] -> [sampler] -> learner.
+
+    The bracketed fitted stages see training rows only, and the sampler only changes what
+    the learner is fitted on: ``target`` replaces the one-hot columns by target codes,
+    ``anomaly`` = {"n_trees": ..., "max_samples": ...} appends an isolation-forest score,
+    ``sampler`` names one of ``resample.SAMPLERS``.
+    """
 
     kind: str
     params: dict = field(default_factory=dict)
     groups: list = field(default_factory=list)
     encoding: dict = field(default_factory=dict)
     seed: int = config.SEED
+    sampler: str | None = None
+    anomaly: dict | None = None
+    target: bool = False
     pre: Preprocessor | None = None
     model: object = None
     prior: float | None = None
@@ -166,35 +183,68 @@ class ModelPipeline:
                              handleInvalid="keep")
         return va.transform(x)
 
-    def fit(self, train: DataFrame) -> "ModelPipeline":
-        if self.kind == "dummy":
-            self.prior = train.agg(F.avg(F.col("label").cast("double"))).collect()[0][0]
-            return self
+    def _arrays(self, prepared: DataFrame, keep) -> DataFrame:
+        """``keep`` and the preprocessed row (with the anomaly score) as one array."""
+        from riskloom.operators.anomaly import add_anomaly_score
+        x = self.pre.transform(prepared, keep=keep)
+        x = x.select(*keep, F.array(*[F.col(f"`{c}`") for c in self.pre.output_columns()]).alias("features"))
+        if self.forest is not None:
+            x = add_anomaly_score(x, self.forest, out="_anomaly")
+            x = x.withColumn("features", F.concat("features", F.array("_anomaly"))).drop("_anomaly")
+        return x
+
+    def _training_rows(self, train: DataFrame) -> DataFrame:
+        """(ID, label, features) that the learner is fitted on, where a fitted stage is set."""
+        from riskloom.operators.anomaly import fit_isolation_forest
+        from riskloom.operators.resample import SAMPLERS
+        from riskloom.operators.target import TargetEncoder
         prepared = self.prepare(train)
-        self.pre = fit_preprocessor(prepared, self.extra_numeric(),
-                                    scale=self.encoding.get("scale", True)
-                                    if self.encoding else True)
+        numeric = self.extra_numeric()
+        if self.target:
+            self.encoder = TargetEncoder(seed=self.seed)
+            prepared = cut_lineage(self.encoder.fit_transform(prepared))
+            numeric = numeric + self.encoder.cols
+        self.pre = fit_preprocessor(prepared, numeric, scale=self.encoding.get("scale", True),
+                                    categorical=[] if self.target else None)
+        self.forest = None
+        if self.anomaly is not None:
+            rows = cut_lineage(self._arrays(prepared, ("ID", "label")))
+            self.forest = fit_isolation_forest(rows, seed=self.seed, **self.anomaly)
+        rows = cut_lineage(self._arrays(prepared, ("ID", "label")))
+        if self.sampler:
+            rows = cut_lineage(SAMPLERS[self.sampler](rows, self.seed).select("ID", "label", "features"))
+        return rows
+
+    @property
+    def staged(self) -> bool:
+        return bool(self.sampler or self.target or self.anomaly is not None)
+
+    def fit(self, train: DataFrame) -> "ModelPipeline":
         if self.kind == "dummy":
             self.prior = train.agg(F.avg(F.col("label").cast("double"))).collect()[0][0]
             return self
-        weights = class_weights(train, self.params.get("class_weight"))
+        spec = self.params.get("class_weight")
+        if self.staged:
+            train = self._training_rows(train)
+            weights = class_weights(train, spec)
+            m = train.withColumn("weight", weight_column(weights)).withColumn(
+                "features", array_to_vector("features"))
+        else:
+            self.pre = fit_preprocessor(self.prepare(train), self.extra_numeric(),
+                                        scale=self.encoding.get("scale", True) if self.encoding else True)
+            weights = class_weights(train, spec)
+            m = self._matrix(train.withColumn("weight", weight_column(weights)), keep=("ID", "label", "weight"))
         est = make_estimator(self.kind, self.params, self.seed, weighted=bool(weights))
-        m = self._matrix(train.withColumn("weight", weight_column(weights)),
-                         keep=("ID", "label", "weight"))
-        # Tree learners depend on the partitioning -> fix it before fitting.
-        # Partitions are sized by rows (ROWS_PER_PARTITION each, at most the shuffle
-        # partition count): small fits stay on few tasks (iteration latency), large
-        # fits spread over the cluster.
-        n = train.count()
-        cap = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        parts = max(1, min(cap, -(-n // ROWS_PER_PARTITION)))
+        # Tree learners depend on the partitioning -> fix it before fitting, sized by
+        # rows alone: small fits stay on few tasks, large fits spread over the cluster.
+        parts = max(1, -(-train.count() // ROWS_PER_PARTITION))
+        held_out = effective_params(self.kind, self.params).get("held_out")
+        if held_out:
+            m = m.withColumn("is_val", hash_uniform("val", self.seed, F.col("ID")) < held_out)
+            est.setValidationIndicatorCol("is_val")
+            est.set(est.getParam("validationTol"), 1e-7)
         # iterative learners re-read their input every round: persist the prepared
         # matrix once (memory, spilling to disk) for the duration of the fit
-        if self.kind in ("hgb",) and self.params.get("early_stopping", "auto") == "auto":
-            if n > 10_000:  # the analysed learner's "auto": hold out 10 % when n > 10k
-                m = m.withColumn("is_val", hash_uniform("val", self.seed, F.col("ID")) < 0.1)
-                est.setValidationIndicatorCol("is_val")
-                est.set(est.getParam("validationTol"), 1e-7)
         m = m.repartition(parts, "ID").sortWithinPartitions("ID") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         m.count()
@@ -213,25 +263,46 @@ class ModelPipeline:
         if self.kind == "dummy":
             u = hash_uniform("dummy", self.seed, F.col("ID"))
             return df.select(*keep, (u < F.lit(float(self.prior))).cast("double").alias("proba"))
-        m = self._matrix(df, keep=keep)
+        if self.staged:
+            prepared = self.prepare(df)
+            if self.target:
+                prepared = self.encoder.transform(prepared)
+            m = self._arrays(prepared, keep).withColumn("features", array_to_vector("features"))
+        else:
+            m = self._matrix(df, keep=keep)
         out = self.model.transform(m)
         return out.select(*keep, vector_to_array("probability")[1].alias("proba"))
 
 
+def score_members(members, df: DataFrame, keep, names) -> DataFrame:
+    """``keep`` and one probability column per fitted model, all added to the same rows:
+    the frame travels along as one struct, so nothing is scanned twice or joined."""
+    keep = [k for k in keep if k in df.columns]
+    out = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    for i, (m, name) in enumerate(zip(members, names)):
+        done = list(names[:i])
+        out = m.score(out.select("_row", *done, "_row.*"), keep=["_row", *done]).withColumnRenamed("proba", name)
+    return out.select(*[F.col(f"_row.`{k}`").alias(k) for k in keep], *names, "_row")
+
+
 def make_pipeline(kind: str, params: dict | None = None, groups=(), encoding=None,
                   seed: int = config.SEED) -> ModelPipeline:
     return ModelPipeline(kind, dict(params or {}), list(groups), dict(encoding or {}), seed)
 
 
-def pipeline_for(name: str, groups=(), seed: int = config.SEED,
-                 overrides: dict | None = None) -> ModelPipeline:
-    """Named model (model / imbalance / boosting registries) with its own encoding."""
+def pipeline_for(name: str, groups=(), seed: int = config.SEED, overrides: dict | None = None,
+                 **stages) -> ModelPipeline:
+    """Named model (model / imbalance / boosting / resampling registries) with its own
+    encoding; ``stages`` are the pipeline's fitted stages."""
+    if name in config.RESAMPLING_CONFIGS:
+        spec = config.RESAMPLING_CONFIGS[name]
+        return pipeline_for(spec["base_model"], groups, seed, overrides, sampler=spec["sampler"], **stages)
     if name == "dummy":
         return make_pipeline("dummy", {}, groups, config.ENCODING_CONFIGS["baseline"], seed)
     spec = config.resolve_model_spec(name)
     params = {**spec["params"], **(overrides or {})}
     enc = config.ENCODING_CONFIGS[spec.get("encoding", "baseline")]
-    return make_pipeline(spec["kind"], params, groups, enc, seed)
+    return ModelPipeline(spec["kind"], params, list(groups), dict(enc), seed, **stages)
 
 
 def dummy_oof(folds: DataFrame, seed: int, fold: str = "fold") -> DataFrame:

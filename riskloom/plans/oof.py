@@ -49,10 +49,11 @@ def fold_oof(factory, dev_folds: DataFrame, parallel: int = 5,
 
 def oof_proba(name: str, dev: DataFrame, seed: int = config.SEED, groups=(),
               parallel: int = 5, overrides: dict | None = None,
-              dev_folds: DataFrame | None = None) -> DataFrame:
-    """(ID, label, fold, model, seed, proba) for one named model at one fold seed."""
+              dev_folds: DataFrame | None = None, learner_seed: int = config.SEED) -> DataFrame:
+    """(ID, label, fold, model, seed, proba) for one named model at one fold seed. The
+    learner keeps its own seed, so results over fold seeds differ by the split alone."""
     df = dev_folds if dev_folds is not None else with_folds(dev, seed)
-    s = fold_oof(lambda: pipeline_for(name, groups, seed, overrides), df, parallel)
+    s = fold_oof(lambda: pipeline_for(name, groups, learner_seed, overrides), df, parallel)
     return s.select("ID", "label", "fold", F.lit(name).alias("model"),
                     F.lit(int(seed)).alias("seed"), "proba")
 
@@ -68,8 +69,8 @@ def build_oof_cache(names, dev: DataFrame, seeds, groups=(), parallel: int = 5)
     return cut_lineage(_union(parts))
 
 
-def fit_eval_proba(name: str, dev: DataFrame, evl: DataFrame, seed: int = config.SEED,
+def fit_eval_proba(name: str, dev: DataFrame, evl: DataFrame, learner_seed: int = config.SEED,
                    groups=(), overrides: dict | None = None) -> DataFrame:
     """H5: fit on all development rows, score the evaluation rows -> (ID, proba)."""
-    pipe = pipeline_for(name, groups, seed, overrides).fit(dev)
+    pipe = pipeline_for(name, groups, learner_seed, overrides).fit(dev)
     return pipe.score(evl, keep=("ID",))

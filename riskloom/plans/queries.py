@@ -452,8 +452,7 @@ def k2_named_ensembles(spark, sf_dir):
 
 def k3_seed_average(spark, sf_dir):
     from riskloom.operators.ensemble import seed_average
-    s = _k_scores(spark, sf_dir).where(F.col("model") == "dummy")
-    a = seed_average(s, config.VALIDATION_SEEDS)
+    a = seed_average(_k_scores(spark, sf_dir), config.VALIDATION_SEEDS)
     return a.select("model", "ID", "label", "n_seeds", r6("proba"))
 
 
@@ -507,8 +506,8 @@ def f1_undersample(spark, sf_dir):
 
 def f7_knn(spark, sf_dir):
     from riskloom.operators.knn import knn
-    x = _resample_input(spark, sf_dir).where(F.col("label") == 1)
-    nn = knn(x, x, 5, exclude_self=True, blocks=3)
+    x = _resample_input(spark, sf_dir)
+    nn = knn(x, x, 5, exclude_self=True)
     return nn.select(F.col("qid").alias("ID"), F.col("nid").alias("neighbor"),
                      F.col("rank").cast("int").alias("rank"),
                      F.round(F.sqrt("dist2"), 3).alias("dist"))
@@ -516,12 +515,12 @@ def f7_knn(spark, sf_dir):
 
 def f4_tomek_links(spark, sf_dir):
     from riskloom.operators.resample import tomek_links
-    return tomek_links(_resample_input(spark, sf_dir), blocks=2).select("a", "b", "la", "lb")
+    return tomek_links(_resample_input(spark, sf_dir)).select("a", "b", "la", "lb")
 
 
 def f4_tomek(spark, sf_dir):
     from riskloom.operators.resample import tomek
-    return tomek(_resample_input(spark, sf_dir), "majority", blocks=2).select("ID", "label")
+    return tomek(_resample_input(spark, sf_dir), "majority").select("ID", "label")
 
 
 def _resampled(fn):
@@ -536,17 +535,27 @@ def _resampled(fn):
 
 def _sampler(name):
     from riskloom.operators import resample as R
-    return {"smote": lambda d: R.smote(d, config.SEED, blocks=2),
-            "borderline": lambda d: R.borderline_smote(d, config.SEED, blocks=2),
-            "smotetomek": lambda d: R.smote_tomek(d, config.SEED, blocks=2),
-            "smoteenn": lambda d: R.smote_enn(d, config.SEED, blocks=2)}[name]
+    return {"smote": lambda d: R.smote(d, config.SEED),
+            "borderline": lambda d: R.borderline_smote(d, config.SEED),
+            "smotetomek": lambda d: R.smote_tomek(d, config.SEED),
+            "smoteenn": lambda d: R.smote_enn(d, config.SEED)}[name]
 
 
 # ------------------------------------------------------------------ J9 / J10 / J11
-def _seg_scores(spark, sf_dir, seeds=(config.SEED,)):
+SCHEMES = ("pay0", "sex", "limit3")
+
+
+def _segment_names(dev, rows, scheme):
+    """Segments of ``rows`` under a scheme; quantile schemes take their edges from dev."""
+    from riskloom.operators.threshold import make_segments, tercile_edges
+    edges = tercile_edges(dev) if scheme == "limit3" else None
+    return make_segments(rows, scheme, edges).withColumn("scheme", F.lit(scheme))
+
+
+def _seg_scores(spark, sf_dir, seeds=(config.SEED,), scheme="pay0"):
     dev = _dev_table(spark, sf_dir)
     s = _folded_scores(spark, sf_dir, seeds, ("A",))
-    seg = J.make_segments(dev.select("ID", "PAY_0"), "pay0").select("ID", "segment")
+    seg = _segment_names(dev, dev.select("ID", "PAY_0", "SEX", "LIMIT_BAL"), scheme).select("ID", "segment")
     return s.join(seg, "ID")
 
 
@@ -559,35 +568,50 @@ def j9_segment_hist(spark, sf_dir):
 
 
 def j9_segment_cuts(spark, sf_dir):
-    s = _seg_scores(spark, sf_dir)
-    b = J.best_threshold(s).first()
-    cuts = J.tune_segment_thresholds(s, float(b["threshold"]))
-    t = J.thresholds_frame(spark, cuts)
-    pred = J.apply_segment_thresholds(s, t, float(b["threshold"]))
-    f1 = M.macro_f1_at_cut(pred.withColumn("p", F.col("Predicted").cast("double")),
-                           [], 0.5, score="p").first()["macro_f1"]
-    return t.select("segment", r6("threshold"),
-                    F.round(F.lit(float(f1)), 6).alias("segmented_f1"),
-                    F.round(F.lit(float(b["macro_f1"])), 6).alias("global_f1"))
+    """Cuts of every scheme, with the macro-F1 they reach and the global one."""
+    out = []
+    for scheme in SCHEMES:
+        s = _seg_scores(spark, sf_dir, scheme=scheme)
+        b = J.best_threshold(s).first()
+        cuts = J.tune_segment_thresholds(s, float(b["threshold"]))
+        pred = J.apply_segment_thresholds(s, J.thresholds_frame(spark, cuts), float(b["threshold"]))
+        f1 = M.macro_f1_at_cut(pred.withColumn("p", F.col("Predicted").cast("double")),
+                               [], 0.5, score="p").first()["macro_f1"]
+        out += [(scheme, seg, float(c), float(f1), float(b["macro_f1"])) for seg, c in sorted(cuts.items())]
+    return spark.createDataFrame(out, "scheme string, segment string, threshold double, segmented_f1 double, "
+                                      "global_f1 double").select(
+        "scheme", "segment", r6("threshold"), r6("segmented_f1"), r6("global_f1"))
 
 
 def j10_honest_transfer(spark, sf_dir):
-    s = _seg_scores(spark, sf_dir, tuple(config.VALIDATION_SEEDS)).withColumn("model", F.lit("A"))
-    rows = [(r["model"], int(r["seed"]), float(r["global_f1"]), float(r["segmented_f1"]),
-             float(r["delta"])) for r in J.honest_transfer(s, ["model", "seed"])]
-    return spark.createDataFrame(rows, "model string, seed int, global_f1 double, "
-                                       "segmented_f1 double, delta double").select("model", "seed", r6("global_f1"),
-                                              r6("segmented_f1"), r6("delta"))
+    """Every scheme and seed, and per scheme (seed NULL) the means and the wins."""
+    rows = []
+    for scheme in SCHEMES:
+        s = _seg_scores(spark, sf_dir, tuple(config.VALIDATION_SEEDS), scheme)
+        found = J.honest_transfer(s, ["seed"])
+        rows += [(scheme, int(r["seed"]), r["global_f1"], r["segmented_f1"], r["delta"], int(r["delta"] > 0))
+                 for r in found]
+        m = J.scheme_summary(found)
+        rows.append((scheme, None, m["global_f1"], m["segmented_f1"], m["delta"], m["wins"]))
+    return spark.createDataFrame(rows, "scheme string, seed int, global_f1 double, segmented_f1 double, "
+                                       "delta double, wins int").select(
+        "scheme", "seed", r6("global_f1"), r6("segmented_f1"), r6("delta"), "wins")
 
 
 def j11_segment_predictions(spark, sf_dir):
-    s = _seg_scores(spark, sf_dir)
-    b = J.best_threshold(s).first()
-    cuts = J.thresholds_frame(spark, J.tune_segment_thresholds(s, float(b["threshold"])))
-    ev = J.make_segments(score_table(_eval(spark, sf_dir).withColumn("label", F.lit(0)), ["A"],
-                                     keep=("ID", "PAY_0")), "pay0")
-    return J.apply_segment_thresholds(ev, cuts, float(b["threshold"])) \
-        .select(F.col("ID").alias("Id"), "segment", "Predicted")
+    """Evaluation rows under the cuts of every scheme."""
+    out = None
+    dev = _dev_table(spark, sf_dir)
+    for scheme in SCHEMES:
+        s = _seg_scores(spark, sf_dir, scheme=scheme)
+        b = J.best_threshold(s).first()
+        cuts = J.thresholds_frame(spark, J.tune_segment_thresholds(s, float(b["threshold"])))
+        ev = _segment_names(dev, score_table(_eval(spark, sf_dir).withColumn("label", F.lit(0)), ["A"],
+                                             keep=("ID", "PAY_0", "SEX", "LIMIT_BAL")), scheme)
+        p = J.apply_segment_thresholds(ev, cuts, float(b["threshold"])).select(
+            "scheme", F.col("ID").alias("Id"), "segment", "Predicted")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 # ------------------------------------------------------------------ E7 / G / H / K6 / K8-K10
@@ -668,6 +692,70 @@ def k10_calibrated_cv(spark, sf_dir):
     return m.score(P.evaluation(panel)).select("ID", r6("proba"))
 
 
+def _fitted_on_dev(spark, sf_dir, pipelines):
+    """Each named pipeline fitted on the development rows and scored on the evaluation rows."""
+    dev, ev = _split_tables(spark, sf_dir)
+    out = None
+    for name, pipe in pipelines:
+        s = pipe.fit(dev).score(ev).select(F.lit(name).alias("model"), "ID", r6("proba"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def f_resampled_models(spark, sf_dir):
+    """F1-F6 as the sampler stage: the seven resampling models."""
+    from riskloom.plans.models import pipeline_for
+    return _fitted_on_dev(spark, sf_dir, [(n, pipeline_for(n)) for n in config.RESAMPLING_CONFIGS])
+
+
+def e7_anomaly_models(spark, sf_dir):
+    """E7 as a fitted stage, under a linear and a forest learner."""
+    from riskloom.plans.models import pipeline_for
+    return _fitted_on_dev(spark, sf_dir, [(n, pipeline_for(n, anomaly={"n_trees": 200, "max_samples": 256}))
+                                          for n in ("logreg_clean", "rf_balanced")])
+
+
+def e6_target_models(spark, sf_dir):
+    """E6 as a fitted stage, under a linear and a forest learner."""
+    from riskloom.plans.models import pipeline_for
+    return _fitted_on_dev(spark, sf_dir, [(n, pipeline_for(n, target=True)) for n in ("logreg_clean", "rf_balanced")])
+
+
+def g12_soft_vote(spark, sf_dir):
+    """K1 deployed: hgb + logreg + rf by soft vote, cut tuning, refit, predictions."""
+    from riskloom.plans.chosen import train_and_predict
+    dev, ev = _split_tables(spark, sf_dir)
+    pred, _ = train_and_predict(dev, ev, members=["hgb", "logreg_clean", "rf"])
+    return pred
+
+
+def h6_search(spark, sf_dir):
+    """H6 with the caller's specs: rank, validate against the anchor, refit and emit."""
+    from riskloom.plans.search import search_and_emit
+    dev, ev = _split_tables(spark, sf_dir)
+    specs = [{"n_estimators": 20, "max_depth": d, "min_samples_leaf": 10, "class_weight": "balanced"} for d in (4, 8)]
+    out = search_and_emit("rf", dev, ev, _scratch(spark, "search"), anchor="logreg_clean", specs=specs, n_top=2,
+                          n_emit=1, seeds=config.VALIDATION_SEEDS[:2])
+    return out.select("spec_id", "params", r6("macro_f1"), r6("threshold"), r6("delta"), "wins", "submission")
+
+
+def h9_candidates(spark, sf_dir):
+    """H9: a tuned model, a feature-set combination and an ensemble as candidates."""
+    from riskloom.plans.chosen import SoftVote
+    from riskloom.plans.search import candidate_list
+    dev, ev = _split_tables(spark, sf_dir)
+    tuned = {"n_estimators": 20, "max_depth": 8, "class_weight": "balanced"}
+    found = candidate_list([("rf", tuned, ()), ("logreg_clean", {}, config.CHOSEN_FEATURE_GROUPS),
+                            ("vote", lambda: SoftVote(["logreg_clean", "dummy"]))], dev, ev,
+                           root=_scratch(spark, "candidates"))
+    out = None
+    for c in found:
+        p = c["predictions"].select(F.lit(c["name"]).alias("name"), F.lit(round(c["oof_f1"], 6)).alias("oof_f1"),
+                                    F.lit(c["submission"]).alias("submission"), "Id", "Predicted")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 # ------------------------------------------------------------------ D-6 / D-7
 def _router_long(spark, sf_dir, encoding_name: str, groups=()):
     """Encode -> fit the router on the development rows -> long (ID, feature, value)
@@ -765,6 +853,9 @@ def registry() -> dict:
         "k4_view_ensemble": k4_view_ensemble, "k5_family_ensemble": k5_family_ensemble,
         "k6_stacking": k6_stacking, "k8_k9_calibration": k8_k9_calibration,
         "k10_calibrated_cv": k10_calibrated_cv,
+        "f_resampled_models": f_resampled_models, "e7_anomaly_models": e7_anomaly_models,
+        "e6_target_models": e6_target_models, "g12_soft_vote": g12_soft_vote,
+        "h6_search": h6_search, "h9_candidates": h9_candidates,
         "f2_smote": _resampled(_sampler("smote")),
         "f3_borderline_smote": _resampled(_sampler("borderline")),
         "f5_smote_tomek": _resampled(_sampler("smotetomek")),

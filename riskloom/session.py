@@ -72,7 +72,7 @@ def stored(df, label: str, partition_by=()):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (survives executor loss) after making sure a dir is set."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df):
+    """Materialise ``df`` on the shared storage (survives executor loss); what reads it
+    prunes columns and pushes filters into the files."""
+    return stored(df, "table")

@@ -54,7 +54,7 @@ def test_blocked_knn_equals_brute_force(spark):
     x = rng.integers(0, 4, size=(120, 3)).astype(float)  # many distance ties
     df = spark.createDataFrame([(int(i), [float(v) for v in x[i]]) for i in range(120)],
                                "ID long, features array<double>")
-    got = knn(df, df, 4, exclude_self=True, blocks=3).collect()
+    got = knn(df, df, 4, exclude_self=True, rows_per_block=15).collect()
     got = {(r["qid"], r["rank"]): r["nid"] for r in got}
     for i in range(120):
         d = ((x - x[i]) ** 2).sum(axis=1)
@@ -70,12 +70,12 @@ def test_resampling_counts(spark):
     df = spark.createDataFrame(rows, "ID long, label int, features array<double>")
     u = R.class_counts(R.undersample(df, 7))
     assert u == {0: 50, 1: 50}
-    s = R.smote(df, 7, blocks=2)
+    s = R.smote(df, 7)
     c = R.class_counts(s)
     assert c[0] == c[1] == 150
     assert s.where("synthetic").count() == 100
-    t = R.tomek(df, "majority", blocks=2)
-    links = R.tomek_links(df, blocks=2).count()
+    t = R.tomek(df, "majority")
+    links = R.tomek_links(df).count()
     assert t.count() == 200 - links
 
 
