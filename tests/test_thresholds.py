@@ -113,7 +113,7 @@ def test_roc_auc_matches_pairwise_count(spark):
     pos, neg = p[y == 1], p[y == 0]
     exp = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) \
         / (len(pos) * len(neg))
-    got = roc_auc(df, ["model"], n_buckets=64).first()["roc_auc"]
+    got = roc_auc(df, ["model"], per_bucket=5).first()["roc_auc"]
     assert abs(got - exp) < 1e-12
-    got0 = roc_auc(df.drop("model"), [], n_buckets=64).first()["roc_auc"]
+    got0 = roc_auc(df.drop("model"), [], per_bucket=5).first()["roc_auc"]
     assert abs(got0 - exp) < 1e-12
