@@ -5,8 +5,8 @@ whole-column median would land on one task. Instead:
 
 1. one aggregate computes ``count`` and a narrow value window around each wanted
    rank with ``percentile_approx`` (rank error <= n / accuracy);
-2. one pass counts the rows below each window and ranks the distinct values
-   inside it (bounded by ~4n/accuracy distinct values per target, ties collapsed);
+2. windows that still hold many distinct values are narrowed again around the rank; then
+   one pass ranks the distinct values inside (a bounded number, ties collapsed);
 3. only the two neighbouring order statistics per target reach the driver, and are
    interpolated exactly like numpy's ``linear`` method.
 """
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+#: distinct values that one task orders for a target
+IN_WINDOW = 5_000
 
 
 def _lerp(a: float, b: float, t: float) -> float:
@@ -54,7 +56,7 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY) -> dic
                             r_lo, r_hi, h - r_lo, pi))
     found = _rank_values(df, cols, targets) if targets else {}
     missing = [t for t in targets if t[0] not in found]
-    if missing:  # approximate window missed (not expected): exact over the whole range
+    if missing:  # approximate window missed (not expected): start from the whole range
         wide = [(t[0], t[1], float("-inf"), float("inf"), *t[4:]) for t in missing]
         found.update(_rank_values(df, cols, wide))
 
@@ -67,29 +69,45 @@ def exact_quantiles(df: DataFrame, cols, probs, accuracy: int = ACCURACY) -> dic
 
 
 def _rank_values(df: DataFrame, cols, targets) -> dict:
-    """Values at ranks r_lo / r_hi of each target: ONE pass emits, per target, either
-    a "below the window" marker (NULL value) or the in-window value; a grouped count
-    collapses ties and the markers, and a running sum per target (NULLs first, so the
-    below-count is the base) locates the two ranks."""
-    spark = df.sparkSession
-    tdf = spark.createDataFrame([(t[0], int(t[4]), int(t[5])) for t in targets],
-                                "tid int, r_lo long, r_hi long")
-    items = []
-    for t in targets:
-        x = F.col(f"`{cols[t[1]]}`").cast("double")
-        below = x.isNotNull() & (x < F.lit(t[2]))
-        inwin = x.isNotNull() & (x >= F.lit(t[2])) & (x <= F.lit(t[3]))
-        items.append(F.when(below, F.struct(F.lit(t[0]).alias("tid"),
-                                            F.lit(None).cast("double").alias("v")))
-                     .when(inwin, F.struct(F.lit(t[0]).alias("tid"), x.alias("v"))))
-    long = df.select(F.explode(F.array(*items)).alias("it")).where(F.col("it").isNotNull()) \
-        .select("it.tid", "it.v")
-    cnt = long.groupBy("tid", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("tid").orderBy(F.col("v").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    cum = cnt.withColumn("end", F.sum("cnt").over(w)) \
-        .withColumn("start", F.col("end") - F.col("cnt")).where(F.col("v").isNotNull())
-    j = cum.join(F.broadcast(tdf), "tid")  # one row per target: bounded
+    """Values at ranks r_lo / r_hi of each target. One aggregate counts the rows below and
+    in each window; windows with more than ``IN_WINDOW`` distinct values are narrowed again
+    around the wanted rank, so the window that is finally ordered is small for any number
+    of rows. Ties are collapsed by a grouped count, and a running sum from the count below
+    locates the two ranks."""
+    def value(t):
+        return F.col(f"`{cols[t[1]]}`").cast("double")
+
+    def inside(t):
+        lo, hi = span[t[0]]
+        return F.when((value(t) >= F.lit(lo)) & (value(t) <= F.lit(hi)), value(t))
+
+    span = {t[0]: (t[2], t[3]) for t in targets}
+    eps = 4.0 / ACCURACY
+    while True:
+        row = df.agg(*[f for t in targets for f in (
+            F.count_if(value(t) < F.lit(span[t[0]][0])).alias(f"b{t[0]}"), F.count(inside(t)).alias(f"n{t[0]}"),
+            F.approx_count_distinct(inside(t)).alias(f"d{t[0]}"))]).first()
+        wide = {}
+        for t in targets:
+            n = row[f"n{t[0]}"]
+            if row[f"d{t[0]}"] > IN_WINDOW:
+                wide[t[0]] = [min(1.0, max(0.0, (r - row[f"b{t[0]}"]) / n + e)) for r, e in ((t[4], -eps), (t[5], eps))]
+        if not wide:
+            break
+        got = df.agg(*[F.percentile_approx(inside(t), wide[t[0]], ACCURACY).alias(f"w{t[0]}")
+                       for t in targets if t[0] in wide]).first()
+        moved = {k: tuple(map(float, got[f"w{k}"])) for k in wide}
+        if all(span[k] == v for k, v in moved.items()):
+            break
+        span.update(moved)
+    tdf = df.sparkSession.createDataFrame([(t[0], int(t[4]), int(t[5]), int(row[f"b{t[0]}"])) for t in targets],
+                                          "tid int, r_lo long, r_hi long, below long")
+    held = F.filter(F.array(*[F.struct(F.lit(t[0]).alias("tid"), inside(t).alias("v")) for t in targets]),
+                    lambda x: x["v"].isNotNull())
+    cnt = df.select(F.explode(held).alias("it")).groupBy("it.tid", "it.v").agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("tid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    j = cnt.join(F.broadcast(tdf), "tid")  # one row per target: bounded
+    j = j.withColumn("end", F.col("below") + F.sum("cnt").over(w)).withColumn("start", F.col("end") - F.col("cnt"))
     hit_lo = (F.col("r_lo") >= F.col("start")) & (F.col("r_lo") < F.col("end"))
     hit_hi = (F.col("r_hi") >= F.col("start")) & (F.col("r_hi") < F.col("end"))
     res = j.where(hit_lo | hit_hi).groupBy("tid").agg(

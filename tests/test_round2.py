@@ -159,6 +159,18 @@ def test_calibration_is_monotone(spark, method):
     assert all(a <= b + 1e-12 for a, b in zip(cal, cal[1:])) and all(0 <= c <= 1 for c in cal)
 
 
+def test_quantile_windows_are_narrowed(spark, monkeypatch):
+    from riskloom.operators import stats
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal(3000)
+    df = spark.createDataFrame([(float(v), float(np.round(v))) for v in x], "a double, b double")
+    monkeypatch.setattr(stats, "IN_WINDOW", 20)
+    monkeypatch.setattr(stats, "ACCURACY", 50)
+    got = stats.exact_quantiles(df, ["a", "b"], [0.0, 1 / 3, 0.5, 1.0], accuracy=50)
+    assert got["a"] == pytest.approx(np.quantile(x, [0, 1 / 3, 0.5, 1]).tolist(), abs=1e-12)
+    assert got["b"] == pytest.approx(np.quantile(np.round(x), [0, 1 / 3, 0.5, 1]).tolist(), abs=1e-12)
+
+
 # ------------------------------------------------------------------ segments
 def test_segment_cuts_by_definition():
     """Against a scan of every cut of every segment, one by one."""
