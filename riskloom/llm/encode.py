@@ -18,7 +18,8 @@ import re
 import numpy as np
 
 _TAIL = ".,;:!?#$%&*|"
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_DOUBTFUL = {"", "\n", "\0"}
+_SINGLE_SPACE = re.compile(r"(?<=\S) (?=[^\s\0])")
 
 
 class Encoder:
@@ -62,22 +63,28 @@ class Encoder:
 
     def _units(self, text: str) -> list[str]:
         """Units whose ids in a row are the text's ids. In mode "space" a unit is kept
-        without its leading space; one at a text's or line's start begins with a mark."""
+        without its leading space; one at a text's or line's start begins with a mark.
+        Units that are blank or the mark alone tell ``_block`` to cut more carefully."""
         if self.mode == "whole":
             return [text] if text else []
         if self.mode == "blank":
             return text.replace("\n", " ").split(" ")
         if not text:
             return []
-        if len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        if text.replace("\n", "").isprintable():  # no other white space
             return ("\0" + text).replace("\n", " \n").split(" ")
-        return _SINGLE_SPACE.split("\0" + text) if not text[0].isspace() \
-            else ["\0" + _SINGLE_SPACE.split(text)[0], *_SINGLE_SPACE.split(text)[1:]]
+        return self._careful(text)
+
+    @staticmethod
+    def _careful(text: str) -> list[str]:
+        parts = _SINGLE_SPACE.split(text)
+        parts[0] = "\0" + parts[0]
+        return parts
 
     def _plain(self, unit: str) -> str:
         if self.mode != "space":
             return unit
-        return unit[1:] if unit[0] == "\0" else unit if unit[0] == "\n" else " " + unit
+        return unit[1:] if unit[:1] == "\0" else unit if unit[:1] == "\n" else " " + unit
 
     def _pieces(self, text: str):
         """The text, or consecutive parts of a very long one, cut where units are cut."""
@@ -92,22 +99,38 @@ class Encoder:
             at, first = (end + 1 if cut else end), False
 
     def _block(self, texts: list[tuple[str, bool]]) -> list[bytes]:
-        units = []
+        get = self.memo.get
+        found, missing = [], []
         for text, first in texts:
-            u = self._units(text)
-            if not first and self.mode == "space" and u:
-                u[0] = u[0][1:]
-            units.append(u)
+            for cut in (self._units, self._careful):
+                units = cut(text)
+                if not first and self.mode == "space" and units:
+                    units[0] = units[0][1:]
+                ids = list(map(get, units))
+                gaps = []
+                try:
+                    at = ids.index(None)
+                    while True:
+                        gaps.append((ids, at, units[at]))
+                        at = ids.index(None, at + 1)
+                except ValueError:
+                    pass
+                if self.mode != "space" or cut == self._careful or not any(w in _DOUBTFUL for _, _, w in gaps):
+                    break
+            found.append(ids)
+            missing += gaps
+        fresh = {w for _, _, w in missing}
         memo = self.memo
-        fresh = set()
-        for u in units:
-            fresh.update(itertools.filterfalse(memo.__contains__, u))
         if len(memo) + len(fresh) > self.memo_units:
             for u in list(itertools.islice(memo, len(memo) // 2)):
                 del memo[u]
-            fresh = {u for us in units for u in us if u not in memo}
         self._learn(fresh)
-        return [b"".join(map(memo.__getitem__, u)) for u in units]
+        for ids, at, w in missing:
+            ids[at] = memo[w]
+        if self.mode == "space":
+            for w in _DOUBTFUL & fresh:  # must stay a miss, so that the quick cut notices
+                del memo[w]
+        return [b"".join(ids) for ids in found]
 
     def _learn(self, fresh: set[str]) -> None:
         """Ids of unknown units. Punctuation after a letter is a token group of its own,

@@ -18,7 +18,7 @@ from tests.llm.brute import documents, edge_rows, edges
 
 ODD = ["", " ", "\n", "a\n\nb  c\td", " lead", "trail ", "x <|endoftext|> y", "a\x1cb c", "é́ ố a", "İ ΑΣ Σ",
        "a \n b", "\x00 a\x00", "don't 's  're x　y", "\nfoo bar", "foo\n", "\0", "x... y.$# Ab,\nz.",
-       "a\x85b c\x0bd", "<|startoftext|>x y", "漢字 かな 한글", "a 12.5% b"]
+       "a\x85b c\x0bd", "<|startoftext|>x y", "漢字 かな 한글", "a 12.5% b", "x \0a \0 b", "\0x y\0 z", "a\xa0b c", "a \n\nb", " \n", "x\n"]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
