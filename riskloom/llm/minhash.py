@@ -8,7 +8,8 @@
    texts of a block take rank j together, which gives the same minima.
 3. Bands of registers are bucketed. A bucket links no pairs by itself: its members are
    compared with a few pivots, then members of different components with each other, and
-   every link is confirmed on the full sets.
+   every link is confirmed on the full sets. Exact bounds from set sizes and rare shingles
+   spare comparisons that cannot confirm.
 4. Links are contracted to components; the smallest doc_id of a component stays.
 
 With 42 bands of 6 registers a pair at similarity 0.8 is missed with probability 3e-6.
@@ -166,71 +167,118 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= similarity * either).select("a", "b")
 
 
-def _ordered_pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
-    return (rows.where(F.col(x) != F.col(y))
-            .where((100 * F.least("nx", "ny") >= F.col("similarity") * F.greatest("nx", "ny")))
-            .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
+def _clustered(members: DataFrame) -> DataFrame:
+    """Members with ``g``, the cluster of all members that buckets connect: only members of
+    one cluster ever meet."""
+    least = members.groupBy("key").agg(F.min("rep").alias("least"))
+    ties = members.join(least, "key").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
+    return members.join(components(ties), F.col("rep") == F.col("node"), "left").withColumn(
+        "g", F.coalesce("component", "rep")).drop("node", "component")
+
+
+def _rare_shingles(members: DataFrame, sets: DataFrame, most: int) -> DataFrame:
+    """(g, e, rep): the shingles of open members that at most ``most`` of their cluster have."""
+    reps = members.select(F.col("rep").alias("doc_id"), "g").distinct()
+    postings = sets.join(reps, "doc_id").select("g", F.explode("shingles").alias("e"), F.col("doc_id").alias("rep"))
+    rare = postings.groupBy("g", "e").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") <= most)
+    return stored(postings.join(rare, ["g", "e"]).select("g", "e", "rep", "k"), "rare-shingles")
+
+
+def _sharing_rare(members: DataFrame, rare: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of open members that share rare shingles and can link. A rare shingle meets a
+    bounded number of members, so there are at most so many rows per shingle of a set."""
+    reps = members.select("rep", "n", "p", "c").distinct()
+    rows = rare.where("k > 1").join(reps, "rep")
+    x = rows.select("g", "e", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px"), F.col("c").alias("cx"))
+    y = rows.select("g", "e", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"), F.col("c").alias("cy"))
+    met = x.join(y, (x["g"] == y["g"]) & (x["e"] == y["e"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))).groupBy(
+        F.col("x").alias("a"), F.col("y").alias("b"), "nx", "ny", "px", "py").agg(F.count(F.lit(1)).alias("o"))
+    return met.where(_feasible(similarity, F.col("o"))).select("a", "b")
+
+
+def _feasible(similarity: int, rare=None):
+    """Whether two sets can reach the similarity if they share ``rare`` of their rare
+    shingles (``px`` and ``py`` of them): the rest of the smaller bounds the rest."""
+    shared = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    shared = shared if rare is None else shared + rare
+    return 100 * shared >= similarity * (F.col("nx") + F.col("ny") - shared)
+
+
+def _meetings(rows: DataFrame, others: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs (a < b) of a bucket's members in different components that can link
+    without sharing a rare shingle."""
+    x = rows.select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px"), F.col("c").alias("cx"))
+    y = others.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"), F.col("c").alias("cy"))
+    return x.join(y, (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & _feasible(similarity)).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _pivots(rows: DataFrame, order: list) -> DataFrame:
+    """The first members of each bucket in each of the given orders (no list of members is
+    gathered: every order is one minimum)."""
+    member = F.struct("rep", "n", "p", "c")
+    least = rows.groupBy("key").agg(*[F.min(F.struct(o.alias("o"), member.alias("m"))).alias(f"m{i}")
+                                      for i, o in enumerate(order)])
+    return least.select("key", F.explode(F.array_distinct(F.array(*[
+        F.col(f"m{i}.m") for i in range(len(order))]))).alias("m")).select("key", "m.*")
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components, with their component."""
+    labelled = members.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
+        "c", F.coalesce("component", "rep")).drop("node", "component")
+    spread = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    return stored(labelled.join(spread.select("key"), "key"), "open-members")
 
 
 def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = BANDS,
-           rows: int = ROWS, pivots: int = 4, max_rounds: int = 8) -> DataFrame:
+           rows: int = ROWS, pivots: int = 4, rare_in: int = 64) -> DataFrame:
     """doc_id (or a text's stand-in for it), n_shingles and component of every row.
 
-    ``similarity`` is in percent. Each round compares the members of a bucket with
-    ``pivots`` of its members; only members still in different components go to the next
-    round, with other pivots. When the pairs left are no more than those members (or after
-    ``max_rounds``), all of them are compared.
+    ``similarity`` is in percent. Bucket members meet in three rounds: with one member drawn
+    by hash; then, where a bucket still holds several components, with its
+    ``pivots`` members that have the smallest share of rare shingles (in a group of edited
+    copies those closest to the original); at last all that are still in different
+    components and can link: two sets share at most the smaller rest of each besides rare
+    shingles (those of at most ``rare_in`` members of a cluster), and who shares rare ones is found
+    by joining on them.
     """
     sigs = stored(signatures(docs, words, bands, rows), "signatures")
     classes = (sigs.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
                .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
-    entries = classes.select(F.posexplode("keys").alias("band", "key"), "rep", F.col("n_shingles").alias("n"))
+    entries = classes.select(F.explode("keys").alias("key"), "rep", F.col("n_shingles").alias("n"))
     shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
-    members = stored(entries.join(shared.select("key"), "key").select("key", "rep", "n"), "bucket-members")
-
-    tested = sets = found = None
-    open_rows, labels = members, None
-    for r in range(max_rounds + 1):
-        if labels is not None:
-            labelled = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-                "key", "rep", "n", F.coalesce("component", "rep").alias("c"))
-            spread = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-            open_rows = stored(labelled.join(spread.select("key"), "key"), "open-members")
-            same = open_rows.groupBy("key", "c").count()
-            n_pairs, n_open = same.groupBy("key").agg(
-                F.sum("count").alias("g"), F.sum(F.col("count") * F.col("count")).alias("s")).agg(
-                F.sum((F.col("g") * F.col("g") - F.col("s")) / 2), F.sum("g")).first()
-            if not n_open:
-                break
-            last = n_pairs <= n_open or r == max_rounds
-        else:
-            open_rows, last = members.withColumn("c", F.col("rep")), False
-        other = open_rows
-        if not last:
-            picks = open_rows.groupBy("key").agg(*[
-                F.min(F.struct(F.xxhash64(F.lit(r * pivots + i), "rep"), F.col("rep").alias("rep"),
-                               F.col("n").alias("n"), F.col("c").alias("c"))).alias(f"p{i}")
-                for i in range(pivots)])
-            other = picks.select("key", F.explode(F.array_distinct(F.array(*[
-                F.struct(F.col(f"p{i}.rep").alias("rep"), F.col(f"p{i}.n").alias("n"), F.col(f"p{i}.c").alias("c"))
-                for i in range(pivots)]))).alias("p")).select("key", "p.*")
-        meet = open_rows.select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx")).join(
-            other.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy")), "key")
-        pairs = _ordered_pairs(meet.where("cx <> cy").withColumn("similarity", F.lit(similarity)), "x", "y")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if sets is None:
-            wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-            texts = _named(docs).join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(
-                F.min("text").alias("text"))
-            sets = stored(_sets(texts, words), "shingle-sets")
-        links = stored(_confirmed(pairs, sets, similarity), "links")
-        found = links if found is None else found.unionByName(links)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(found)
-        if last:
-            break
+    members = stored(entries.join(shared.select("key"), "key").select(
+        "key", "rep", "n", F.lit(0).cast("long").alias("p")), "bucket-members")
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts = _named(docs).join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sets = stored(_sets(texts, words), "shingle-sets")
+
+    alone = members.withColumn("c", F.col("rep"))
+    pairs = stored(_meetings(alone, _pivots(alone, [F.xxhash64("rep")]), similarity), "pairs")
+    found = stored(_confirmed(pairs, sets, similarity), "links")
+    labels = components(found)
+
+    members = _unsettled(members, labels)
+    if not members.isEmpty():
+        members = stored(_clustered(members), "clustered")
+        rare = _rare_shingles(members, sets, rare_in)
+        held = rare.groupBy("rep").agg(F.count(F.lit(1)).alias("p"))
+        members = stored(members.drop("p").join(held, "rep", "left").withColumn(
+            "p", F.coalesce("p", F.lit(0).cast("long"))), "open-members")
+        share = F.floor(F.col("p") * 1_000_000 / F.col("n"))
+        central = [F.struct(F.floor(share / 10 ** i), F.xxhash64(F.lit(i), "rep")) for i in range(pivots)]
+        for r in range(2):
+            others = _pivots(members, central) if r == 0 else members
+            meet = _meetings(members, others, similarity)
+            if r == 1:
+                meet = meet.union(_sharing_rare(members, rare, similarity)).distinct()
+            more = stored(meet.join(pairs, ["a", "b"], "left_anti"), "pairs")
+            pairs = pairs.unionByName(more)
+            found = found.unionByName(stored(_confirmed(more, sets, similarity), "links"))
+            labels = components(found)
+            if r == 0:
+                members = _unsettled(members.drop("c"), labels)
     by_class = classes.select("set_a", "set_b", F.col("n_shingles").alias("n"), "rep").join(
         labels, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
