@@ -2,8 +2,8 @@
 
 Every query is forced to completion with the ``noop`` sink (full execution, no
 driver collect). Prints ONE JSON line:
-{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...,
- "rows": {...}}
+{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ..., "cpus": ...,
+ "failed": {...}}
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from riskloom.plans.models import make_estimator
 from riskloom.plans.search import draw_specs
 
 
-def test_registries_resolve():
+def test_registries_resolve(spark):
     for name in list(config.MODEL_CONFIGS) + list(config.IMBALANCE_CONFIGS) + \
             list(config.BOOSTING_CONFIGS):
         spec = config.resolve_model_spec(name)
@@ -16,7 +16,7 @@ def test_registries_resolve():
     assert config.ENCODING_CONFIGS["clean_linear"]["scale"] is True
 
 
-def test_lgbm_preset_mapping():
+def test_lgbm_preset_mapping(spark):
     est = make_estimator("lgbm", config.BOOSTING_CONFIGS["lgbm_deep_balanced"]["params"])
     assert isinstance(est, GBTClassifier)
     assert est.getMaxIter() == 600 and est.getMaxDepth() == 6
@@ -24,7 +24,7 @@ def test_lgbm_preset_mapping():
     assert est.getFeatureSubsetStrategy() == "0.7"
 
 
-def test_rf_mapping():
+def test_rf_mapping(spark):
     spec = config.resolve_model_spec("rf_balanced_leaf30")
     est = make_estimator(spec["kind"], spec["params"])
     assert isinstance(est, RandomForestClassifier)
