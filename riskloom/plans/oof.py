@@ -58,14 +58,17 @@ def oof_proba(name: str, dev: DataFrame, seed: int = config.SEED, groups=(),
                     F.lit(int(seed)).alias("seed"), "proba")
 
 
-def build_oof_cache(names, dev: DataFrame, seeds, groups=(), parallel: int = 5) -> DataFrame:
+def build_oof_cache(names, dev: DataFrame, seeds, groups=(), parallel: int = 5,
+                    move_learner_seed: bool = False) -> DataFrame:
     """H4: the long score table for every (model, seed), computed once and
-    checkpointed (so J/K operators re-read it instead of refitting)."""
+    stored (so J/K operators re-read it instead of refitting). With ``move_learner_seed``
+    the learner takes the fold seed too, as the seed averages of K3 need it."""
     parts = []
     for seed in seeds:
         folds = with_folds(dev, seed)
         for name in names:
-            parts.append(oof_proba(name, dev, seed, groups, parallel, dev_folds=folds))
+            parts.append(oof_proba(name, dev, seed, groups, parallel, dev_folds=folds,
+                                   learner_seed=seed if move_learner_seed else config.SEED))
     return cut_lineage(_union(parts))
 
 

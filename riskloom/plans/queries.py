@@ -786,10 +786,10 @@ def d7_clean_linear(spark, sf_dir):
 
 def h4_oof_cache(spark, sf_dir):
     """H4: the long OOF score table for every (model, seed), built once through the
-    fold-fit path and checkpointed; here for the prior-sampling floor over the five
-    validation seeds."""
+    fold-fit path and stored; here for the prior-sampling floor over the five validation
+    seeds, its draws moving with the fold seed as K3 needs them."""
     from riskloom.plans.oof import build_oof_cache
-    c = build_oof_cache(["dummy"], _dev_table(spark, sf_dir), config.VALIDATION_SEEDS)
+    c = build_oof_cache(["dummy"], _dev_table(spark, sf_dir), config.VALIDATION_SEEDS, move_learner_seed=True)
     return c.select("seed", "fold", "ID", "label", "model", "proba")
 
 
