@@ -2,9 +2,11 @@
 
 Words are runs of letters and digits, lower-cased; a passage is its set of five-word
 shingles, each weighted by its characters. A window of a document has the size of a
-benchmark item. Only windows that hold some shingle of an item, at the place the item
-has it, are fingerprinted: any other window has similarity 0 with every item. 64-bit
-SimHash fingerprints of windows meet those of items of the same size through a
+benchmark item and may start at any word. Only windows that can reach the similarity are
+fingerprinted: the characters at the places whose shingle some item of that size holds,
+wherever the item holds it, bound what window and item share, and a running sum over those
+places gives the bound of every start. 64-bit SimHash fingerprints of windows meet those of
+items of the same size through a
 multi-index: 64 bits in ``radius + 1`` blocks, so fingerprints within ``radius`` bits of
 each other agree on a block and none is missed. The exact weighted Jaccard similarity of
 window and item then decides.
@@ -17,7 +19,7 @@ together. Null texts have no words; an empty benchmark finds nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import id_text, real_id, stored
@@ -41,13 +43,17 @@ def _grams(w: Column, k: int) -> Column:
         F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: _gram(w, i, k)))
 
 
-def _features(w: Column, k: int) -> Column:
-    """Distinct shingles of the words; the low bits of each are its weight."""
+def _weighed(w: Column, k: int) -> Column:
+    """All k-word shingles, in order; the low bits of each are its weight."""
     def one(i: Column) -> Column:
         chars = sum((F.length(F.get(w, i + t)) for t in range(k)), F.lit(0)).cast("long")
         return _gram(w, i, k).bitwiseAND(F.lit(~WEIGHT)).bitwiseOR(F.least(chars, F.lit(WEIGHT)))
     return F.when(F.size(w) < k, F.array().cast("array<long>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - k), one)))
+        F.transform(F.sequence(F.lit(0), F.size(w) - k), one))
+
+
+def _features(w: Column, k: int) -> Column:
+    return F.array_distinct(_weighed(w, k))
 
 
 def _weight(features: Column) -> Column:
@@ -78,26 +84,49 @@ def _indexed(rows: DataFrame, keep: list[str], radius: int) -> DataFrame:
     return rows.select(*keep, "n", "fp", F.posexplode(_blocks("fp", radius)).alias("block", "bits"))
 
 
+def _starts(hits: DataFrame, key: list[str], words: int, similarity: int) -> DataFrame:
+    """Runs of window starts lo .. hi - 1 whose places of shared shingles weigh ``held``,
+    enough for some item of ``n`` words. A place counts for the starts from n - words words
+    before it up to itself."""
+    hits = hits.repartition(*key, "n").select(*key, "n", "least", "place", "weight").distinct()
+    edges = hits.select(*key, "n", "least", F.inline(F.array(
+        F.struct((F.col("place") - F.col("n") + words).alias("lo"), F.col("weight").alias("step")),
+        F.struct((F.col("place") + 1).alias("lo"), (-F.col("weight")).alias("step")))))
+    run = Window.partitionBy(*key, "n").orderBy("lo")
+    sums = edges.withColumn("held", F.sum("step").over(run)).withColumn("hi", F.lead("lo").over(run))
+    return sums.where((F.col("lo") < F.col("hi")) & (100 * F.col("held") >= similarity * F.col("least"))).select(
+        *key, "n", "least", "held", "lo", "hi")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int = 80,
           radius: int = 18) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, the first word and number
     of words of the most similar window, and that similarity."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("w")).where(F.size("w") >= words)
     items = stored(items.select("item_id", F.size("w").alias("n"), _grams(F.col("w"), words).alias("grams"),
-                                _features(F.col("w"), words).alias("features"))
-                   .withColumn("fp", simhash(F.col("features"))), "items")
-    item_grams = stored(items.select("n", F.posexplode("grams").alias("at", "gram")).distinct(), "item-grams")
+                                _weighed(F.col("w"), words).alias("weighed"))
+                   .withColumn("features", F.array_distinct("weighed")).withColumn("fp", simhash(F.col("features"))),
+                   "items")
+    least = items.groupBy("n").agg(F.min(_weight(F.col("features"))).alias("least"))
+    item_grams = items.select("n", F.inline(F.arrays_zip("grams", "weighed"))).select(
+        "n", F.col("grams").alias("gram"), F.col("weighed").bitwiseAND(F.lit(WEIGHT)).alias("weight"))
+    item_grams = stored(item_grams.distinct().join(least, "n"), "item-grams")
 
     texts = id_text(docs)
     grams = texts.select("doc_id", F.posexplode(let(words_of(F.col("text")), lambda w: _grams(w, words)))
                          .alias("place", "gram"))
-    windows = grams.join(item_grams, "gram").groupBy("doc_id").agg(
-        F.collect_set(F.struct((F.col("place") - F.col("at")).alias("s"), "n")).alias("windows"))
+    windows = _starts(grams.join(item_grams, "gram"), ["doc_id"], words, similarity)
+    windows = windows.groupBy("doc_id").agg(F.collect_list(F.struct("n", "least", "held", "lo", "hi")).alias("windows"))
     found = texts.join(windows, "doc_id").select(
         "doc_id", "windows", words_of(F.col("text")).alias("w"))
-    cut = found.select("doc_id", "w", F.explode("windows").alias("x")).select(
-        "doc_id", "w", "x.n", F.greatest(F.lit(0), F.least(F.col("x.s"), F.size("w") - F.col("x.n"))).alias("s"))
-    cut = cut.select("doc_id", "s", "n", _features(F.slice("w", F.col("s") + 1, F.col("n")), words).alias("features"))
+    cut = found.select("doc_id", "w", F.inline("windows")).select(
+        "doc_id", "w", "n", "least", "held", F.greatest(F.lit(0), "lo").alias("lo"),
+        F.least(F.col("hi") - 1, F.greatest(F.lit(0), F.size("w") - F.col("n"))).alias("hi")).where("lo <= hi")
+    cut = cut.withColumn("s", F.explode(F.sequence("lo", "hi"))).select(
+        "doc_id", "s", "n", "least", "held",
+        _features(F.slice("w", F.col("s") + 1, F.col("n")), words).alias("features"))
+    cut = cut.where(100 * F.col("held") >= similarity * (_weight(F.col("features")) + F.col("least") - F.col("held")))
+    cut = cut.drop("least", "held")
     cut = stored(cut.distinct().withColumn("fp", simhash(F.col("features"))), "windows")
 
     near = _indexed(cut, ["doc_id", "s"], radius).alias("a").join(
