@@ -13,8 +13,10 @@ window and item then decides.
 
 Two passages at similarity 0.8 differ in about 10 of 64 bits; ``radius`` 18 lies three
 standard deviations above. Items of fewer than five words are too short to tell from
-ordinary text and never match. Rows that share a doc_id (or have none) are judged
-together. Null texts have no words; an empty benchmark finds nothing.
+ordinary text and never match. Each row is judged by its own text: what travels is doc_id
+and a hash of the text. Rows that share a doc_id report an item once, by the best of their
+windows; rows without one report it once for each text. Null texts have no words; an empty
+benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import id_text, real_id, stored
+from riskloom.llm.common import NO_ID, id_text, real_id, stored
 from riskloom.llm.rules import let
 
 WEIGHT = 1023  # low bits of a shingle's hash that hold its weight
+KEY = ["doc_id", "body"]
 
 
 def words_of(text: Column) -> Column:
@@ -84,24 +87,23 @@ def _indexed(rows: DataFrame, keep: list[str], radius: int) -> DataFrame:
     return rows.select(*keep, "n", "fp", F.posexplode(_blocks("fp", radius)).alias("block", "bits"))
 
 
-def _starts(hits: DataFrame, key: list[str], words: int, similarity: int) -> DataFrame:
+def _starts(hits: DataFrame, words: int, similarity: int) -> DataFrame:
     """Runs of window starts lo .. hi - 1 whose places of shared shingles weigh ``held``,
     enough for some item of ``n`` words. A place counts for the starts from n - words words
     before it up to itself."""
-    hits = hits.repartition(*key, "n").select(*key, "n", "least", "place", "weight").distinct()
-    edges = hits.select(*key, "n", "least", F.inline(F.array(
+    hits = hits.repartition(*KEY, "n").select(*KEY, "n", "least", "place", "weight").distinct()
+    edges = hits.select(*KEY, "n", "least", F.inline(F.array(
         F.struct((F.col("place") - F.col("n") + words).alias("lo"), F.col("weight").alias("step")),
         F.struct((F.col("place") + 1).alias("lo"), (-F.col("weight")).alias("step")))))
-    run = Window.partitionBy(*key, "n").orderBy("lo")
+    run = Window.partitionBy(*KEY, "n").orderBy("lo")
     sums = edges.withColumn("held", F.sum("step").over(run)).withColumn("hi", F.lead("lo").over(run))
     return sums.where((F.col("lo") < F.col("hi")) & (100 * F.col("held") >= similarity * F.col("least"))).select(
-        *key, "n", "least", "held", "lo", "hi")
+        *KEY, "n", "least", "held", "lo", "hi")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int = 80,
+def _held(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int = 80,
           radius: int = 18) -> DataFrame:
-    """One row per document and item it holds: doc_id, item_id, the first word and number
-    of words of the most similar window, and that similarity."""
+    """One row per text, item and window that reaches the similarity."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("w")).where(F.size("w") >= words)
     items = stored(items.select("item_id", F.size("w").alias("n"), _grams(F.col("w"), words).alias("grams"),
                                 _weighed(F.col("w"), words).alias("weighed"))
@@ -112,41 +114,47 @@ def leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int
         "n", F.col("grams").alias("gram"), F.col("weighed").bitwiseAND(F.lit(WEIGHT)).alias("weight"))
     item_grams = stored(item_grams.distinct().join(least, "n"), "item-grams")
 
-    texts = id_text(docs)
-    grams = texts.select("doc_id", F.posexplode(let(words_of(F.col("text")), lambda w: _grams(w, words)))
+    texts = id_text(docs).withColumn("body", F.xxhash64("text"))
+    grams = texts.select(*KEY, F.posexplode(let(words_of(F.col("text")), lambda w: _grams(w, words)))
                          .alias("place", "gram"))
-    windows = _starts(grams.join(item_grams, "gram"), ["doc_id"], words, similarity)
-    windows = windows.groupBy("doc_id").agg(F.collect_list(F.struct("n", "least", "held", "lo", "hi")).alias("windows"))
-    found = texts.join(windows, "doc_id").select(
-        "doc_id", "windows", words_of(F.col("text")).alias("w"))
-    cut = found.select("doc_id", "w", F.inline("windows")).select(
-        "doc_id", "w", "n", "least", "held", F.greatest(F.lit(0), "lo").alias("lo"),
+    windows = _starts(grams.join(item_grams, "gram"), words, similarity)
+    windows = windows.groupBy(*KEY).agg(F.collect_list(F.struct("n", "least", "held", "lo", "hi")).alias("windows"))
+    found = texts.join(windows, KEY).select(*KEY, "windows", words_of(F.col("text")).alias("w"))
+    cut = found.select(*KEY, "w", F.inline("windows")).select(
+        *KEY, "w", "n", "least", "held", F.greatest(F.lit(0), "lo").alias("lo"),
         F.least(F.col("hi") - 1, F.greatest(F.lit(0), F.size("w") - F.col("n"))).alias("hi")).where("lo <= hi")
     cut = cut.withColumn("s", F.explode(F.sequence("lo", "hi"))).select(
-        "doc_id", "s", "n", "least", "held",
+        *KEY, "s", "n", "least", "held",
         _features(F.slice("w", F.col("s") + 1, F.col("n")), words).alias("features"))
     cut = cut.where(100 * F.col("held") >= similarity * (_weight(F.col("features")) + F.col("least") - F.col("held")))
     cut = cut.drop("least", "held")
     cut = stored(cut.distinct().withColumn("fp", simhash(F.col("features"))), "windows")
 
-    near = _indexed(cut, ["doc_id", "s"], radius).alias("a").join(
+    near = _indexed(cut, [*KEY, "s"], radius).alias("a").join(
         _indexed(items, ["item_id"], radius).alias("b"), ["n", "block", "bits"])
     near = near.where(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= radius).select(
-        "doc_id", "s", "n", "item_id").distinct()
-    both = near.join(cut.select("doc_id", "s", "n", F.col("features").alias("fa")), ["doc_id", "s", "n"]).join(
+        *KEY, "s", "n", "item_id").distinct()
+    both = near.join(cut.select(*KEY, "s", "n", F.col("features").alias("fa")), [*KEY, "s", "n"]).join(
         items.select("item_id", F.col("features").alias("fb")), "item_id")
     shared = _weight(F.array_intersect("fa", "fb"))
-    judged = both.select("doc_id", "item_id", "s", "n", shared.alias("shared"),
+    judged = both.select(*KEY, "item_id", "s", "n", shared.alias("shared"),
                          (_weight(F.col("fa")) + _weight(F.col("fb")) - shared).alias("either"))
-    best = judged.where(100 * F.col("shared") >= similarity * F.col("either")).groupBy("doc_id", "item_id").agg(
-        F.max(F.struct((F.col("shared") / F.col("either")).alias("similarity"), (-F.col("s")).alias("s"),
-                       F.col("n").alias("n"))).alias("m"))
+    return judged.where(100 * F.col("shared") >= similarity * F.col("either")).select(
+        *KEY, "item_id", F.struct((F.col("shared") / F.col("either")).alias("similarity"), (-F.col("s")).alias("s"),
+                                  F.col("n").alias("n")).alias("m"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """One row per document and item it holds: doc_id, item_id, the first word and number
+    of words of the most similar window, and that similarity."""
+    text = F.when(F.col("doc_id") == NO_ID, F.col("body")).alias("body")
+    best = _held(docs, benchmark, **options).groupBy("doc_id", text, "item_id").agg(F.max("m").alias("m"))
     return best.select(real_id(), "item_id", (-F.col("m.s")).cast("long").alias("first_word"),
                        F.col("m.n").cast("long").alias("n_words"), F.col("m.similarity").alias("similarity"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    found = leaks(docs, benchmark, **options).select(
-        F.coalesce("doc_id", F.lit(None).cast("long")).alias("leaky")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaky"]), "left_anti")
+    found = _held(docs, benchmark, **options).select(F.col("doc_id").alias("leaky"), "body").distinct()
+    return docs.join(found, (F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == found["leaky"])
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["body"]), "left_anti")

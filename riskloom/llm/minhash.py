@@ -298,7 +298,17 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` for each component: its smallest doc_id, and any one of the rows
-    that share that doc_id."""
-    first = linked(docs, **options).where("doc_id = component").select(F.col("doc_id").alias("node")).distinct()
-    named = docs.select(_node().alias("node"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    that share that doc_id and text. Of different texts under one doc_id, the one with the
+    least hash is known by the doc_id, the others by a name made of both, which comes after
+    every real id."""
+    body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    least = docs.where("doc_id is not null").select(F.col("doc_id").alias("shared_id"), body.alias("body")).groupBy(
+        "shared_id").agg(F.min("body").alias("least"), F.max("body").alias("most")).where("least <> most")
+    named = docs.select(_node().alias("node"), body.alias("body"), F.coalesce("text", F.lit("")).alias("text"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    other = F.pmod(F.xxhash64("node", "body"), F.lit(_UNNAMED)) + _UNNAMED
+    named = named.join(least.drop("most"), F.col("node") == F.col("shared_id").cast("long"), "left").withColumn(
+        "node", F.when(F.col("body") != F.col("least"), other).otherwise(F.col("node")))
+    rows = named.select(F.col("node").alias("doc_id"), "text")
+    first = linked(rows, **options).where("doc_id = component").select(F.col("doc_id").alias("node")).distinct()
     return named.join(first, "node", "left_semi").dropDuplicates(["node"]).select("row.*")

@@ -2,7 +2,8 @@
 
 import random
 
-from riskloom.llm.decontam import leaks
+from riskloom.llm.decontam import leaks, without_leaks
+from riskloom.llm.minhash import drop_near_duplicates
 from tests.llm import brute
 from tests.llm.brute import documents
 
@@ -43,3 +44,26 @@ def test_reordered_items_are_found(spark):
     want = _every_start(rows, bench)
     assert got.keys() == want.keys() and {(1, 1), (2, 2), (3, 2), (9, 1)} <= got.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    rng = random.Random(6)
+    item, other, clean = (" ".join(_text(rng, 40)) for _ in range(3))
+    bench = spark.createDataFrame([(1, item)], ITEMS)
+    rows = [(None, "lead " + item), (None, clean), (None, None), (7, item), (7, clean), (8, other), (8, other)]
+    kept = without_leaks(documents(spark, rows), bench).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == sorted(
+        (str(i), t or "") for i, t in rows if not t or item not in t)
+    found = leaks(documents(spark, [*rows, (None, item), (None, item)]), bench).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["7", "None", "None"]
+
+
+def test_other_texts_under_a_repeated_id_stay(spark):
+    rng = random.Random(7)
+    a, b, c = (" ".join(_text(rng, 60)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (2, a + " end"), (3, c), (None, c), (None, "short")]
+    kept = drop_near_duplicates(documents(spark, rows), words=5, similarity=80).collect()
+    texts = sorted(r["text"] for r in kept)
+    assert len(texts) == 4 and "short" in texts
+    assert sum(t in (a, a + " end") for t in texts) == 1 and texts.count(b) == 1 and texts.count(c) == 1
+    assert {r["doc_id"] for r in kept if r["text"] == c} == {3}
