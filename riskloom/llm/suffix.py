@@ -7,15 +7,17 @@ and equal windows hold equal anchors, so each repeat shows up at its anchors.
 
 1. Documents are stored in chunk files on the shared storage (the attempt of a task is part
    of a file's name, and only files of finished tasks are listed). Each chunk sends the fingerprints of its anchors to
-   buckets by hash range; a bucket answers which anchors occur in two documents.
+   buckets by hash range; a bucket answers which anchors occur in two documents, and which are crowded.
 2. A chunk sends the bytes around such anchors to the anchor's bucket. Equal surroundings
-   in one chunk travel once, with their smallest doc_id, so a passage that a third of all
-   documents share costs a bucket one entry per chunk.
+   in one chunk travel once, with their smallest doc_id. Near a passage's edges the bytes
+   around an anchor differ from document to document, so anchors that occur more than
+   ``crowd`` times do not gather at one bucket: each window that holds one goes, as a 128-bit
+   hash, to a bucket of its own hash. Equal windows of a chunk travel once.
 3. The bucket sorts the suffixes at its anchors (and the reversed prefixes) by
    deep-shallow sorting: multikey quicksort on eight-byte symbols to a shallow depth, then
    a blind trie for each group that still shares its prefix. Common prefix lengths of
    neighbours give, for every window around an anchor, the entries that hold it, hence
-   its smallest doc_id.
+   its smallest doc_id. Hashed windows are grouped by their hash.
 4. The chunks mark the windows that occur in a smaller doc_id and cut their bytes.
 
 Texts shorter than ``length`` lose nothing. Rows with the same doc_id do not remove each
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,7 @@ from riskloom.llm.common import (NO_ID, mix64, open_output, read_shared, scratch
 
 GRAM = 24
 SHALLOW = 32  # bytes that multikey quicksort looks at before blind tries take over
+OFTEN = 8  # occurrences of an anchor in a chunk that the chunk reports
 _U = np.uint64
 
 
@@ -327,19 +331,31 @@ def _fingerprints(chunks: DataFrame, length: int, buckets: int) -> DataFrame:
                 h, d = hashes[order], doc[order]
                 start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else order
                 several = np.minimum.reduceat(d, start) < np.maximum.reduceat(d, start) if len(h) else order > 0
+                count = np.diff(np.append(start, len(h)))
                 h = h[start]
                 cut = np.searchsorted(_bucket(h, buckets), np.arange(buckets + 1))
                 rows = [(b, number, np.uint32(h[x:y] & _U(0xFFFFFFFF)).tobytes()
                          + (h[x:y] >> _U(32)).astype(np.uint16).tobytes() + np.packbits(several[x:y]).tobytes(),
-                         int(y - x)) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:]))]
+                         int(y - x), _often(count[x:y])) for b, (x, y) in enumerate(zip(cut[:-1], cut[1:]))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.int64()))],
-                    ["bucket", "chunk", "prints", "n"])
-    return chunks.mapInArrow(run, "bucket int, chunk long, prints binary, n long")
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary()))],
+                    ["bucket", "chunk", "prints", "n", "often"])
+    return chunks.mapInArrow(run, "bucket int, chunk long, prints binary, n long, often binary")
 
 
-def _shared(rows: pa.Table) -> pa.Table:
-    """For each chunk's sorted fingerprints in this bucket: which occur in two documents."""
+def _often(count: np.ndarray) -> bytes:
+    """Index and number of the fingerprints that a chunk holds OFTEN times or more."""
+    at = np.flatnonzero(count >= OFTEN)
+    return np.stack([at, count[at]], axis=1).astype(np.uint32).tobytes()
+
+
+def _answers(crowd: int):
+    return lambda rows: _shared(rows, crowd)
+
+
+def _shared(rows: pa.Table, crowd: int) -> pa.Table:
+    """For each chunk's sorted fingerprints in this bucket: which occur in two documents,
+    and which more than ``crowd`` times (up to OFTEN - 1 in a chunk count as one)."""
     counts = rows.column("n").to_numpy()
     keys, several = [], []
     for raw, n in zip(rows.column("prints"), counts.tolist()):
@@ -354,9 +370,51 @@ def _shared(rows: pa.Table) -> pa.Table:
     flag[order[1:][same]] = True
     flag[order[:-1][same]] = True
     ends = np.cumsum(counts)
+    times = np.ones(len(key), np.int64)
+    for raw, end, n in zip(rows.column("often"), ends, counts):
+        at = np.frombuffer(raw.as_buffer(), np.uint32).reshape(-1, 2).astype(np.int64)
+        times[end - n + at[:, 0]] = at[:, 1]
+    hot = np.zeros(len(key), bool)
+    if len(key):
+        start = np.flatnonzero(np.concatenate([[True], ~same]))
+        hot[order] = np.repeat(np.add.reduceat(times[order], start) > crowd, np.diff(np.append(start, len(key))))
     return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "n": rows.column("n"),
                      "flags": pa.array([np.packbits(flag[e - n:e]).tobytes() for e, n in zip(ends, counts)],
-                                       pa.binary())})
+                                       pa.binary()),
+                     "hot": pa.array([np.packbits(hot[e - n:e]).tobytes() if hot[e - n:e].any() else None
+                                      for e, n in zip(ends, counts)], pa.binary())})
+
+
+def _hashed_windows(places, data, offsets, ids, length: int, buckets: int):
+    """(bucket, packed windows) of the windows that hold one of the anchors at ``places``:
+    hash, smallest doc of this chunk, and where the windows start."""
+    row = _doc_of(places, offsets)
+    starts = places[:, None] - np.arange(length - GRAM + 1)
+    inside = (starts >= offsets[row][:, None]) & (starts + length <= offsets[row + 1][:, None])
+    starts = np.unique(starts[inside])
+    width = -(-length // 8)
+    salt = _U(0xE220A8397B1DCDAF) * np.arange(1, 2 * width + 1, dtype=np.uint64)
+    one, two = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), 1 << 14):
+        s = slice(a, a + (1 << 14))
+        words = np.zeros((len(starts[s]), width * 8), np.uint8)
+        words[:, :length] = data[starts[s, None] + np.arange(length)]
+        words = words.view(np.uint64)
+        one[s] = mix64(mix64(words ^ salt[:width]).sum(axis=1, dtype=np.uint64))
+        two[s] = mix64(mix64(words ^ salt[width:]).sum(axis=1, dtype=np.uint64))
+    doc = ids[_doc_of(starts, offsets)]
+    order = np.lexsort((doc, two, one))
+    head = np.ones(len(order), bool)
+    head[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    entry = np.cumsum(head) - 1
+    first = order[head]
+    later = doc[order] > doc[first][entry]
+    cut = np.searchsorted(_bucket(one[first], buckets), np.arange(buckets + 1))
+    cut_all = np.searchsorted(entry, cut)
+    for b in np.flatnonzero(np.diff(cut)).tolist():
+        f, s = first[cut[b]:cut[b + 1]], slice(cut_all[b], cut_all[b + 1])
+        yield b, _pack(one=one[f], two=two[f], doc=doc[f], place=starts[order[s]].astype(np.uint32),
+                       entry=(entry[s] - cut[b]).astype(np.uint32), later=later[s].astype(np.uint8))
 
 
 def _surroundings(length: int, buckets: int):
@@ -366,7 +424,7 @@ def _surroundings(length: int, buckets: int):
     def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64()),
-                             "entries": pa.array([], pa.binary())})
+                             "entries": pa.array([], pa.binary()), "hashed": pa.array([], pa.bool_())})
         _, ids, data, offsets = _opened(texts.column("path")[0].as_py())
         places, hashes = anchors(data, offsets, length)
         distinct, inverse = np.unique(hashes, return_inverse=True)
@@ -374,7 +432,15 @@ def _surroundings(length: int, buckets: int):
         flags = [np.unpackbits(np.frombuffer(f.as_buffer(), np.uint8), count=n).astype(bool)
                  for f, n in zip(answers.column("flags"), answers.column("n").to_pylist())]
         flag = np.concatenate(flags) if flags else np.zeros(0, bool)
-        keep = np.flatnonzero(flag[inverse]) if len(distinct) else np.zeros(0, np.int64)
+        crowds = [np.unpackbits(np.frombuffer(f.as_buffer(), np.uint8), count=n).astype(bool) if f.is_valid
+                  else np.zeros(n, bool) for f, n in zip(answers.column("hot"), answers.column("n").to_pylist())]
+        crowded = np.concatenate(crowds) if crowds else np.zeros(0, bool)
+        hot = np.flatnonzero((flag & crowded)[inverse]) if len(distinct) else np.zeros(0, np.int64)
+        out = []
+        if len(hot):
+            out += [(b, key[0].as_py(), packed, True) for b, packed in _hashed_windows(
+                places[hot], data, offsets, ids, length, buckets)]
+        keep = np.flatnonzero((flag & ~crowded)[inverse]) if len(distinct) else np.zeros(0, np.int64)
         places, hashes = places[keep], hashes[keep]
         row = _doc_of(places, offsets)
         begin, end, doc = offsets[row], offsets[row + 1], ids[row]
@@ -404,25 +470,47 @@ def _surroundings(length: int, buckets: int):
         bucket = _bucket(hashes[first], buckets)
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
         cut_all = np.searchsorted(entry, cut)
-        out = []
         for b in np.flatnonzero(np.diff(cut)).tolist():
             f = first[cut[b]:cut[b + 1]]
             s = slice(cut_all[b], cut_all[b + 1])
             out.append((b, key[0].as_py(), _pack(
                 anchor=hashes[f], doc=doc[f], n_before=n_before[f], n_after=n_after[f], bytes=around[f],
                 place=places[order[s]].astype(np.uint32), entry=(entry[s] - cut[b]).astype(np.uint32),
-                later=later[s].astype(np.uint8))))
-        cols = list(zip(*out)) or [(), (), ()]
+                later=later[s].astype(np.uint8)), False))
+        cols = list(zip(*out)) or [(), (), (), ()]
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "chunk": pa.array(cols[1], pa.int64()),
-                         "entries": pa.array(cols[2], pa.binary())})
+                         "entries": pa.array(cols[2], pa.binary()), "hashed": pa.array(cols[3], pa.bool_())})
     return run
 
 
+def _judge_hashed(rows: pa.Table) -> pa.Table:
+    parts = [_unpack(x.as_buffer().to_pybytes()) for x in rows.column("entries")]
+    one, two, doc = (np.concatenate([p[k] for p in parts]) for k in ("one", "two", "doc"))
+    order = np.lexsort((two, one))
+    head = np.ones(len(order), bool)
+    head[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    start = np.flatnonzero(head)
+    smaller = np.empty(len(order), bool)
+    least = np.minimum.reduceat(doc[order], start)
+    smaller[order] = np.repeat(least, np.diff(np.append(start, len(order)))) < doc[order]
+    out, at = [], 0
+    for p in parts:
+        hit = p["later"].astype(bool) | smaller[p["entry"].astype(np.int64) + at]
+        at += len(p["doc"])
+        out.append(_pack(place=p["place"][hit], windows=np.ones(int(hit.sum()), np.uint64)))
+    return pa.table({"chunk": rows.column("chunk"), "hits": pa.array(out, pa.binary())})
+
+
 def _judge(length: int):
     reach = length - GRAM
     whole = np.arange(reach + 1)
 
     def run(rows: pa.Table) -> pa.Table:
+        hashed = rows.filter(rows.column("hashed"))
+        rows = rows.filter(pc.invert(rows.column("hashed")))
+        return pa.concat_tables([f(x) for f, x in ((whole_anchors, rows), (_judge_hashed, hashed)) if x.num_rows])
+
+    def whole_anchors(rows: pa.Table) -> pa.Table:
         parts = [_unpack(x.as_buffer().to_pybytes()) for x in rows.column("entries")]
         col = {k: np.concatenate([p[k] for p in parts]) for k in ("anchor", "doc", "n_before", "n_after", "bytes")}
         _, group = np.unique(col["anchor"], return_inverse=True)
@@ -492,7 +580,8 @@ def _cut(length: int, schema: pa.Schema, as_text: bool):
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None = None,
-                   as_text: bool = False, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> DataFrame:
+                   as_text: bool = False, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
+                   crowd: int = 1 << 13) -> DataFrame:
     """``row`` (the carried columns), ``n_bytes``, ``spans`` (start and length of the runs
     removed, in bytes) and ``kept`` (the bytes that remain) of every row of ``docs``. With
     ``as_text``, ``kept`` is a string without the characters that lost a byte.
@@ -513,9 +602,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: list[str] | None =
 
     names = chunks.select("chunk", "path")
     shared = (_fingerprints(names.repartition(tasks, "chunk"), length, buckets).groupBy("bucket")
-              .applyInArrow(_shared, "chunk long, bucket int, n long, flags binary"))
+              .applyInArrow(_answers(crowd), "chunk long, bucket int, n long, flags binary, hot binary"))
     entries = by_chunk(names).cogroup(by_chunk(shared)).applyInArrow(
-        _surroundings(length, buckets), "bucket int, chunk long, entries binary")
+        _surroundings(length, buckets), "bucket int, chunk long, entries binary, hashed boolean")
     hits = stored(entries.groupBy("bucket").applyInArrow(_judge(length), "chunk long, hits binary"), "repeat-hits")
     row_type = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")).schema
     extra = StructType.fromDDL("n_bytes long, spans array<struct<start:long,length:long>>, kept "
