@@ -126,6 +126,8 @@ FAMILY_KEYS = {"c1_pay": ["pay"], "c2_util": ["util"], "c3_payratio": ["payratio
                "c11_all_new": config.FEATURE_CONFIGS["all_new"],
                "c11_paysem_paysem2_util_payratio":
                    config.FEATURE_CONFIGS["paysem_paysem2_util_payratio"]}
+FAMILY_KEYS |= {f"c11_{name}": groups for name, groups in config.FEATURE_CONFIGS.items()
+                if groups not in [v for k, v in FAMILY_KEYS.items() if k.startswith("c11_")]}
 
 
 # ------------------------------------------------------------------ D
@@ -456,6 +458,15 @@ def k3_seed_average(spark, sf_dir):
     return a.select("model", "ID", "label", "n_seeds", r6("proba"))
 
 
+def k3_seed_average_learner(spark, sf_dir):
+    """K3 in full: the chosen learner under eight seeds, out of fold and on the evaluation
+    rows, with the best cut of the out-of-fold average as seeds accumulate."""
+    from riskloom.plans.stacking import seed_ensemble
+    dev, ev = _split_tables(spark, sf_dir)
+    a = seed_ensemble(config.CHOSEN_ENSEMBLE[0], dev, ev, config.AVERAGE_SEEDS, config.CHOSEN_FEATURE_GROUPS)
+    return a.select("half", "model", "ID", "label", "n_seeds", r6("proba"), r6("threshold"), r6("macro_f1"))
+
+
 def k7_diversity(spark, sf_dir):
     from riskloom.operators.ensemble import diversity_vs_anchor
     from riskloom.session import cut_lineage
@@ -668,28 +679,48 @@ def h5_fit_eval(spark, sf_dir):
     return s.select("ID", r6("proba"))
 
 
+def _over(names, one):
+    """``one(name)`` of every name, as one table with the name as ``model``."""
+    return M.union_all([one(n).withColumn("model", F.lit(n)) for n in names])
+
+
 def k6_stacking(spark, sf_dir):
+    """K6: every stack of the registry."""
     from riskloom.plans.stacking import Stacking
-    from riskloom.session import cut_lineage
-    panel = cut_lineage(_panel(spark, sf_dir))
-    spec = config.STACKING_CONFIGS["stack_rfbal_logreg"]
-    st = Stacking(spec["members"], spec["meta"]).fit(P.development(panel))
-    return st.score(P.evaluation(panel)).select("ID", r6("proba"))
+    dev, ev = _split_tables(spark, sf_dir)
+
+    def one(name):
+        spec = config.STACKING_CONFIGS[name]
+        return Stacking(spec["members"], spec["meta"]).fit(dev).score(ev)
+    return _over(config.STACKING_CONFIGS, one).select("model", "ID", r6("proba"))
 
 
 def k8_k9_calibration(spark, sf_dir):
+    """K8, K9: raw, Platt and isotonic for each scorecard, and for the chosen learner out
+    of fold."""
+    from riskloom.plans import oof
     from riskloom.plans.calibrate import calibration_report
-    r = calibration_report(_scores(spark, sf_dir, ("A",)))
-    return r.select("method", r6("threshold"), r6("macro_f1"))
+    from riskloom.session import cut_lineage
+    dev = _dev_table(spark, sf_dir)
+    chosen = config.CHOSEN_ENSEMBLE[0]
+
+    def one(name):
+        if name == chosen:
+            return calibration_report(cut_lineage(oof.oof_proba(name, dev, config.SEED, config.CHOSEN_FEATURE_GROUPS)))
+        return calibration_report(score_table(dev, (name,)))
+    return _over(("A", "B", "C", chosen), one).select("model", "method", r6("threshold"), r6("macro_f1"))
 
 
 def k10_calibrated_cv(spark, sf_dir):
-    from riskloom.plans.calibrate import CalibratedCV
+    """Both calibrators, under a linear learner and the chosen one."""
+    from riskloom.plans.calibrate import CALIBRATORS, CalibratedCV
     from riskloom.plans.models import pipeline_for
-    from riskloom.session import cut_lineage
-    panel = cut_lineage(_panel(spark, sf_dir))
-    m = CalibratedCV(lambda: pipeline_for("logreg_clean"), "sigmoid").fit(P.development(panel))
-    return m.score(P.evaluation(panel)).select("ID", r6("proba"))
+    dev, ev = _split_tables(spark, sf_dir)
+
+    def one(method):
+        return _over(("logreg_clean", *config.CHOSEN_ENSEMBLE), lambda name: CalibratedCV(
+            lambda: pipeline_for(name), method).fit(dev).score(ev)).withColumn("method", F.lit(method))
+    return M.union_all([one(m) for m in CALIBRATORS]).select("model", "method", "ID", r6("proba"))
 
 
 def _fitted_on_dev(spark, sf_dir, pipelines):
@@ -793,6 +824,13 @@ def h4_oof_cache(spark, sf_dir):
     return c.select("seed", "fold", "ID", "label", "model", "proba")
 
 
+def h4_oof_cache_learners(spark, sf_dir):
+    """H4 in full: every model of the registry under every validation seed."""
+    from riskloom.plans.oof import build_oof_cache
+    c = build_oof_cache(["dummy", *config.MODEL_CONFIGS], _dev_table(spark, sf_dir), config.VALIDATION_SEEDS)
+    return c.select("seed", "fold", "ID", "label", "model", r6("proba"))
+
+
 def k4_view_ensemble(spark, sf_dir):
     """K4: one learner (logreg_clean) on two named feature views, OOF averaged."""
     from riskloom.plans.stacking import view_ensemble
@@ -804,7 +842,7 @@ def k4_view_ensemble(spark, sf_dir):
 def k5_family_ensemble(spark, sf_dir):
     """K5: several learners on ONE feature set (the chosen families), OOF averaged."""
     from riskloom.plans.stacking import family_ensemble
-    e = family_ensemble(["logreg_clean", "et"], config.CHOSEN_FEATURE_GROUPS,
+    e = family_ensemble(["rf_balanced", "hgb", "logreg_clean", "et_balanced"], config.CHOSEN_FEATURE_GROUPS,
                         _dev_table(spark, sf_dir))
     return e.select("ID", "label", "fold", "model", r6("proba"))
 
@@ -836,7 +874,8 @@ def registry() -> dict:
         "j4_fold_avg": j4_fold_avg, "j5_best_fixed": j5_best_fixed, "j6_summary": j6_summary,
         "j7_segments": j7_segments,
         "k1_softvote": k1_softvote, "k2_named_ensembles": k2_named_ensembles,
-        "k3_seed_average": k3_seed_average, "k7_diversity": k7_diversity,
+        "k3_seed_average": k3_seed_average, "k3_seed_average_learner": k3_seed_average_learner,
+        "h4_oof_cache_learners": h4_oof_cache_learners, "k7_diversity": k7_diversity,
         "k12_screen": k12_screen, "k13_paired": k13_paired,
         "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f4_tomek_links": f4_tomek_links,
         "f4_tomek": f4_tomek,
