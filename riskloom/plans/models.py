@@ -19,6 +19,8 @@ Parameter map (documented approximations):
 * ``gb``: ``GBTClassifier`` depth 3.
 * ``lgbm`` presets: named ``GBTClassifier`` settings (rounds, step, depth, leaf size,
   subsampling, feature subsets). The library itself is not used.
+* ``catboost`` presets: likewise (rounds, step, depth, leaf of one row); ordered boosting and
+  L2 have no native knob, and a step left to the library is 0.1.
 * Early stopping is off unless a spec sets ``early_stopping`` (with ``validation_fraction``
   of the rows held out by hash); then every fit of a job stops the same way.
 * ``effective_params`` tells what Spark is given, after these maps and the depth limit.
@@ -101,6 +103,10 @@ def effective_params(kind: str, params: dict | None = None) -> dict:
                 "subset": _feature_subset(p.get("max_features", "sqrt")), "bins": int(p.get("max_bins", 64)),
                 "share": float(p.get("max_samples", 1.0)), "weights": p.get("class_weight"),
                 "impurity": p["criterion"] if p.get("criterion") in ("gini", "entropy") else "gini"}
+    if kind == "catboost":
+        return {"depth": int(p.get("depth", 6)), "rounds": int(p.get("iterations", 1000)),
+                "step": float(p.get("learning_rate", 0.1)), "leaf": 1, "bins": 255, "share": 1.0, "subset": "all",
+                "held_out": 0.0, "weights": p.get("class_weight")}
     if kind not in ("hgb", "gb", "lgbm"):
         raise ValueError(f"unknown estimator kind {kind!r}")
     leaves = p.get("max_leaf_nodes" if kind == "hgb" else "num_leaves", 31)

@@ -650,6 +650,16 @@ def _oof_query(name, groups=()):
     return q
 
 
+def _screen(names):
+    """Out-of-fold best cut and macro-F1 of every named model on the same folds."""
+    def q(spark, sf_dir):
+        from riskloom.plans import oof
+        folds = oof.with_folds(_dev_table(spark, sf_dir), config.SEED)
+        s = M.union_all([oof.oof_proba(n, folds, config.SEED, dev_folds=folds) for n in names])
+        return J.best_threshold(s, ["model"]).select("model", r6("threshold"), r6("macro_f1"))
+    return q
+
+
 def g1_dummy_oof(spark, sf_dir):
     from riskloom.plans.models import dummy_oof
     f = FO.assign_folds(_dev(spark, sf_dir).select("ID", "label"), config.SEED)
@@ -888,6 +898,8 @@ def registry() -> dict:
         "h2_oof_hgb": _oof_query("hgb"), "h2_oof_logreg_clean": _oof_query("logreg_clean"),
         "h2_oof_rf_balanced": _oof_query("rf_balanced", config.CHOSEN_FEATURE_GROUPS),
         "h2_oof_et": _oof_query("et"), "h2_oof_gb": _oof_query("gb"),
+        "g4_g6_imbalance_screen": _screen(list(config.IMBALANCE_CONFIGS)),
+        "g8_boosting_screen": _screen(list(config.BOOSTING_CONFIGS)),
         "g12_train_predict": g12_train_predict, "h5_fit_eval": h5_fit_eval,
         "k4_view_ensemble": k4_view_ensemble, "k5_family_ensemble": k5_family_ensemble,
         "k6_stacking": k6_stacking, "k8_k9_calibration": k8_k9_calibration,

@@ -59,3 +59,29 @@ def test_seed_average_has_both_halves(spark, panel):
     assert n == {(h, k): d.count() for h, d in (("oof", dev), ("eval", ev)) for k in (1, 2)}
     assert a.select("n_seeds", "threshold", "macro_f1").distinct().count() == 2
     assert len(config.AVERAGE_SEEDS) == 8
+
+
+def _cheap_oof(name, dev, seed=0, groups=(), dev_folds=None, **kw):
+    seen.append(name)
+    return dev_folds.select("ID", "label", "fold", F.lit(name).alias("model"), F.lit(seed).alias("seed"),
+                            (F.col("ID") % 97 / 97).alias("proba"))
+
+
+def test_screens_fit_every_preset(spark, monkeypatch):
+    from riskloom.plans import oof
+    monkeypatch.setattr(oof, "oof_proba", _cheap_oof)
+    for key, registry in (("g4_g6_imbalance_screen", config.IMBALANCE_CONFIGS),
+                          ("g8_boosting_screen", config.BOOSTING_CONFIGS)):
+        seen.clear()
+        r = Q.registry()[key](spark, SF).collect()
+        assert {x["model"] for x in r} == set(registry) == set(seen)
+
+
+def test_catboost_presets(spark):
+    from riskloom.plans.models import make_estimator
+    got = {}
+    for n in ("cb_default", "cb_reg", "cb_deep"):
+        e = make_estimator("catboost", config.BOOSTING_CONFIGS[n]["params"], weighted=True)
+        got[n] = (e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getWeightCol())
+    assert got == {"cb_default": (500, 6, 0.1, "weight"), "cb_reg": (800, 4, 0.03, "weight"),
+                   "cb_deep": (600, 8, 0.1, "weight")}
