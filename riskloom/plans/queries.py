@@ -771,22 +771,23 @@ def g12_soft_vote(spark, sf_dir):
 
 
 def h6_search(spark, sf_dir):
-    """H6 with the caller's specs: rank, validate against the anchor, refit and emit."""
-    from riskloom.plans.search import search_and_emit
+    """H6: forty drawn specs of each space ranked, the best six validated over every seed
+    against the anchor, the best three refitted and emitted."""
+    from riskloom.plans.search import SPACES, search_and_emit
     dev, ev = _split_tables(spark, sf_dir)
-    specs = [{"n_estimators": 20, "max_depth": d, "min_samples_leaf": 10, "class_weight": "balanced"} for d in (4, 8)]
-    out = search_and_emit("rf", dev, ev, _scratch(spark, "search"), anchor="logreg_clean", specs=specs, n_top=2,
-                          n_emit=1, seeds=config.VALIDATION_SEEDS[:2])
-    return out.select("spec_id", "params", r6("macro_f1"), r6("threshold"), r6("delta"), "wins", "submission")
+    out = M.union_all([search_and_emit(kind, dev, ev, _scratch(spark, f"search-{kind}")).withColumn("kind", F.lit(kind))
+                       for kind in SPACES])
+    return out.select("kind", "spec_id", "params", r6("macro_f1"), r6("threshold"), r6("delta"), "wins", "submission")
 
 
 def h9_candidates(spark, sf_dir):
-    """H9: a tuned model, a feature-set combination and an ensemble as candidates."""
+    """H9: the best spec of each search, a feature-set combination and an ensemble as
+    candidates."""
     from riskloom.plans.chosen import SoftVote
-    from riskloom.plans.search import candidate_list
+    from riskloom.plans.search import SPACES, candidate_list, ranking
     dev, ev = _split_tables(spark, sf_dir)
-    tuned = {"n_estimators": 20, "max_depth": 8, "class_weight": "balanced"}
-    found = candidate_list([("rf", tuned, ()), ("logreg_clean", {}, config.CHOSEN_FEATURE_GROUPS),
+    tuned = [(kind, ranking(kind, dev)[0]["spec"], ()) for kind in SPACES]
+    found = candidate_list([*tuned, ("logreg_clean", {}, config.CHOSEN_FEATURE_GROUPS),
                             ("vote", lambda: SoftVote(["logreg_clean", "dummy"]))], dev, ev,
                            root=_scratch(spark, "candidates"))
     out = None

@@ -1,4 +1,6 @@
 """Registered queries run over the whole of their registries."""
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,30 @@ def test_catboost_presets(spark):
         got[n] = (e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getWeightCol())
     assert got == {"cb_default": (500, 6, 0.1, "weight"), "cb_reg": (800, 4, 0.03, "weight"),
                    "cb_deep": (600, 8, 0.1, "weight")}
+
+
+def _cheap_cut(name, spec, folds, seed, groups):
+    seen.append((name, repr(sorted(spec.items(), key=str)), seed))
+    return 0.4, (hash(repr(spec)) % 1000) / 1000
+
+
+def test_search_draws_validates_and_emits(spark, monkeypatch):
+    from riskloom.plans import oof, search
+    seen.clear()
+    monkeypatch.setattr(search, "_cut", _cheap_cut)
+    monkeypatch.setattr(oof, "with_folds", lambda dev, seed, **kw: dev)
+    monkeypatch.setattr(oof, "fit_eval_proba", lambda name, dev, evl, *a, **kw: evl.select(
+        "ID", (F.col("ID") % 97 / 97).alias("proba")))
+    r = Q.h6_search(spark, SF).collect()
+    for kind in ("rf", "hgb"):
+        mine = [x for x in r if x["kind"] == kind]
+        assert len(mine) == 6 and sum(x["submission"] is not None for x in mine) == 3
+        drawn = {s for n, s, _ in seen if n == kind and s != "[]"}
+        checks = [s for n, s, seed in seen if n == kind and s != "[]"]
+        assert len(drawn) == 40 and len(checks) == 40 + 6 * len(config.VALIDATION_SEEDS)
+    seen.clear()
+    taken = []
+    monkeypatch.setattr(search, "candidate_list", lambda candidates, *a, **kw: taken.extend(candidates) or [])
+    Q.h9_candidates(spark, SF)
+    best = {x["kind"]: json.loads(x["params"]) for x in reversed(r)}
+    assert {c[0]: c[1] for c in taken[:2]} == best
