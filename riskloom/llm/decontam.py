@@ -11,8 +11,8 @@ multi-index: 64 bits in ``radius + 1`` blocks, so fingerprints within ``radius``
 each other agree on a block and none is missed. The exact weighted Jaccard similarity of
 window and item then decides.
 
-Two passages at similarity 0.8 differ in about 10 of 64 bits; ``radius`` 18 lies three
-standard deviations above. Items of fewer than five words are too short to tell from
+Two passages at similarity 0.8 differ in about 10 of 64 bits, whatever their words;
+``radius`` 18 lies three standard deviations above. Items of fewer than five words are too short to tell from
 ordinary text and never match. Each row is judged by its own text: what travels is doc_id
 and a hash of the text. Rows that share a doc_id report an item once, by the best of their
 windows; rows without one report it once for each text. Null texts have no words; an empty
@@ -64,12 +64,14 @@ def _weight(features: Column) -> Column:
 
 
 def simhash(features: Column) -> Column:
-    """Bit b is set if the shingles whose hash has bit b weigh more than the others."""
-    pairs = F.transform(features, lambda x: F.struct(F.xxhash64(x).alias("h"), x.bitwiseAND(F.lit(WEIGHT)).alias("w")))
+    """Bit b is set if the shingles whose hash has bit b weigh more than the others. What a
+    shingle adds is the root of its weight: the share of bits that differ follows the squares
+    of what is added, so a few very long words count as they do in the similarity."""
+    pairs = F.transform(features, lambda x: F.struct(F.xxhash64(x).alias("h"), F.sqrt(x.bitwiseAND(F.lit(WEIGHT)).cast("double")).alias("w")))
 
     def bits(p: Column) -> Column:
         def lean(b: Column) -> Column:
-            return F.aggregate(p, F.lit(0).cast("long"), lambda a, x: a + F.when(
+            return F.aggregate(p, F.lit(0.0), lambda a, x: a + F.when(
                 F.call_function("shiftrightunsigned", x["h"], b).bitwiseAND(F.lit(1)) == 1, x["w"]).otherwise(-x["w"]))
         return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(
             F.when(lean(b) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))))

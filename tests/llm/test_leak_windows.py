@@ -2,7 +2,9 @@
 
 import random
 
-from riskloom.llm.decontam import leaks, without_leaks
+from pyspark.sql import functions as F
+
+from riskloom.llm.decontam import _features, _weight, leaks, simhash, without_leaks, words_of
 from riskloom.llm.minhash import drop_near_duplicates
 from tests.llm import brute
 from tests.llm.brute import documents
@@ -67,3 +69,20 @@ def test_other_texts_under_a_repeated_id_stay(spark):
     assert len(texts) == 4 and "short" in texts
     assert sum(t in (a, a + " end") for t in texts) == 1 and texts.count(b) == 1 and texts.count(c) == 1
     assert {r["doc_id"] for r in kept if r["text"] == c} == {3}
+
+
+def test_a_changed_very_long_word_stays_within_the_radius(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(20):
+        a = _text(rng, 300)
+        at = rng.randrange(20, 280)
+        long = lambda: "".join(rng.choice("abcdefghij") for _ in range(110))
+        rows.append((" ".join([*a[:at], long(), *a[at + 1:]]), " ".join([*a[:at], long(), *a[at + 1:]])))
+    features = lambda c: _features(words_of(F.col(c)), 5)
+    d = spark.createDataFrame(rows, "a string, b string").select(features("a").alias("a"), features("b").alias("b"))
+    shared = _weight(F.array_intersect("a", "b"))
+    either = _weight(F.col("a")) + _weight(F.col("b")) - shared
+    got = d.select((100 * shared >= 80 * either).alias("leak"),
+                   F.bit_count(simhash(F.col("a")).bitwiseXOR(simhash(F.col("b")))).alias("bits")).collect()
+    assert all(r["leak"] for r in got) and max(r["bits"] for r in got) <= 18
