@@ -1,6 +1,7 @@
 """DuckDB statements for the queries that SQL can express, written from their definitions.
 
-Operators 1, 2, 6 and 8 learn models or call a tokenizer; they have none.
+Operators 1, 2, 6 and 8 learn models or call a tokenizer, operator 11 parses decoded keys;
+they have none.
 """
 
 from __future__ import annotations
@@ -164,3 +165,56 @@ def benchmark_leaks(words: int = 5, percent: int = 80) -> str:
     y AS (SELECT *, shared / (a + b - shared) AS similarity FROM x WHERE 100 * shared >= {percent} * (a + b - shared))
     SELECT doc_id, item_id, s::BIGINT AS first_word, n::BIGINT AS n_words, round(similarity, 6)::DOUBLE AS similarity
     FROM y QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY y.similarity DESC, s, n DESC) = 1"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({text}))::BIGINT),
+      lambda i: ('0x' || substr(hex({text}), (2 * i + 1)::BIGINT, 2))::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def spelling_variants() -> str:
+    low = _LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+'))")
+    return f"""WITH RECURSIVE runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, {low} AS run FROM documents)
+      WHERE length(run) >= 7 GROUP BY doc_id, run),
+    hashed AS (SELECT run, n, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs),
+    words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 31 = 0
+      THEN run[:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word FROM hashed)
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cuts AS MATERIALIZED (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS (SELECT a.word AS a, b.word AS b, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest WHERE a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+      UNION SELECT a.word, b.word, b.n FROM words a JOIN cuts b ON b.rest = a.word),
+    near AS (SELECT a, count(*) AS n_near, min(struct_pack(m := -n, w := b)) AS best FROM pairs GROUP BY a),
+    forms AS MATERIALIZED (SELECT word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+      CASE WHEN -best.m >= 10 * words.n THEN best.w END AS form, CASE WHEN -best.m >= 10 * words.n THEN -best.m END AS form_n
+      FROM words LEFT JOIN near ON near.a = words.word),
+    walk AS (SELECT word, word AS root, form AS next FROM forms
+      UNION ALL SELECT walk.word, walk.next, forms.form FROM walk JOIN forms ON forms.word = walk.next)
+    SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, root FROM walk WHERE next IS NULL) USING (word)"""
+
+
+def conversation_trie() -> str:
+    return f"""WITH own AS MATERIALIZED (SELECT conv_id AS c, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+      ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS l
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    hashed AS (SELECT c, l, {_crc32("c::VARCHAR")} % 6 AS h FROM own),
+    rebuilt AS MATERIALIZED (SELECT hashed.c, list_concat(coalesce(base.l, [])[:h], hashed.l[h + 1:]) AS l
+      FROM hashed LEFT JOIN own AS base ON base.c = hashed.c - hashed.c % 100),
+    steps AS MATERIALIZED (SELECT c, len(l) AS len, d, sha256(l[:d]::VARCHAR) || md5(to_json(l[:d])::VARCHAR) AS node,
+      sha256(l[:d - 1]::VARCHAR) || md5(to_json(l[:d - 1])::VARCHAR) AS above, coalesce(length(l[d].text), 0) AS size
+      FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)),
+    nodes AS MATERIALIZED (SELECT d, node, CASE WHEN d > 0 THEN any_value(above) END AS above, min(c) AS c, count(*) AS n,
+      any_value(size) AS size, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = len), '')) AS ends
+      FROM steps GROUP BY d, node),
+    kids AS (SELECT above, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY above, d),
+    full_ AS MATERIALIZED (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.above = nodes.node
+      AND kids.d = nodes.d),
+    sums AS (SELECT s.d, s.node, sum((u.n_children = 0)::BIGINT) AS leaves, sum((u.n - 1) * (u.d > 0)::BIGINT * u.size) AS saved
+      FROM full_ u JOIN steps s ON s.c = u.c AND s.d <= u.d GROUP BY s.d, s.node)
+    SELECT f.c AS conv_id, f.d::BIGINT AS depth, p.c AS parent_conv_id, f.n AS n_convs, f.n_children, leaves::BIGINT AS n_leaves,
+      saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+    FROM full_ f JOIN sums ON sums.d = f.d AND sums.node = f.node LEFT JOIN nodes p ON p.node = f.above AND p.d = f.d - 1"""

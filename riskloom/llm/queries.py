@@ -84,6 +84,32 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
+def _span_list(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.secrets import secret_spans
+    base = ["assign", "access", "hex"]
+
+    def of(kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    counts = [F.size(of([k])).cast("long").alias(f"n_{k}") for k in base]
+    return secret_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(_span_list(of(base)), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def registry() -> dict:
     import corpus_pipeline
     ops = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
@@ -98,4 +124,6 @@ def oracle_sql() -> dict:
         "op7_quality_rules": oracle.quality_rules(),
         "op9_minhash_near_dedup": oracle.near_dedup(80),
         "op10_benchmark_decontamination": oracle.benchmark_leaks(),
+        "op12_spelling_variants": oracle.spelling_variants(),
+        "op13_conversation_trie": oracle.conversation_trie(),
     }
