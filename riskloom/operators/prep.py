@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import config
-from riskloom.operators.stats import median_values
+from riskloom.operators.stats import median_values, sql_double
 
 
 def fit_medians(df: DataFrame, cols) -> dict:
@@ -25,9 +25,8 @@ def fit_medians(df: DataFrame, cols) -> dict:
 def _category_counts(df: DataFrame, cols) -> dict:
     """{column: {value: count}} of non-null values — one grouped job; the result is
     bounded by the columns' category cardinality (codes), not by rows."""
-    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                      for c in cols])
-    long = df.select(F.inline(items)).where(F.col("value").isNotNull())
+    items = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS value)" for c in cols)
+    long = df.selectExpr(f"inline(array({items}))").where("value IS NOT NULL")
     out: dict = {c: {} for c in cols}
     for r in long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect():
         out[r["column"]][r["value"]] = r["n"]
@@ -50,10 +49,10 @@ def fit_scaler(df: DataFrame, cols, fill: dict | None = None) -> dict:
     fill = fill or {}
 
     def x(c):
-        v = F.col(c).cast("double")
-        return F.coalesce(v, F.lit(float(fill[c]))) if c in fill and fill[c] is not None else v
-    row = df.agg(*[F.avg(x(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(x(c)).alias(f"s{i}") for i, c in enumerate(cols)]).collect()[0]
+        v = f"CAST(`{c}` AS DOUBLE)"
+        return f"coalesce({v}, {sql_double(fill[c])})" if fill.get(c) is not None else v
+    items = ", ".join(f"avg({x(c)}) AS m{i}, stddev_pop({x(c)}) AS s{i}" for i, c in enumerate(cols))
+    row = df.agg(F.expr(f"struct({items}) AS r")).first()["r"] if cols else {}
     out = {}
     for i, c in enumerate(cols):
         s = row[f"s{i}"]
@@ -89,33 +88,31 @@ class Preprocessor:
             cols += [onehot_name(c, v) for v in self.categories[c]]
         return cols
 
-    def numeric_exprs(self) -> list[Column]:
+    def numeric_exprs(self) -> list[str]:
         out = []
         for c in self.numeric:
             med = self.medians.get(c)
-            x = F.col(c).cast("double")
+            x = f"CAST(`{c}` AS DOUBLE)"
             if med is not None and med == med:
-                x = F.coalesce(x, F.lit(float(med)))
+                x = f"coalesce({x}, {sql_double(med)})"
             if self.scaler is not None:
                 m, s = self.scaler[c]
-                x = (x - F.lit(float(m))) / F.lit(float(s))
-            out.append(x.alias(c))
+                x = "CAST(NULL AS DOUBLE)" if m is None else f"({x} - {sql_double(m)}) / {sql_double(s)}"
+            out.append(f"{x} AS `{c}`")
         return out
 
-    def categorical_exprs(self) -> list[Column]:
+    def categorical_exprs(self) -> list[str]:
         out = []
         for c in self.categorical:
-            x = F.col(c).cast("double")
+            x = f"CAST(`{c}` AS DOUBLE)"
             if self.modes.get(c) is not None:
-                x = F.coalesce(x, F.lit(float(self.modes[c])))
-            for v in self.categories[c]:
-                out.append(F.coalesce((x == F.lit(float(v))).cast("double"), F.lit(0.0))
-                           .alias(onehot_name(c, v)))
+                x = f"coalesce({x}, {sql_double(self.modes[c])})"
+            out += [f"coalesce(CAST({x} = {sql_double(v)} AS DOUBLE), CAST(0 AS DOUBLE)) AS `{onehot_name(c, v)}`" for v in self.categories[c]]
         return out
 
     def transform(self, df: DataFrame, keep=("ID",)) -> DataFrame:
         keep = [k for k in keep if k in df.columns]
-        return df.select(*keep, *self.numeric_exprs(), *self.categorical_exprs())
+        return df.selectExpr(*[f"`{k}`" for k in keep], *self.numeric_exprs(), *self.categorical_exprs())
 
 
 def fit_preprocessor(train: DataFrame, extra_numeric=(), scale: bool = True,

@@ -1,40 +1,39 @@
-"""Learners (G1–G10) as Spark ML estimators, and the standard composition.
+"""Learners (G1–G10) and the standard composition.
 
 ``make_pipeline(kind, params, groups, encoding)`` returns an unfitted
 :class:`ModelPipeline`; ``fit(train)`` fits the preprocessor on the training rows
-only (leakage-safe), assembles the vector and fits the Spark ML learner;
-``score(df)`` returns ``(ID, proba)`` — the positive-class probability.
+only (leakage-safe) and the learner on its output; ``score(df)`` returns
+``(ID, proba)`` — the positive-class probability. ``fit_together`` fits many pipelines:
+those of one split, encoding and feature set share their prepared rows, and all tree
+learners among them grow in one Spark job (``operators/trees.py``).
 
-Parameter map (documented approximations):
+Parameter map:
 
 * ``logreg``: L2 logistic, C=1 -> ``regParam = 1 / sum(weights)`` (Spark averages
   the loss), no internal standardisation, ``maxIter`` from ``max_iter``.
-* ``rf``: ``numTrees``, ``minInstancesPerNode`` (= min_samples_leaf), ``sqrt``
-  feature subsets, depth capped at 30 (Spark's limit; unlimited in the analysed
-  code), class weights through ``weightCol``.
-* ``et``: Spark has no random cut points; nearest native is a forest without
-  bootstrap.
-* ``hgb``: ``GBTClassifier`` (depth 5 ~ 31 leaves, 100 rounds, step 0.1,
-  255 bins, leaf >= 20); leaf-wise growth and L2 have no native knob.
-* ``gb``: ``GBTClassifier`` depth 3.
-* ``lgbm`` presets: named ``GBTClassifier`` settings (rounds, step, depth, leaf size,
-  subsampling, feature subsets). The library itself is not used.
-* ``catboost`` presets: likewise (rounds, step, depth, leaf of one row); ordered boosting and
-  L2 have no native knob, and a step left to the library is 0.1.
+* ``rf``: bootstrap by Poisson counts, square-root feature subsets, cuts at 64 quantile
+  bins, leaf and split minima, share of rows, class weights (global or per bootstrap).
+* ``et``: one random cut per node and feature, no bootstrap.
+* ``hgb``: best-first growth to ``max_leaf_nodes`` (31), 100 rounds, step 0.1, 255 bins,
+  leaf >= 20, ``l2_regularization``, feature subsets per node.
+* ``gb``: depth 3, splits by squared error of the residuals, Newton leaf values.
+* ``lgbm`` presets: best-first with ``num_leaves``, row and column subsampling, L2. The
+  library itself is not used.
+* ``catboost`` presets: oblivious trees, ordered boosting, L2 (3 where not set); a step
+  left to the library is 0.1.
 * Early stopping is off unless a spec sets ``early_stopping`` (with ``validation_fraction``
   of the rows held out by hash); then every fit of a job stops the same way.
-* ``effective_params`` tells what Spark is given, after these maps and the depth limit.
+* ``effective_params`` tells what the learner is given; specs with equal ones fit alike.
 * ``dummy`` (G1): draws 1 with the training prior from a seeded hash of (seed, ID).
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -44,9 +43,11 @@ from riskloom import config
 from riskloom.functions import encode as E
 from riskloom.functions import features as FE
 from riskloom.operators.prep import Preprocessor, fit_preprocessor
+from riskloom.operators.trees import Spec, add_proba, fit_many
 from riskloom.session import cut_lineage
 
-MAX_DEPTH = 30  # Spark's tree depth limit
+MAX_DEPTH = 60  # paths from the root are 64-bit numbers
+TREE_KINDS = ("rf", "et", "hgb", "gb", "lgbm", "catboost")
 ROWS_PER_PARTITION = 50_000
 
 
@@ -80,72 +81,63 @@ def weight_column(weights: dict, label: str = "label") -> F.Column:
     return expr
 
 
-def _feature_subset(mf) -> str:
-    if mf is None or mf == "sqrt":
-        return "sqrt"
-    if mf == "log2":
-        return "log2"
-    if isinstance(mf, float) and mf <= 1.0:
-        return str(mf)
-    return str(int(mf))
+def _weights(spec):
+    """Class weights as a tree learner takes them."""
+    return (float(spec.get(0, 1.0)), float(spec.get(1, 1.0))) if isinstance(spec, dict) else spec
 
 
-def effective_params(kind: str, params: dict | None = None) -> dict:
-    """The settings that reach Spark for a spec; specs with equal settings fit alike."""
+def tree_spec(kind: str, params: dict | None = None) -> Spec:
+    """The tree learner that a model kind and its parameters stand for."""
     p = dict(params or {})
-    if kind == "dummy":
-        return {}
-    if kind == "logreg":
-        return {"max_iter": int(p.get("max_iter", 100)), "weights": p.get("class_weight")}
+    depth = min(int(p.get("max_depth") or MAX_DEPTH), MAX_DEPTH)
+    weights = _weights(p.get("class_weight"))
     if kind in ("rf", "et"):
-        return {"trees": int(p.get("n_estimators", 100)), "leaf": int(p.get("min_samples_leaf", 1)),
-                "depth": int(min(p.get("max_depth") or MAX_DEPTH, MAX_DEPTH)),
-                "subset": _feature_subset(p.get("max_features", "sqrt")), "bins": int(p.get("max_bins", 64)),
-                "share": float(p.get("max_samples", 1.0)), "weights": p.get("class_weight"),
-                "impurity": p["criterion"] if p.get("criterion") in ("gini", "entropy") else "gini"}
+        return Spec("forest" if kind == "rf" else "extra", trees=int(p.get("n_estimators", 100)), depth=depth,
+                    leaf_rows=int(p.get("min_samples_leaf", 1)), split_rows=int(p.get("min_samples_split", 2)),
+                    bins=int(p.get("max_bins", 64 if kind == "rf" else 255)), node_features=p.get("max_features", "sqrt"),
+                    rows=float(p.get("max_samples") or 1.0), bootstrap=bool(p.get("bootstrap", kind == "rf")),
+                    impurity=p["criterion"] if p.get("criterion") in ("gini", "entropy") else "gini", weights=weights)
+    boost = {"weights": "balanced" if weights == "balanced_subsample" else weights, "step": float(p.get("learning_rate", 0.1)),
+             "held_out": float(p.get("validation_fraction", 0.1)) if p.get("early_stopping") is True else 0.0}
+    if kind == "hgb":
+        share = p.get("max_features")
+        return Spec("boost", trees=int(p.get("max_iter", 100)), depth=depth, leaves=int(p.get("max_leaf_nodes", 31)),
+                    leaf_rows=int(p.get("min_samples_leaf", 20)), l2=float(p.get("l2_regularization", 0.0)),
+                    bins=int(p.get("max_bins", 255)), node_features=None if share in (None, 1.0) else float(share),
+                    impurity="newton", **boost)
+    if kind == "gb":
+        depth = int(p.get("max_depth", 3))
+        return Spec("boost", trees=int(p.get("n_estimators", 100)), depth=depth, leaves=1 << depth,
+                    leaf_rows=int(p.get("min_samples_leaf", 1)), leaf_hessian=0.0, rows=float(p.get("subsample", 1.0)),
+                    impurity="mse", **boost)
+    if kind == "lgbm":
+        return Spec("boost", trees=int(p.get("n_estimators", 100)), depth=depth, leaves=int(p.get("num_leaves", 31)),
+                    leaf_rows=int(p.get("min_child_samples", 20)), l2=float(p.get("reg_lambda", 0.0)),
+                    tree_features=float(p.get("colsample_bytree", 1.0)),
+                    rows=float(p.get("subsample", 1.0)) if p.get("subsample_freq") else 1.0, impurity="newton", **boost)
     if kind == "catboost":
-        return {"depth": int(p.get("depth", 6)), "rounds": int(p.get("iterations", 1000)),
-                "step": float(p.get("learning_rate", 0.1)), "leaf": 1, "bins": 255, "share": 1.0, "subset": "all",
-                "held_out": 0.0, "weights": p.get("class_weight")}
-    if kind not in ("hgb", "gb", "lgbm"):
-        raise ValueError(f"unknown estimator kind {kind!r}")
-    leaves = p.get("max_leaf_nodes" if kind == "hgb" else "num_leaves", 31)
-    subset = p.get("colsample_bytree", p.get("max_features") if kind == "hgb" else None)
-    return {"depth": int(p.get("max_depth", 3)) if kind == "gb" else max(1, math.ceil(math.log2(int(leaves) + 1))),
-            "rounds": int(p.get("max_iter" if kind == "hgb" else "n_estimators", 100)),
-            "step": float(p.get("learning_rate", 0.1)),
-            "leaf": 1 if kind == "gb" else int(p.get("min_samples_leaf" if kind == "hgb" else "min_child_samples", 20)),
-            "bins": 256 if kind == "gb" else int(p.get("max_bins", 255)) if kind == "hgb" else 255,
-            "share": float(p.get("subsample", 1.0)), "subset": "all" if subset is None else _feature_subset(float(subset)),
-            "held_out": float(p.get("validation_fraction", 0.1)) if p.get("early_stopping") is True else 0.0,
-            "weights": p.get("class_weight")}
-
-
-def make_estimator(kind: str, params: dict | None = None, seed: int = config.SEED,
-                   weighted: bool = False):
-    """Spark ML estimator for a model kind (``dummy`` returns None: scored by hash)."""
+        return Spec("oblivious", trees=int(p.get("iterations", 1000)), depth=int(p.get("depth", 6)), leaf_hessian=0.0,
+                    l2=float(p.get("l2_leaf_reg", 3.0)), impurity="newton", **boost)
+    raise ValueError(f"unknown estimator kind {kind!r}")
+
+
+def effective_params(kind: str, params: dict | None = None) -> dict:
+    """The settings that reach the learner for a spec; specs with equal settings fit alike."""
     p = dict(params or {})
-    common = {"featuresCol": "features", "labelCol": "label"}
-    if weighted:
-        common["weightCol"] = "weight"
     if kind == "dummy":
-        return None
+        return {}
     if kind == "logreg":
-        return LogisticRegression(maxIter=int(p.get("max_iter", 100)), elasticNetParam=0.0,
-                                  standardization=False, tol=1e-6, **common)
-    e = effective_params(kind, p)
-    if kind in ("rf", "et"):
-        return RandomForestClassifier(
-            impurity=e["impurity"], numTrees=e["trees"], minInstancesPerNode=e["leaf"], maxDepth=e["depth"],
-            featureSubsetStrategy=e["subset"], bootstrap=(kind == "rf"), maxBins=e["bins"], seed=seed,
-            subsamplingRate=e["share"],
-            # deep forests: keep node ids with the rows instead of re-walking every
-            # tree each level (4x faster on 300 deep trees), and give each pass
-            # enough memory to grow many nodes at once
-            cacheNodeIds=True, maxMemoryInMB=2048, checkpointInterval=10, **common)
-    return GBTClassifier(maxIter=e["rounds"], stepSize=e["step"], maxDepth=e["depth"],
-                         minInstancesPerNode=e["leaf"], maxBins=e["bins"], seed=seed,
-                         subsamplingRate=e["share"], featureSubsetStrategy=e["subset"], **common)
+        return {"max_iter": int(p.get("max_iter", 100)), "weights": p.get("class_weight")}
+    return asdict(tree_spec(kind, p))
+
+
+def make_estimator(kind: str, params: dict | None = None, weighted: bool = False):
+    """The linear learner (``dummy`` is scored by hash, trees are fitted by ``fit_many``)."""
+    if kind != "logreg":
+        raise ValueError(f"no estimator for kind {kind!r}")
+    return LogisticRegression(maxIter=int((params or {}).get("max_iter", 100)), elasticNetParam=0.0, standardization=False,
+                              tol=1e-6, featuresCol="features", labelCol="label",
+                              **({"weightCol": "weight"} if weighted else {}))
 
 
 # ------------------------------------------------------------------ G10
@@ -171,8 +163,13 @@ class ModelPipeline:
     pre: Preprocessor | None = None
     model: object = None
     prior: float | None = None
+    forest: object = None
+    encoder: object = None
+    ready: bool = False
 
     def prepare(self, df: DataFrame) -> DataFrame:
+        if self.ready:  # its rows come prepared
+            return df
         out = FE.fold_undocumented_codes(df)
         if self.groups:
             out = FE.add_engineered_features(out, self.groups)
@@ -193,7 +190,7 @@ class ModelPipeline:
         """``keep`` and the preprocessed row (with the anomaly score) as one array."""
         from riskloom.operators.anomaly import add_anomaly_score
         x = self.pre.transform(prepared, keep=keep)
-        x = x.select(*keep, F.array(*[F.col(f"`{c}`") for c in self.pre.output_columns()]).alias("features"))
+        x = x.selectExpr(*[f"`{k}`" for k in keep], f"array({', '.join(f'`{c}`' for c in self.pre.output_columns())}) AS features")
         if self.forest is not None:
             x = add_anomaly_score(x, self.forest, out="_anomaly")
             x = x.withColumn("features", F.concat("features", F.array("_anomaly"))).drop("_anomaly")
@@ -210,7 +207,7 @@ class ModelPipeline:
             self.encoder = TargetEncoder(seed=self.seed)
             prepared = cut_lineage(self.encoder.fit_transform(prepared))
             numeric = numeric + self.encoder.cols
-        self.pre = fit_preprocessor(prepared, numeric, scale=self.encoding.get("scale", True),
+        self.pre = fit_preprocessor(prepared, numeric, scale=self.encoding.get("scale", True) if self.encoding else True,
                                     categorical=[] if self.target else None)
         self.forest = None
         if self.anomaly is not None:
@@ -225,7 +222,14 @@ class ModelPipeline:
     def staged(self) -> bool:
         return bool(self.sampler or self.target or self.anomaly is not None)
 
+    def shares(self) -> tuple:
+        """What the prepared training rows depend on besides the split."""
+        own = self.seed if self.staged else None
+        return repr((self.groups, sorted(self.encoding.items()), self.sampler, self.anomaly, self.target, own))
+
     def fit(self, train: DataFrame) -> "ModelPipeline":
+        if self.kind in TREE_KINDS:
+            return fit_together([(self, train, 0)])[0]
         if self.kind == "dummy":
             self.prior = train.agg(F.avg(F.col("label").cast("double"))).collect()[0][0]
             return self
@@ -240,23 +244,15 @@ class ModelPipeline:
                                         scale=self.encoding.get("scale", True) if self.encoding else True)
             weights = class_weights(train, spec)
             m = self._matrix(train.withColumn("weight", weight_column(weights)), keep=("ID", "label", "weight"))
-        est = make_estimator(self.kind, self.params, self.seed, weighted=bool(weights))
-        # Tree learners depend on the partitioning -> fix it before fitting, sized by
-        # rows alone: small fits stay on few tasks, large fits spread over the cluster.
+        est = make_estimator(self.kind, self.params, weighted=bool(weights))
+        # sized by rows alone: small fits stay on few tasks, large fits spread over the cluster
         parts = max(1, -(-train.count() // ROWS_PER_PARTITION))
-        held_out = effective_params(self.kind, self.params).get("held_out")
-        if held_out:
-            m = m.withColumn("is_val", hash_uniform("val", self.seed, F.col("ID")) < held_out)
-            est.setValidationIndicatorCol("is_val")
-            est.set(est.getParam("validationTol"), 1e-7)
-        # iterative learners re-read their input every round: persist the prepared
-        # matrix once (memory, spilling to disk) for the duration of the fit
+        # the learner re-reads its input every round: keep the prepared matrix for the fit
         m = m.repartition(parts, "ID").sortWithinPartitions("ID") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         m.count()
-        if self.kind == "logreg":
-            total_w = m.agg(F.sum("weight")).collect()[0][0]
-            est.setRegParam(1.0 / float(total_w))
+        total_w = m.agg(F.sum("weight")).collect()[0][0]
+        est.setRegParam(1.0 / float(total_w))
         try:
             self.model = est.fit(m)
         finally:
@@ -269,17 +265,48 @@ class ModelPipeline:
         if self.kind == "dummy":
             u = hash_uniform("dummy", self.seed, F.col("ID"))
             return df.select(*keep, (u < F.lit(float(self.prior))).cast("double").alias("proba"))
-        if self.staged:
+        if self.staged or self.kind in TREE_KINDS:
             prepared = self.prepare(df)
             if self.target:
                 prepared = self.encoder.transform(prepared)
-            m = self._arrays(prepared, keep).withColumn("features", array_to_vector("features"))
+            m = self._arrays(prepared, keep)
+            if self.kind in TREE_KINDS:
+                return add_proba(m, self.model).select(*keep, "proba")
+            m = m.withColumn("features", array_to_vector("features"))
         else:
             m = self._matrix(df, keep=keep)
         out = self.model.transform(m)
         return out.select(*keep, vector_to_array("probability")[1].alias("proba"))
 
 
+def fit_together(jobs, parallel: int = 8) -> list:
+    """Fit ``(model, training rows, split key)`` jobs; returns the models. Pipelines of one
+    split key whose preparation is the same share it, and all tree learners grow in one job.
+    Anything else with a ``fit`` is fitted beside them."""
+    trees = [j for j in jobs if isinstance(j[0], ModelPipeline) and j[0].kind in TREE_KINDS]
+    rest = [j for j in jobs if not (isinstance(j[0], ModelPipeline) and j[0].kind in TREE_KINDS)]
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        rows: dict = {}
+        first: dict = {}
+        for pipe, train, key in trees:
+            at = (key, pipe.shares())
+            if at not in rows:
+                first[at] = pipe
+                rows[at] = pool.submit(pipe._training_rows, train)
+        others = [pool.submit(model.fit, train) for model, train, _ in rest]
+        fits = []
+        for pipe, _, key in trees:
+            at = (key, pipe.shares())
+            fits.append((rows[at].result(), tree_spec(pipe.kind, pipe.params), pipe.seed))
+            lead = first[at]
+            pipe.pre, pipe.forest, pipe.encoder = lead.pre, lead.forest, getattr(lead, "encoder", None)
+        for (pipe, _, _), model in zip(trees, fit_many(fits)):
+            pipe.model = model
+        for x in others:
+            x.result()
+    return [model for model, _, _ in jobs]
+
+
 def score_members(members, df: DataFrame, keep, names) -> DataFrame:
     """``keep`` and one probability column per fitted model, all added to the same rows:
     the frame travels along as one struct, so nothing is scanned twice or joined."""

@@ -654,8 +654,9 @@ def _screen(names):
     """Out-of-fold best cut and macro-F1 of every named model on the same folds."""
     def q(spark, sf_dir):
         from riskloom.plans import oof
+        from riskloom.plans.models import pipeline_for
         folds = oof.with_folds(_dev_table(spark, sf_dir), config.SEED)
-        s = M.union_all([oof.oof_proba(n, folds, config.SEED, dev_folds=folds) for n in names])
+        s = oof.oof_table({n: lambda n=n: pipeline_for(n) for n in names}, folds)
         return J.best_threshold(s, ["model"]).select("model", r6("threshold"), r6("macro_f1"))
     return q
 
@@ -735,10 +736,12 @@ def k10_calibrated_cv(spark, sf_dir):
 
 def _fitted_on_dev(spark, sf_dir, pipelines):
     """Each named pipeline fitted on the development rows and scored on the evaluation rows."""
+    from riskloom.plans.models import fit_together
     dev, ev = _split_tables(spark, sf_dir)
     out = None
-    for name, pipe in pipelines:
-        s = pipe.fit(dev).score(ev).select(F.lit(name).alias("model"), "ID", r6("proba"))
+    fitted = fit_together([(pipe, dev, 0) for _, pipe in pipelines])
+    for (name, _), pipe in zip(pipelines, fitted):
+        s = pipe.score(ev).select(F.lit(name).alias("model"), "ID", r6("proba"))
         out = s if out is None else out.unionByName(s)
     return out
 

@@ -8,9 +8,11 @@ pick a folder ourselves.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package's modules, once per Spark application, so that
+    tasks import them (and keep what they remember) wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_riskloom_shipped", False):
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    uri = scratch_path(spark, "riskloom") + ".zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(uri)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(uri)
+    sc._riskloom_shipped = True
+    return spark
+
+
 def stored(df, label: str, partition_by=()):
     """Write ``df`` once as Parquet under the shared scratch folder and read it back.
 
