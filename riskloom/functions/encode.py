@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom import config
 from riskloom.functions.nulls import finite_or_null
+from riskloom.session import built_once
 
 
 def encoding_extra_columns(encoding: dict | None) -> list[str]:
@@ -35,8 +36,13 @@ def signed_log1p(c: Column) -> Column:
 def apply_encoding(df: DataFrame, encoding: dict | None = None) -> DataFrame:
     if not encoding:
         return df
+    key = ("encoding", tuple(df.columns), tuple(sorted(encoding.items())))
+    return df.select(*built_once(key, lambda: _encoded_columns(df.columns, encoding)))
+
+
+def _encoded_columns(columns: list[str], encoding: dict) -> list[Column]:
     bill_neg = encoding.get("bill_neg", "keep")
-    exprs: dict[str, Column] = {c: F.col(c) for c in df.columns}
+    exprs: dict[str, Column] = {c: F.col(c) for c in columns}
     if encoding.get("pay_remap"):
         for c in config.PAY_COLS:
             exprs[c] = F.when(F.col(c) < 0, F.lit(0)).otherwise(F.col(c))
@@ -60,8 +66,7 @@ def apply_encoding(df: DataFrame, encoding: dict | None = None) -> DataFrame:
     if encoding.get("log1p"):
         touched |= set(config.MONETARY_COLS)
     cols = [(finite_or_null(e) if n in touched else e).alias(n) for n, e in exprs.items()]
-    cols += [e.alias(n) for n, e in extra.items()]
-    return df.select(*cols)
+    return cols + [e.alias(n) for n, e in extra.items()]
 
 
 def make_encoder(encoding: dict | None):

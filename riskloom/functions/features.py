@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from riskloom import config
 from riskloom.functions.nulls import (count_true, finite_or_null, flag, mean_of,
                                       safe_ratio, strict_greatest)
+from riskloom.session import built_once
 
 # FIXED VALUES: family name -> the exact output column names, in order.
 ENGINEERED_COLUMNS: dict[str, list[str]] = {
@@ -165,7 +166,7 @@ def add_engineered_features(df: DataFrame, groups=()) -> DataFrame:
     groups = list(groups)
     if not groups:
         return df
-    return df.select("*", *engineered_columns(groups))
+    return df.select("*", *built_once(("features", tuple(groups)), lambda: engineered_columns(groups)))
 
 
 def make_feature_engineer(groups):

@@ -146,7 +146,7 @@ def node_features(spec: Spec, seed: int, tree, node: np.ndarray, n: int, allowed
     k = _picked(spec, len(own))
     if k == len(own):
         return np.broadcast_to(own, (len(node), k))
-    u = _uniform(seed, 1, np.asarray(tree)[..., None] if np.ndim(tree) else tree, node[:, None], own[None, :])
+    u = _uniform(seed, 1, np.reshape(tree, (-1, 1)), node[:, None], own[None, :])
     return own[np.sort(np.argsort(u, axis=1, kind="stable")[:, :k], axis=1)]
 
 
@@ -272,33 +272,55 @@ def _bag_weights(spec: Spec, counts, y, whole) -> np.ndarray:
     return _class_weights(spec, *whole)
 
 
-def forest_tree(bins, y, ids, values, spec: Spec, seed: int, number: int, whole) -> Tree:
-    """One tree, level by level."""
-    counts = bootstrap(spec, seed, number, ids)
-    rows = np.flatnonzero(counts)
-    y, counts = y[rows], counts[rows]
-    w = _bag_weights(spec, counts, y, whole)
-    stats = [np.ones(len(rows)), np.where(y == 0, counts * w[0], 0.0), np.where(y == 1, counts * w[1], 0.0)]
-    tree = Tree()
-    tree.stats[0] = np.array([s.sum() for s in stats])
-    pos, front, width = np.zeros(len(rows), np.int64), _opened(tree, [0], spec), values.shape[1]
-    while len(front) and len(rows):
-        feats = node_features(spec, seed, number, front, bins.shape[1])
-        hist = histograms(bins, rows, pos, feats, stats, len(front), width)
-        found = level_splits(front, feats, hist, values, spec, seed, number)
-        place, front = apply_level(tree, front, *found, spec)
-        feature, cut = found[1][pos], found[2][pos]
-        pos = place[pos, (bins[rows, feature] > cut).astype(np.int64)]
+def forest_trees(bins, y, ids, values, spec: Spec, seed: int, numbers: range, whole) -> list[Tree]:
+    """Trees of one task, all of them a level at a time: an entry is a row of a tree's bag."""
+    f, width = bins.shape[1], values.shape[1]
+    trees, bags = [], []
+    for i, number in enumerate(numbers):
+        counts = bootstrap(spec, seed, number, ids)
+        w = _bag_weights(spec, counts, y, whole)
+        rows = np.flatnonzero(counts)
+        one = y[rows]
+        bags.append((rows, np.full(len(rows), i), np.where(one == 0, counts[rows] * w[0], 0.0), np.where(one == 1, counts[rows] * w[1], 0.0)))
+        trees.append(Tree())
+        trees[i].stats[0] = np.array([len(rows), bags[i][2].sum(), bags[i][3].sum()])
+    rows, tree, s0, s1 = (np.concatenate(x) for x in zip(*bags)) if bags else [np.zeros(0, np.int64)] * 4
+    stats = [np.ones(len(rows)), s0, s1]
+    fronts = [_opened(t, [0], spec) for t in trees]
+    base = np.cumsum([0, *map(len, fronts)])
+    alive = np.array([len(x) > 0 for x in fronts], bool)[tree] if trees else np.zeros(0, bool)
+    pos = base[tree][alive]
+    rows, stats = rows[alive], [s[alive] for s in stats]
+    while base[-1]:
+        front = np.concatenate(fronts)
+        number = np.repeat(np.array(list(numbers)), [len(x) for x in fronts])
+        found = []
+        step = max(1, HELD_BYTES // 2 // (_picked(spec, f) * width * 24))
+        for a in range(0, len(front), step):
+            nodes, of = front[a:a + step], number[a:a + step]
+            feats = node_features(spec, seed, of, nodes, f)
+            here = slice(None) if len(front) <= step else (pos >= a) & (pos < a + step)
+            hist = histograms(bins, rows[here], pos[here] - a, feats, [s[here] for s in stats], len(nodes), width)
+            found.append(level_splits(nodes, feats, hist, values, spec, seed, of))
+        found = [np.concatenate(x) for x in zip(*found)]
+        places = []
+        for i, t in enumerate(trees):
+            own = slice(base[i], base[i + 1])
+            place, fronts[i] = apply_level(t, fronts[i], *[x[own] for x in found], spec)
+            places.append(place)
+        ahead = np.cumsum([0, *map(len, fronts)])
+        place = np.concatenate([np.where(p >= 0, p + at, -1) for p, at in zip(places, ahead)])
+        pos = place[pos, (bins[rows, found[1][pos]] > found[2][pos]).astype(np.int64)]
         alive = pos >= 0
-        rows, pos, stats = rows[alive], pos[alive], [s[alive] for s in stats]
-    return tree
+        rows, pos, stats, base = rows[alive], pos[alive], [s[alive] for s in stats], ahead
+    return trees
 
 
 def level_splits(nodes, feats, hist, values, spec: Spec, seed: int, number):
     """Per node of a level (gain, feature, cut, sums left, sums in all)."""
     mask = None
     if spec.kind == "extra":
-        mask = random_cuts(hist, feats, values, _uniform(seed, 3, number, nodes[:, None], feats))
+        mask = random_cuts(hist, feats, values, _uniform(seed, 3, np.reshape(number, (-1, 1)), nodes[:, None], feats))
     gain, j, b, left, total = best_splits(hist, spec, mask)
     return gain, feats[np.arange(len(nodes)), j], b, left, total
 
@@ -492,7 +514,7 @@ def fit_arrays(x, y, ids, spec: Spec, seed: int, first: int = 0, last: int | Non
     values = _values(edges, width)
     whole = (float((y == 0).sum()), float((y == 1).sum()))
     if spec.kind in ("forest", "extra"):
-        trees = [forest_tree(bins, y, ids, values, spec, seed, t, whole) for t in range(first, spec.trees if last is None else last)]
+        trees = forest_trees(bins, y, ids, values, spec, seed, range(first, spec.trees if last is None else last), whole)
         return TreeModel(spec.kind, 0.0, [_flat(t, edges, forest_values(t)) for t in trees])
     w = (_class_weights(spec, *whole) / SCALE)[y]
     fit = np.ones(len(y), bool)

@@ -87,6 +87,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_built: dict = {}
+
+
+def built_once(key, build):
+    """``build()`` of unresolved columns, kept for the running Spark application: wide
+    projections are applied to many frames, and their expressions take driver time."""
+    app = SparkSession.active().sparkContext.applicationId
+    if (app, key) not in _built:
+        _built[app, key] = build()
+    return _built[app, key]
+
+
 def stored(df, label: str, partition_by=()):
     """Write ``df`` once as Parquet under the shared scratch folder and read it back.
 

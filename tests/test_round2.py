@@ -98,7 +98,8 @@ def test_fold_seed_leaves_the_learner_seed(monkeypatch, split):
 def test_early_stopping_is_the_callers_choice():
     assert models.effective_params("hgb", {})["held_out"] == 0
     assert models.effective_params("hgb", {"early_stopping": True, "validation_fraction": 0.2})["held_out"] == 0.2
-    assert models.effective_params("rf", {"max_depth": 32})["depth"] == 30
+    assert models.effective_params("rf", {"max_depth": 32})["depth"] == 32
+    assert models.effective_params("rf", {})["depth"] == models.MAX_DEPTH
 
 
 def test_specs_with_equal_effect_are_drawn_once():

@@ -1,8 +1,6 @@
 """Spec-level checks that need no fit: registries, parameter maps, search draws."""
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-
 from riskloom import config
-from riskloom.plans.models import make_estimator
+from riskloom.plans.models import effective_params, make_estimator, tree_spec
 from riskloom.plans.search import draw_specs
 
 
@@ -10,28 +8,21 @@ def test_registries_resolve(spark):
     for name in list(config.MODEL_CONFIGS) + list(config.IMBALANCE_CONFIGS) + \
             list(config.BOOSTING_CONFIGS):
         spec = config.resolve_model_spec(name)
-        est = make_estimator(spec["kind"], spec["params"], weighted=True)
-        assert est is not None
+        if spec["kind"] == "logreg":
+            assert make_estimator("logreg", spec["params"], weighted=True).getWeightCol() == "weight"
+        else:
+            assert tree_spec(spec["kind"], spec["params"]).trees >= 100
+        assert effective_params(spec["kind"], spec["params"])
     assert len(config.threshold_grid()) == 181
     assert config.ENCODING_CONFIGS["clean_linear"]["scale"] is True
 
 
-def test_lgbm_preset_mapping(spark):
-    est = make_estimator("lgbm", config.BOOSTING_CONFIGS["lgbm_deep_balanced"]["params"])
-    assert isinstance(est, GBTClassifier)
-    assert est.getMaxIter() == 600 and est.getMaxDepth() == 6
-    assert abs(est.getStepSize() - 0.02) < 1e-12 and est.getSubsamplingRate() == 0.8
-    assert est.getFeatureSubsetStrategy() == "0.7"
-
-
-def test_rf_mapping(spark):
+def test_rf_mapping():
     spec = config.resolve_model_spec("rf_balanced_leaf30")
-    est = make_estimator(spec["kind"], spec["params"])
-    assert isinstance(est, RandomForestClassifier)
-    assert est.getNumTrees() == 300 and est.getMinInstancesPerNode() == 30
-    assert est.getBootstrap() is True
-    et = make_estimator("et", config.MODEL_CONFIGS["et"]["params"])
-    assert et.getBootstrap() is False
+    est = tree_spec(spec["kind"], spec["params"])
+    assert (est.kind, est.trees, est.leaf_rows, est.bootstrap, est.weights) == ("forest", 300, 30, True, "balanced")
+    et = tree_spec("et", config.MODEL_CONFIGS["et"]["params"])
+    assert (et.kind, et.bootstrap) == ("extra", False)
 
 
 def test_search_draws_are_seeded_and_distinct():

@@ -63,15 +63,20 @@ def test_seed_average_has_both_halves(spark, panel):
     assert len(config.AVERAGE_SEEDS) == 8
 
 
-def _cheap_oof(name, dev, seed=0, groups=(), dev_folds=None, **kw):
-    seen.append(name)
-    return dev_folds.select("ID", "label", "fold", F.lit(name).alias("model"), F.lit(seed).alias("seed"),
-                            (F.col("ID") % 97 / 97).alias("proba"))
+def _cheap_table(factories, dev_folds, seed=0, parallel=8):
+    seen.extend(factories)
+    return oof_union([dev_folds.select("ID", "label", "fold", F.lit(n).alias("model"), F.lit(seed).alias("seed"),
+                                       (F.col("ID") % 97 / 97).alias("proba")) for n in factories])
+
+
+def oof_union(parts):
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def test_screens_fit_every_preset(spark, monkeypatch):
     from riskloom.plans import oof
-    monkeypatch.setattr(oof, "oof_proba", _cheap_oof)
+    monkeypatch.setattr(oof, "oof_table", _cheap_table)
     for key, registry in (("g4_g6_imbalance_screen", config.IMBALANCE_CONFIGS),
                           ("g8_boosting_screen", config.BOOSTING_CONFIGS)):
         seen.clear()
@@ -79,25 +84,15 @@ def test_screens_fit_every_preset(spark, monkeypatch):
         assert {x["model"] for x in r} == set(registry) == set(seen)
 
 
-def test_catboost_presets(spark):
-    from riskloom.plans.models import make_estimator
-    got = {}
-    for n in ("cb_default", "cb_reg", "cb_deep"):
-        e = make_estimator("catboost", config.BOOSTING_CONFIGS[n]["params"], weighted=True)
-        got[n] = (e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getWeightCol())
-    assert got == {"cb_default": (500, 6, 0.1, "weight"), "cb_reg": (800, 4, 0.03, "weight"),
-                   "cb_deep": (600, 8, 0.1, "weight")}
-
-
-def _cheap_cut(name, spec, folds, seed, groups):
-    seen.append((name, repr(sorted(spec.items(), key=str)), seed))
-    return 0.4, (hash(repr(spec)) % 1000) / 1000
+def _cheap_cuts(kind, specs, folds, seed, groups):
+    seen.extend((kind, repr(sorted(s.items(), key=str)), seed) for s in specs.values() if isinstance(s, dict))
+    return {i: (0.4, (hash(repr(s)) % 1000) / 1000) for i, s in specs.items()}
 
 
 def test_search_draws_validates_and_emits(spark, monkeypatch):
     from riskloom.plans import oof, search
     seen.clear()
-    monkeypatch.setattr(search, "_cut", _cheap_cut)
+    monkeypatch.setattr(search, "_cuts", _cheap_cuts)
     monkeypatch.setattr(oof, "with_folds", lambda dev, seed, **kw: dev)
     monkeypatch.setattr(oof, "fit_eval_proba", lambda name, dev, evl, *a, **kw: evl.select(
         "ID", (F.col("ID") % 97 / 97).alias("proba")))
@@ -114,3 +109,23 @@ def test_search_draws_validates_and_emits(spark, monkeypatch):
     Q.h9_candidates(spark, SF)
     best = {x["kind"]: json.loads(x["params"]) for x in reversed(r)}
     assert {c[0]: c[1] for c in taken[:2]} == best
+
+
+def test_store_is_fitted_once_and_resumed(spark, panel, tmp_path, monkeypatch):
+    from riskloom.plans import oof
+    dev = panel.where("ID % 5 != 4")
+    root = str(tmp_path / "store")
+    fitted = []
+    real = oof.fold_oof_many
+
+    def spy(factories, folds, *args):
+        fitted.append(len(factories))
+        return real(factories, folds, *args)
+    monkeypatch.setattr(oof, "fold_oof_many", spy)
+    first = oof.build_oof_cache(["dummy"], dev, [42], root=root)
+    both = oof.build_oof_cache(["dummy"], dev, [42, 7], root=root)
+    again = oof.build_oof_cache(["dummy"], dev, [42, 7], root=root)
+    assert fitted == [1, 1]
+    assert first.count() == dev.count() and both.count() == 2 * dev.count()
+    assert sorted(map(str, both.collect())) == sorted(map(str, again.collect()))
+    assert oof.build_oof_cache(["dummy"], dev, [7], root=root).select("seed").distinct().collect()[0][0] == 7
