@@ -135,6 +135,14 @@ def build() -> dict[str, str]:
            "c11_chosen_combo": ["paysem", "util", "payratio"],
            "c11_all_new": ["paysem", "coverx", "util", "payratio"],
            "c11_paysem_paysem2_util_payratio": ["paysem", "paysem2", "util", "payratio"]}
+    # fixed values: feature sets that are named by their families
+    named = ["pay", "util", "payratio", "bill", "util_payratio", "pay_util_payratio", "paysem", "coverx", "paysem_payratio",
+             "coverx_payratio", "paysem_coverx_payratio", "paysem_util", "paysem_util_coverx_payratio",
+             "paysem_util_payratio_bill", "paysem_coverx", "paysem_utilmonths_payratio", "paysem_util_payamtratio",
+             "paysem_stress_payratio", "paysem_util_payratio_stress", "paysem2_util_payratio", "paysem_paysem2_payratio",
+             "paysem2_stress_payratio"]
+    fam |= {f"c11_{n}": n.split("_") for n in named}
+    fam |= {"c11_baseline": [], "c11_all": ["pay", "util", "payratio", "bill"]}
     for k, g in fam.items():
         q[k] = _family(g)
     enc = {"d1_pay_remap": "pay_remap", "d2_pay_flags": "pay_remap_flags",

@@ -452,6 +452,20 @@ def k2_named_ensembles(spark, sf_dir):
     return b.select("model", "seed", r6("threshold"), r6("macro_f1"))
 
 
+def k2_learner_ensembles(spark, sf_dir):
+    """K2 over learners: the seven named lists, from one out-of-fold table of their members."""
+    from riskloom.operators.ensemble import named_ensembles
+    from riskloom.plans import oof
+    from riskloom.plans.models import pipeline_for
+    from riskloom.session import cut_lineage
+    folds = oof.with_folds(_dev_table(spark, sf_dir), config.SEED)
+    members = sorted({m for ms in config.ENSEMBLE_CONFIGS.values() for m in ms})
+    scores = cut_lineage(oof.oof_table({m: lambda m=m: pipeline_for(m) for m in members}, folds))
+    both = scores.select("seed", "fold", "ID", "label", "model", "proba").unionByName(
+        named_ensembles(scores, config.ENSEMBLE_CONFIGS))
+    return J.best_threshold(both, ["model"]).select("model", r6("threshold"), r6("macro_f1"))
+
+
 def k3_seed_average(spark, sf_dir):
     from riskloom.operators.ensemble import seed_average
     a = seed_average(_k_scores(spark, sf_dir), config.VALIDATION_SEEDS)
@@ -825,6 +839,26 @@ def d6_scale(spark, sf_dir):
     return _router_long(spark, sf_dir, "baseline")
 
 
+def d7_noscale(spark, sf_dir):
+    """D-7: a tree learner scores the same with and without scaling; rows that differ by more
+    than 1e-9 are counted per fold."""
+    from riskloom.plans import oof
+    from riskloom.plans.models import ModelPipeline
+    folds = oof.with_folds(_dev_table(spark, sf_dir), config.SEED)
+    s = oof.oof_table({e: lambda e=e: ModelPipeline("hgb", {}, [], dict(config.ENCODING_CONFIGS[e]))
+                       for e in ("noscale", "baseline")}, folds)
+    apart = F.max("proba") - F.min("proba") > 1e-9
+    rows = s.groupBy("fold", "ID").agg(apart.alias("apart"), F.count("*").alias("n"))
+    return rows.groupBy("fold").agg(F.count("*").alias("n_rows"), F.count_if("apart").alias("n_apart"), F.sum("n").alias("n_scores"))
+
+
+def g12_score_range(spark, sf_dir):
+    """G12 with cuts over the range of the inner scores."""
+    from riskloom.plans.chosen import train_and_predict
+    dev, ev = _split_tables(spark, sf_dir)
+    return train_and_predict(dev, ev, grid="score_range")[0]
+
+
 def d7_clean_linear(spark, sf_dir):
     return _router_long(spark, sf_dir, "clean_linear")
 
@@ -910,6 +944,7 @@ def registry() -> dict:
         "k10_calibrated_cv": k10_calibrated_cv,
         "f_resampled_models": f_resampled_models, "e7_anomaly_models": e7_anomaly_models,
         "e6_target_models": e6_target_models, "g12_soft_vote": g12_soft_vote,
+        "g12_score_range": g12_score_range, "k2_learner_ensembles": k2_learner_ensembles, "d7_noscale": d7_noscale,
         "h6_search": h6_search, "h9_candidates": h9_candidates,
         "f2_smote": _resampled(_sampler("smote")),
         "f3_borderline_smote": _resampled(_sampler("borderline")),
