@@ -116,17 +116,24 @@ TAG_LINE = r"(SPDX-License-Identifier:[^\n]*)\n"
 CONTINUED = r"\n[ \t*#/;-]*([a-z(])"
 OTHER = r"[^a-z0-9.\n]+"
 ENDS = r"\.? *\n[ .\n]*|\. +"
+#: stands where a rule took its sentences, so that their neighbours do not become neighbours
+USED = "|"
+#: a named holder, in sentences as ``normal`` leaves them
+HOLDER = r"^neither the name of .+ nor the names of"
+ANY_HOLDER = "neither the name of the copyright holder nor the names of"
 
 
 def normal(sentence: str) -> str:
-    return re.sub(OTHER, " ", sentence.lower()).strip(" .")
+    return re.sub(HOLDER, ANY_HOLDER, re.sub(OTHER, " ", sentence.lower()).strip(" ."))
 
 
 def _sentences(text: Column) -> Column:
     tagged = F.regexp_replace(F.coalesce(text, F.lit("")), TAG_LINE, "$1.\n")
     joined = F.regexp_replace(tagged, CONTINUED, " $1")
     clean = F.regexp_replace(F.translate(joined, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), OTHER, " ")
-    return F.transform(F.split(clean, ENDS), lambda s: F.btrim(s, F.lit(" .")))
+    trimmed = F.transform(F.split(clean, ENDS), lambda s: F.btrim(s, F.lit(" .")))
+    return F.transform(trimmed, lambda s: F.when(s.startswith("neither the name of "), F.regexp_replace(
+        s, HOLDER, ANY_HOLDER)).otherwise(s))
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -143,9 +150,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
         steps, F.struct(F.concat_ws("", F.transform("found", lambda x: F.concat(F.lit(","), x, F.lit(",")))).alias("left"),
                         F.array().cast("array<string>").alias("names")),
         lambda acc, r: F.when(F.contains(acc["left"], r["ids"]), F.struct(
-            F.replace(acc["left"], r["ids"], F.lit("")).alias("left"),
+            F.replace(acc["left"], r["ids"], F.lit(USED)).alias("left"),
             F.array_union(acc["names"], F.array(r["name"])).alias("names"))).otherwise(acc)).alias("m"))
-    left = F.btrim(F.replace(F.col("m.left"), F.lit(",,"), F.lit(",")), F.lit(","))
+    left = F.btrim(F.regexp_replace("m.left", "[,|]+", ","), F.lit(","))
     return rows.select(
         "doc_id", F.array_join("m.names", ",").alias("licenses"), left.alias("unmatched"), "n_sentences",
         F.when(F.size("m.names") > 0, "licensed").when(F.col("n_sentences") > 0, "unknown").otherwise("none").alias("verdict"))

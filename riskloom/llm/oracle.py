@@ -23,17 +23,17 @@ def license_scan() -> str:
     joined = f"regexp_replace({tagged}, {_quoted(licenses.CONTINUED)}, {_quoted(' ' + chr(92) + '1')}, 'g')"
     clean = f"regexp_replace({_LOWER.format(joined)}, {_quoted(licenses.OTHER)}, ' ', 'g')"
     parts = [f"""WITH s AS (SELECT doc_id, list_transform(regexp_split_to_array({clean}, {_quoted(licenses.ENDS)}),
-      lambda x: trim(x, ' .')) AS s FROM documents),
+      lambda x: regexp_replace(trim(x, ' .'), {_quoted(licenses.HOLDER)}, {_quoted(licenses.ANY_HOLDER)})) AS s FROM documents),
     f AS (SELECT doc_id, list_filter(list_transform(s, lambda x: {known}[x]), lambda x: x IS NOT NULL) AS f FROM s),
     r0 AS (SELECT doc_id, len(f) AS n, coalesce(array_to_string(list_transform(f, lambda x: ',' || x || ','), ''), '') AS l, '' AS names FROM f)"""]
     last = 0
     for i, (name, ids) in enumerate(licenses.rules(), 1):
         pattern = _quoted("," + ",,".join(ids) + ",")
-        parts.append(f"""r{i} AS (SELECT doc_id, n, replace(l, {pattern}, '') AS l, CASE WHEN contains(l, {pattern})
+        parts.append(f"""r{i} AS (SELECT doc_id, n, replace(l, {pattern}, '|') AS l, CASE WHEN contains(l, {pattern})
       AND NOT contains(',' || names || ',', ',{name},') THEN trim(names || ',{name}', ',') ELSE names END AS names FROM r{i - 1})""")
         last = i
     return ",\n".join(parts) + f"""
-    SELECT doc_id, names AS licenses, trim(replace(l, ',,', ','), ',') AS unmatched, n::BIGINT AS n_sentences,
+    SELECT doc_id, names AS licenses, trim(regexp_replace(l, '[,|]+', ',', 'g'), ',') AS unmatched, n::BIGINT AS n_sentences,
       CASE WHEN names <> '' THEN 'licensed' WHEN n > 0 THEN 'unknown' ELSE 'none' END AS verdict FROM r{last}"""
 
 

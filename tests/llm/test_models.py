@@ -204,3 +204,12 @@ def test_license_scan_of_odd_rows(spark):
     out = licenses.license_scan(edges(spark)).collect()
     assert len(out) == len(edge_rows()) and {r["verdict"] for r in out} == {"none"}
     assert licenses.license_scan(documents(spark, [])).count() == 0
+
+
+def test_license_rules_do_not_reach_across_what_was_used(spark):
+    s = licenses.SENTENCES
+    named = s["bsd_names"].replace("the copyright holder", "Acme Corp")
+    rows = [(1, "\n".join([s["bsd_use"], s["apache2_use"], s["bsd_source"], s["bsd_binary"]])),
+            (2, "\n".join([s["bsd_use"], s["bsd_source"], s["bsd_binary"], named]))]
+    out = {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in licenses.license_scan(documents(spark, rows)).collect()}
+    assert out == {1: ("Apache-2.0", "bsd_use,bsd_source,bsd_binary"), 2: ("BSD-3-Clause", "")}
