@@ -25,7 +25,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import ship, stored
@@ -37,6 +37,7 @@ MAX_CELLS = 1 << 16
 LEAF = 48
 BITS = 256
 _BLOCK = 1 << 21
+_HELD = 1 << 17
 
 
 # ------------------------------------------------------------------ words and counts
@@ -109,23 +110,32 @@ def _histograms(tree, open_cells: set, stuck: set):
     """Per open cell and letter, how many words have it c times; letter -1 counts the words.
     Stuck cells are told apart by their leading letters."""
     def run(batches):
+        counts = defaultdict(int)
         for batch in batches:
-            out = []
             for length, _, codes in _by_length(batch.column(0)):
                 for node, rows in _walk(tree.value, length, codes, 0, 0):
                     if (length, node) not in open_cells:
                         continue
-                    out.append((length, node, 0, -1, 0, len(rows)))
+                    counts[length, node, 0, -1, 0] += len(rows)
                     for h in range(1, length) if (length, node) in stuck else (0,):
                         part = codes[rows, :h] if h else codes[rows]
                         for letter in np.unique(part):
                             c = np.bincount((part == letter).sum(axis=1))
-                            out.extend((length, node, h, int(letter), int(k), int(c[k])) for k in np.flatnonzero(c) if k)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _HIST_TYPES)], names=_HIST_NAMES)
+                            for k in np.flatnonzero(c[1:]) + 1:
+                                counts[length, node, h, int(letter), int(k)] += int(c[k])
+                if len(counts) > _HELD:
+                    yield _histogram_rows(counts)
+                    counts.clear()
+        if counts:
+            yield _histogram_rows(counts)
     return run
 
 
+def _histogram_rows(counts: dict) -> pa.RecordBatch:
+    columns = zip(*((*k, n) for k, n in counts.items()))
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, _HIST_TYPES)], names=_HIST_NAMES)
+
+
 _HIST_NAMES = [c.split()[0] for c in _HIST.split(", ")]
 _HIST_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
@@ -135,7 +145,6 @@ def _splits(hist: DataFrame) -> DataFrame:
     keys = ["length", "node"]
     total = hist.where("letter = -1").groupBy(*keys).agg(F.sum("n").alias("total"))
     counts = hist.where("letter >= 0").groupBy(*keys, "h", "letter", "c").agg(F.sum("n").alias("n"))
-    from pyspark.sql import Window
     w = Window.partitionBy(*keys, "h", "letter").orderBy(F.col("c").desc())
     cuts = counts.select(*keys, "h", "letter", (F.col("c") - 1).alias("t"), F.sum("n").over(w).alias("over"))
     able = cuts.join(total, keys).where("over < total")
