@@ -1,7 +1,8 @@
 """Operator 7: quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
 Word statistics of each whole text feed five one-sided rules (reject above a cutoff).
-Labelled good documents of a stratum are the holdout: a cutoff is safe if the exact
+The distinct texts of a stratum's labelled good documents are the holdout (copies are no
+independent draws; near copies still count one by one): a cutoff is safe if the exact
 binomial test refutes, at level ``delta`` / (strata * rules), that it rejects more than
 ``alpha`` / rules of the good documents there. Cutoffs of a rule are tested from the
 loosest on and the testing stops at the first that is not safe (fixed-sequence testing),
@@ -159,27 +160,32 @@ def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def _good(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row per stratum and distinct text of the good documents that pass the base."""
     good = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
-    return stats.join(good, "doc_id").where(~base_failed("stats")).select("stratum", "stats")
+    return stats.join(good, "doc_id").where(~base_failed("stats")).select(
+        "stratum", "body", "stats").distinct().drop("body")
+
+
+def _measured(docs: DataFrame, stratum: str, *more: Column) -> DataFrame:
+    """doc_id, stratum, hash of the text, its statistics and ``more`` columns, stored: holdout
+    and verdicts read the statistics instead of taking them from the text again."""
+    return stored(docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
+                              F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("body"),
+                              statistics(F.col("text")).alias("stats"), *more), "rule-stats")
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05,
                      delta: float = 0.05) -> DataFrame:
     """doc_id, stratum, stats, base_failed and kept of every row of ``docs``."""
-    stats = stored(docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
-                               statistics(F.col("text")).alias("stats")), "rule-stats")
+    stats = _measured(docs, stratum)
     cutoffs = stored(safe_cutoffs(_good(stats, labels), alpha, delta), "rule-cutoffs")
-    return _judged(stats, cutoffs)
+    return _judged(stats.drop("body"), cutoffs)
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05,
                    delta: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns only."""
-    named = docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "text",
-                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    stats = named.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi").select(
-        "doc_id", "stratum", statistics(F.col("text")).alias("stats"))
-    cutoffs = stored(safe_cutoffs(_good(stats, labels), alpha, delta), "rule-cutoffs")
-    rows = named.select("stratum", "row", statistics(F.col("text")).alias("stats"))
-    return _judged(rows, cutoffs).where("kept").select("row.*")
+    rows = _measured(docs, stratum, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    cutoffs = stored(safe_cutoffs(_good(rows.drop("row"), labels), alpha, delta), "rule-cutoffs")
+    return _judged(rows.select("stratum", "stats", "row"), cutoffs).where("kept").select("row.*")
