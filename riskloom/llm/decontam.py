@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import NO_ID, id_text, real_id, stored
 from riskloom.llm.rules import let
 
-WEIGHT = 1023  # low bits of a shingle's hash that hold its weight
+WEIGHT = 2**31 - 1  # low bits of a shingle's hash that hold its weight: no string is longer
 KEY = ["doc_id", "body"]
 
 
@@ -50,7 +50,7 @@ def _weighed(w: Column, k: int) -> Column:
     """All k-word shingles, in order; the low bits of each are its weight."""
     def one(i: Column) -> Column:
         chars = sum((F.length(F.get(w, i + t)) for t in range(k)), F.lit(0)).cast("long")
-        return _gram(w, i, k).bitwiseAND(F.lit(~WEIGHT)).bitwiseOR(F.least(chars, F.lit(WEIGHT)))
+        return _gram(w, i, k).bitwiseAND(F.lit(~WEIGHT)).bitwiseOR(chars)
     return F.when(F.size(w) < k, F.array().cast("array<long>")).otherwise(
         F.transform(F.sequence(F.lit(0), F.size(w) - k), one))
 

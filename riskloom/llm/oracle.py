@@ -117,7 +117,7 @@ def quality_rules(alpha: float = 0.05, delta: float = 0.05) -> str:
       len(l)::BIGINT AS n_lines, length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_capitals
       FROM u LEFT JOIN rep USING (doc_id)),
     v AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
-    good AS MATERIALIZED (SELECT v.* FROM v JOIN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+    good AS MATERIALIZED (SELECT DISTINCT v.* EXCLUDE (doc_id), t FROM v JOIN u USING (doc_id) JOIN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
       HAVING max(quality) = 1) USING (doc_id) WHERE NOT base_failed),
     found AS ({found}),
     tests AS (SELECT stratum, rule, place, count(*) AS n, count(*) FILTER (WHERE level < place) AS k
@@ -152,16 +152,17 @@ def near_dedup(percent: int = 80) -> str:
 def benchmark_leaks(words: int = 5, percent: int = 80) -> str:
     split = "list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"
     grams = f"list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' '))"
-    weight = f"coalesce(list_sum(list_transform({{}}, lambda x: least(length(x) - {words - 1}, 1023))), 0)"
+    weight = f"coalesce(list_sum(list_transform({{}}, lambda x: length(x) - {words - 1})), 0)"
     return f"""WITH d AS MATERIALIZED (SELECT doc_id, w, {grams} AS g FROM (SELECT doc_id, {split} AS w FROM documents)),
     t AS MATERIALIZED (SELECT item_id, len(w) AS n, {grams} AS g FROM (SELECT item_id, {split} AS w FROM benchmark) WHERE len(w) >= {words}),
-    tg AS (SELECT DISTINCT n, unnest(g) AS g, generate_subscripts(g, 1) - 1 AS place FROM t),
+    tg AS (SELECT DISTINCT item_id, n, unnest(g) AS g FROM t),
     dg AS (SELECT doc_id, unnest(g) AS g, generate_subscripts(g, 1) - 1 AS place FROM d),
-    hit AS (SELECT DISTINCT doc_id, n, dg.place - tg.place AS s FROM dg JOIN tg USING (g)),
-    win AS (SELECT DISTINCT doc_id, n, greatest(0, least(s, len(w) - n)) AS s FROM hit JOIN d USING (doc_id)),
-    f AS (SELECT doc_id, n, s, list_distinct(g[s + 1:s + n - {words - 1}]) AS fa FROM win JOIN d USING (doc_id)),
+    hit AS (SELECT doc_id, item_id, n, unnest(range(greatest(0, place - n + {words}), least(place, greatest(0, len(w) - n)) + 1)) AS s
+      FROM dg JOIN tg USING (g) JOIN d USING (doc_id)),
+    f AS (SELECT doc_id, item_id, s, list_distinct(d.g[s + 1:s + n - {words - 1}]) AS fa
+      FROM (SELECT DISTINCT * FROM hit) JOIN d USING (doc_id)),
     x AS (SELECT doc_id, item_id, s, n, {weight.format('list_intersect(fa, g)')} AS shared, {weight.format('fa')} AS a,
-      {weight.format('list_distinct(g)')} AS b FROM f JOIN t USING (n)),
+      {weight.format('list_distinct(g)')} AS b FROM f JOIN t USING (item_id)),
     y AS (SELECT *, shared / (a + b - shared) AS similarity FROM x WHERE 100 * shared >= {percent} * (a + b - shared))
     SELECT doc_id, item_id, s::BIGINT AS first_word, n::BIGINT AS n_words, round(similarity, 6)::DOUBLE AS similarity
     FROM y QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY y.similarity DESC, s, n DESC) = 1"""

@@ -116,22 +116,21 @@ def _plain_words(text):
 
 
 def leaks(rows, items, k=5, percent=80):
-    """{(doc_id, item_id): best similarity} over item-sized windows lined up by a shingle."""
+    """{(doc_id, item_id): best similarity} over all item-sized windows that share a shingle."""
     grams = lambda w: [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
-    weight = lambda s: sum(min(1023, sum(map(len, g))) for g in s)
-    split = {i: _plain_words(t) for i, t in items}
-    where = defaultdict(list)
-    for i, w in split.items():
-        for at, g in enumerate(grams(w)):
-            where[g].append((i, at))
+    weight = lambda s: sum(sum(map(len, g)) for g in s)
     out = {}
+    split = {item: _plain_words(text) for item, text in items}
     for doc, text in rows:
         w = _plain_words(text)
-        for place, g in enumerate(grams(w)):
-            for item, at in where.get(g, ()):
-                n = len(split[item])
-                s = max(0, min(place - at, len(w) - n))
-                a, b = set(grams(w[s:s + n])), set(grams(split[item]))
+        held = grams(w)
+        for item, t in split.items():
+            b = set(grams(t))
+            last = max(0, len(w) - len(t))
+            starts = {s for place, g in enumerate(held) if g in b
+                      for s in range(max(0, place - len(t) + k), min(place, last) + 1)}
+            for s in starts:
+                a = set(held[s:s + max(0, len(t) - k + 1)])
                 x, u = weight(a & b), weight(a | b)
                 if 100 * x >= percent * u:
                     out[doc, item] = max(out.get((doc, item), 0), x / u)

@@ -4,8 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from riskloom.llm.decontam import _features, _weight, leaks, simhash, without_leaks, words_of
+from riskloom.llm.common import table
+from riskloom.llm.decontam import _features, _held, _weight, leaks, simhash, without_leaks, words_of
 from riskloom.llm.minhash import drop_near_duplicates
+from tests.conftest import SF
 from tests.llm import brute
 from tests.llm.brute import documents
 
@@ -15,7 +17,7 @@ ITEMS = "item_id long, text string"
 def _every_start(rows, items, k=5, percent=80):
     """{(doc_id, item_id): best similarity} over all item-sized windows."""
     grams = lambda w: {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
-    weight = lambda s: sum(min(1023, sum(map(len, g))) for g in s)
+    weight = lambda s: sum(sum(map(len, g)) for g in s)
     out = {}
     for doc, text in rows:
         w = brute._plain_words(text)
@@ -86,3 +88,24 @@ def test_a_changed_very_long_word_stays_within_the_radius(spark):
     got = d.select((100 * shared >= 80 * either).alias("leak"),
                    F.bit_count(simhash(F.col("a")).bitwiseXOR(simhash(F.col("b")))).alias("bits")).collect()
     assert all(r["leak"] for r in got) and max(r["bits"] for r in got) <= 18
+
+
+def test_a_shingle_weighs_all_its_characters(spark):
+    rng = random.Random(11)
+    item, other = _text(rng, 30), _text(rng, 30)
+    long = ["".join(rng.choice("abcdefghij") for _ in range(1500)) for _ in range(12)]
+    bench = [(1, " ".join(item[:15] + long[:6] + item[15:])), (2, " ".join(other[:15] + long[6:] + other[15:]))]
+    rows = [(1, " ".join(item[:15] + long[:5] + item[15:])), (2, " ".join(long[:6] + other)), (3, " ".join(other + long[6:])),
+            (4, bench[1][1])]
+    got = {(r["doc_id"], r["item_id"]): r["similarity"]
+           for r in leaks(documents(spark, rows), spark.createDataFrame(bench, ITEMS), radius=63).collect()}
+    want = _every_start(rows, bench)
+    assert got.keys() == want.keys() and (4, 2) in got
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_the_radius_loses_no_pair_of_the_test_tables(spark):
+    """Radius 63 has blocks of one bit: only a window whose every bit differs is passed over."""
+    pairs = [{(r["doc_id"], r["body"], r["item_id"]) for r in _held(
+        table(spark, SF, "documents"), table(spark, SF, "benchmark"), radius=radius).collect()} for radius in (18, 63)]
+    assert pairs[0] == pairs[1] and pairs[0]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import rules
 from riskloom.llm.common import table
-from riskloom.llm.decontam import _blocks, leaks, simhash, without_leaks
+from riskloom.llm.decontam import WEIGHT, _blocks, leaks, simhash, without_leaks
 from tests.conftest import SF
 from tests.llm import brute
 from tests.llm.brute import documents, edge_rows, edges
@@ -63,6 +63,15 @@ def test_cutoffs_that_would_reject_good_documents_are_refused(spark):
     assert rules.quality_verdicts(docs, labels).where("not kept").count() == 0
 
 
+def test_copies_are_one_draw_of_the_holdout(spark):
+    few, labels = _labelled(spark, 40, 10, 0)
+    rows = [(r["doc_id"] + 1000 * k, r["text"], "en") for r in few.collect() for k in range(20)]
+    marks = [(r["doc_id"] + 1000 * k, r["quality"], 0, "clash") for r in labels.collect() for k in range(20)]
+    docs, labels = documents(spark, rows), spark.createDataFrame(marks, LABELS)
+    assert rules.quality_verdicts(docs, labels).where("not kept").count() == 0
+    assert rules.quality_filter(docs, labels).count() == len(rows)
+
+
 def test_labels_may_be_null_or_repeated(spark):
     docs, labels = _labelled(spark, 700, 20, 0)
     more = labels.union(labels).union(spark.createDataFrame([(3, None, None, None), (None, 1, 0, None), (701, None, 0, None)], LABELS))
@@ -77,15 +86,13 @@ def test_rule_query_equals_duckdb(spark):
     import duckdb
     from riskloom.llm.queries import oracle_sql, registry
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark", "pages"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in oracle_sql().items():
-        have = registry()[name](spark, SF).toPandas()
-        want = con.sql(sql).df()
+        have, want = registry()[name](spark, SF), con.sql(sql)
         assert sorted(have.columns) == sorted(want.columns), name
-        cols = sorted(have.columns)
-        assert sorted(map(str, have[cols].itertuples(index=False, name=None))) == sorted(
-            map(str, want[cols].itertuples(index=False, name=None))), name
+        rows = want.select(*[f'"{c}"' for c in have.columns]).fetchall()
+        assert sorted(map(str, map(tuple, have.collect()))) == sorted(map(str, rows)), name
 
 
 ITEMS = "item_id long, text string, n int, fp string, doc_id string"
@@ -140,9 +147,10 @@ def test_blocks_find_every_fingerprint_within_the_radius(spark):
 
 
 def test_simhash_is_near_for_similar_shingles(spark):
-    base = [(i * 7919 + 13) * 1024 + 20 for i in range(60)]
-    near = base[:54] + [10**9 * 1024 + i * 1024 + 20 for i in range(6)]
-    far = [(10**12 + i * 104729) * 1024 + 20 for i in range(60)]
+    weighed = lambda x: x * (WEIGHT + 1) + 20
+    base = [weighed(i * 7919 + 13) for i in range(60)]
+    near = base[:54] + [weighed(10**9 + i) for i in range(6)]
+    far = [weighed(2 * 10**9 + i * 104729) for i in range(60)]
     a, b, c = (r["h"] for r in spark.createDataFrame([(0, base), (1, near), (2, far)], "i int, f array<long>").orderBy(
         "i").select(simhash(F.col("f")).alias("h")).collect())
     apart = lambda x, y: bin((x ^ y) & (2**64 - 1)).count("1")
