@@ -1,7 +1,8 @@
 """Exact k-nearest-neighbour join (F7) that skips blocks by distance bounds.
 
 Targets are dealt to blocks by their nearest pivot (target rows drawn by hash, one for every
-``rows_per_block`` targets); a block with more rows is split into units by hash, so a unit
+``rows_per_block`` targets, at most ``pivots``, which bounds what the driver and each task
+hold); a block with more rows is split into units by hash, so a unit
 has a bounded size whatever the data looks like. Every query first meets one unit of its own
 block, which bounds the distance of its k-th neighbour. By the triangle inequality a block
 whose pivot is farther than that bound plus the block's radius holds no neighbour; the query
@@ -37,36 +38,40 @@ def _nearest(k: int, exclude_self: bool, slice_rows: int = 256):
     distances decide; a query whose proposals are too close to call gets all of them."""
     spare = 8
 
+    def ranked(qx: np.ndarray, tx: np.ndarray, near: np.ndarray, pick: np.ndarray):
+        """Places and exact distances of the best among ``pick`` (ascending in each row)."""
+        diff = tx[pick] - qx[:, None, :]
+        exact = np.einsum("ijk,ijk->ij", diff, diff)
+        exact[np.isinf(np.take_along_axis(near, pick, 1))] = np.inf
+        best = np.argsort(exact, axis=1, kind="stable")[:, :k]
+        return np.take_along_axis(pick, best, 1), np.take_along_axis(exact, best, 1)
+
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        qids, nids, dists = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if len(q) and len(t):
             t = t.sort_values("ID", kind="stable")
             tx, tid = _matrix(t["features"]), t["ID"].to_numpy("int64")
             qx_all, qid_all = _matrix(q["features"]), q["ID"].to_numpy("int64")
             scale = 1e-9 * (1 + (tx * tx).sum(1).max())
+            want = min(k + spare, len(tid))
+            everything = np.arange(len(tid))
             for s in range(0, len(qid_all), slice_rows):
                 qx, qid = qx_all[s:s + slice_rows], qid_all[s:s + slice_rows]
                 near = _squared(qx, tx)
                 if exclude_self:
                     near[qid[:, None] == tid[None, :]] = np.inf
-                want = min(k + spare, len(tid))
-                for i in range(len(qid)):
-                    row = near[i]
-                    if want < len(tid):
-                        pick = np.sort(np.argpartition(row, want - 1)[:want])
-                        kth = np.partition(row[pick], min(k, want) - 1)[min(k, want) - 1]
-                        if row[pick].max() <= kth + scale + 1e-9 * (qx[i] * qx[i]).sum():
-                            pick = np.arange(len(tid))
-                    else:
-                        pick = np.arange(len(tid))
-                    pick = pick[np.isfinite(row[pick])]
-                    diff = tx[pick] - qx[i]
-                    exact = np.einsum("ij,ij->i", diff, diff)
-                    best = np.argsort(exact, kind="stable")[:k]
-                    found.append(pd.DataFrame({"qid": qid[i], "nid": tid[pick[best]], "dist2": exact[best]}))
-        return pd.concat(found) if found else pd.DataFrame({"qid": pd.Series([], dtype="int64"),
-                                                            "nid": pd.Series([], dtype="int64"),
-                                                            "dist2": pd.Series([], dtype="float64")})
+                pick = np.sort(np.argpartition(near, want - 1, axis=1)[:, :want], axis=1)
+                place, exact = ranked(qx, tx, near, pick)
+                if want < len(tid):
+                    proposed = np.sort(np.take_along_axis(near, pick, 1), axis=1)
+                    slack = scale + 1e-9 * (qx * qx).sum(1)
+                    for i in np.flatnonzero(proposed[:, -1] <= proposed[:, min(k, want) - 1] + slack):
+                        place[i], exact[i] = (x[0] for x in ranked(qx[i:i + 1], tx, near[i:i + 1], everything[None, :]))
+                there = np.isfinite(exact)
+                qids.append(np.repeat(qid, there.sum(1)))
+                nids.append(tid[place[there]])
+                dists.append(exact[there])
+        return pd.DataFrame({"qid": np.concatenate(qids), "nid": np.concatenate(nids), "dist2": np.concatenate(dists)})
     return run
 
 
@@ -136,28 +141,29 @@ def _reachable(queries: DataFrame, pivots: np.ndarray, units: _Units) -> DataFra
 
 
 def knn(queries: DataFrame, targets: DataFrame, k: int, exclude_self: bool = True,
-        rows_per_block: int = 4000) -> DataFrame:
+        rows_per_block: int = 4000, pivots: int = 4096) -> DataFrame:
     """(qid, nid, dist2, rank) — the k nearest targets of every query row.
 
     Both inputs have ``ID`` and ``features`` (array<double>). ``exclude_self`` drops
     the pair with equal IDs (neighbours of a row within its own set). ``rows_per_block``
-    bounds the rows that a task compares at a time.
+    bounds the rows that a task compares at a time. Beyond ``rows_per_block`` * ``pivots``
+    targets the blocks grow, so the work does faster than the table: see ``lsh.knn_lsh``.
     """
     n = targets.count()
-    blocks = max(1, -(-n // rows_per_block))
-    drawn = targets.orderBy(F.xxhash64("ID", F.lit(7)), "ID").limit(blocks).select("features").collect()
-    pivots = np.array([r["features"] for r in drawn], "float64").reshape(len(drawn), -1)
     if not n:
         return queries.sparkSession.createDataFrame([], PARTIAL + ", rank int")
-    placed = _placed(targets, pivots)
+    blocks = max(1, min(pivots, -(-n // rows_per_block)))
+    drawn = targets.orderBy(F.xxhash64("ID", F.lit(7)), "ID").limit(blocks).select("features").collect()
+    centres = np.array([r["features"] for r in drawn], "float64").reshape(len(drawn), -1)
+    placed = _placed(targets, centres)
     stats = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("radius")).collect()
     units = _Units(stats, blocks, rows_per_block)
     t = cut_lineage(units.column(placed).select("ID", "features", "unit"))
-    q = cut_lineage(units.column(_placed(queries, pivots)).select("ID", "features", "unit"))
+    q = cut_lineage(units.column(_placed(queries, centres)).select("ID", "features", "unit"))
     first = cut_lineage(_meet(q, t, k, exclude_self, rows_per_block))
     kth = first.groupBy(F.col("qid").alias("ID")).agg(
         F.when(F.count(F.lit(1)) >= k, F.max("dist2")).alias("kth"))
-    rest = cut_lineage(_reachable(q.join(kth, "ID", "left"), pivots, units))
+    rest = cut_lineage(_reachable(q.join(kth, "ID", "left"), centres, units))
     partial = first.unionByName(_meet(rest, t, k, exclude_self, rows_per_block))
     w = Window.partitionBy("qid").orderBy("dist2", "nid")
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

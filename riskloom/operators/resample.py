@@ -13,11 +13,14 @@
   (``drop="majority"``) or both (``drop="all"``, as inside SMOTE+Tomek).
 * F5 SMOTE then Tomek (drop both); F6 SMOTE then ENN (drop rows whose 3 nearest
   neighbours are not all of their own class).
-All neighbour searches are the exact blocked join of :mod:`riskloom.operators.knn`.
+Neighbours come from ``search``: the exact blocked join of :mod:`riskloom.operators.knn`, or
+:func:`riskloom.operators.lsh.knn_lsh` where the table is too large for it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,7 +65,8 @@ def undersample(df: DataFrame, seed: int = config.SEED) -> DataFrame:
     return r.where((F.col("label") == mino) | (F.col("rk") < c[mino])).drop("rk")
 
 
-def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame | None = None) -> DataFrame:
+def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame | None = None,
+          search: Callable[..., DataFrame] = knn) -> DataFrame:
     """original rows + synthetic minority rows (``synthetic`` flag, new negative IDs)."""
     mino, majo, c = _minority_majority(df)
     m = c[majo] - c[mino]
@@ -74,7 +78,7 @@ def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame |
     n_base = base.count()
     if n_base == 0:
         return out
-    nn = knn(base, minority, k, exclude_self=True)
+    nn = search(base, minority, k, exclude_self=True)
     ranked = hash_rank(base.withColumn("label", F.lit(mino)), seed)
     q, r = divmod(m, n_base)
     per = ranked.select("ID", "features", "rk",
@@ -99,11 +103,11 @@ def smote(df: DataFrame, seed: int = config.SEED, k: int = 5, bases: DataFrame |
     return out.unionByName(s)
 
 
-def danger_rows(df: DataFrame, m: int = 10) -> DataFrame:
+def danger_rows(df: DataFrame, m: int = 10, search: Callable[..., DataFrame] = knn) -> DataFrame:
     """F3 selection: minority rows with m/2 <= #majority neighbours < m."""
     mino, majo, _ = _minority_majority(df)
     minority = df.where(F.col("label") == mino).select("ID", "features")
-    nn = knn(minority, df.select("ID", "features"), m, exclude_self=True)
+    nn = search(minority, df.select("ID", "features"), m, exclude_self=True)
     lab = df.select(F.col("ID").alias("nid"), F.col("label").alias("nl"))
     cnt = nn.join(lab, "nid").groupBy("qid").agg(F.count_if(F.col("nl") == majo).alias("n_maj"))
     danger = cnt.where((F.col("n_maj") * 2 >= m) & (F.col("n_maj") < m)).select(
@@ -111,15 +115,16 @@ def danger_rows(df: DataFrame, m: int = 10) -> DataFrame:
     return minority.join(danger, "ID")
 
 
-def borderline_smote(df: DataFrame, seed: int = config.SEED, k: int = 5, m: int = 10) -> DataFrame:
+def borderline_smote(df: DataFrame, seed: int = config.SEED, k: int = 5, m: int = 10,
+                     search: Callable[..., DataFrame] = knn) -> DataFrame:
     """SMOTE from the danger rows only."""
-    return smote(df, seed, k, bases=danger_rows(df, m))
+    return smote(df, seed, k, bases=danger_rows(df, m, search), search=search)
 
 
-def tomek_links(df: DataFrame) -> DataFrame:
+def tomek_links(df: DataFrame, search: Callable[..., DataFrame] = knn) -> DataFrame:
     """(a, b) pairs, a < b, of opposite classes that are each other's 1-NN."""
     x = df.select("ID", "features")
-    nn = knn(x, x, 1, exclude_self=True).select("qid", "nid")
+    nn = search(x, x, 1, exclude_self=True).select("qid", "nid")
     lab = df.select("ID", "label")
     pairs = nn.alias("a").join(nn.alias("b"), (F.col("a.qid") == F.col("b.nid")) &
                                (F.col("a.nid") == F.col("b.qid")))
@@ -130,9 +135,9 @@ def tomek_links(df: DataFrame) -> DataFrame:
     return pairs.where(F.col("la") != F.col("lb")).select("a", "b", "la", "lb")
 
 
-def tomek(df: DataFrame, drop: str = "majority") -> DataFrame:
+def tomek(df: DataFrame, drop: str = "majority", search: Callable[..., DataFrame] = knn) -> DataFrame:
     """remove Tomek-link members (majority member, or both with ``drop='all'``)."""
-    links = tomek_links(df)
+    links = tomek_links(df, search)
     if drop == "all":
         gone = links.select(F.col("a").alias("ID")).unionByName(links.select(F.col("b").alias("ID")))
     else:
@@ -141,16 +146,16 @@ def tomek(df: DataFrame, drop: str = "majority") -> DataFrame:
     return df.join(gone.distinct(), "ID", "left_anti")
 
 
-def smote_tomek(df: DataFrame, seed: int = config.SEED) -> DataFrame:
+def smote_tomek(df: DataFrame, seed: int = config.SEED, search: Callable[..., DataFrame] = knn) -> DataFrame:
     """SMOTE, then drop both members of every Tomek link."""
-    s = smote(df, seed)
-    return tomek(s, drop="all")
+    s = smote(df, seed, search=search)
+    return tomek(s, drop="all", search=search)
 
 
-def enn(df: DataFrame, k: int = 3) -> DataFrame:
+def enn(df: DataFrame, k: int = 3, search: Callable[..., DataFrame] = knn) -> DataFrame:
     """Edited nearest neighbours: keep rows whose k nearest rows all share their class."""
     x = df.select("ID", "features")
-    nn = knn(x, x, k, exclude_self=True)
+    nn = search(x, x, k, exclude_self=True)
     lab = df.select(F.col("ID").alias("nid"), F.col("label").alias("nl"))
     own = df.select(F.col("ID").alias("qid"), F.col("label").alias("ql"))
     bad = nn.join(lab, "nid").join(own, "qid").groupBy("qid") \
@@ -159,9 +164,9 @@ def enn(df: DataFrame, k: int = 3) -> DataFrame:
     return df.join(bad, "ID", "left_anti")
 
 
-def smote_enn(df: DataFrame, seed: int = config.SEED) -> DataFrame:
+def smote_enn(df: DataFrame, seed: int = config.SEED, search: Callable[..., DataFrame] = knn) -> DataFrame:
     """SMOTE, then edited nearest neighbours (k=3) on all classes."""
-    return enn(smote(df, seed), 3)
+    return enn(smote(df, seed, search=search), 3, search)
 
 
 SAMPLERS = {"undersample": undersample, "smote": smote, "borderline": borderline_smote,

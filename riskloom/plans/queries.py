@@ -538,6 +538,20 @@ def f7_knn(spark, sf_dir):
                      F.round(F.sqrt("dist2"), 3).alias("dist"))
 
 
+def f7_knn_lsh(spark, sf_dir):
+    from riskloom.operators.lsh import knn_lsh
+    x = _resample_input(spark, sf_dir)
+    return knn_lsh(x, x, 5, exclude_self=True).select(
+        F.col("qid").alias("ID"), F.col("nid").alias("neighbor"), F.col("rank").cast("int").alias("rank"),
+        F.round(F.sqrt("dist2"), 3).alias("dist"))
+
+
+def f2_smote_lsh(spark, sf_dir):
+    from riskloom.operators.lsh import knn_lsh
+    from riskloom.operators.resample import smote
+    return _resampled(lambda x: smote(x, search=knn_lsh))(spark, sf_dir)
+
+
 def f4_tomek_links(spark, sf_dir):
     from riskloom.operators.resample import tomek_links
     return tomek_links(_resample_input(spark, sf_dir)).select("a", "b", "la", "lb")
@@ -925,7 +939,7 @@ def registry() -> dict:
         "k3_seed_average": k3_seed_average, "k3_seed_average_learner": k3_seed_average_learner,
         "h4_oof_cache_learners": h4_oof_cache_learners, "k7_diversity": k7_diversity,
         "k12_screen": k12_screen, "k13_paired": k13_paired,
-        "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f4_tomek_links": f4_tomek_links,
+        "f1_undersample": f1_undersample, "f7_knn": f7_knn, "f7_knn_lsh": f7_knn_lsh, "f4_tomek_links": f4_tomek_links,
         "f4_tomek": f4_tomek,
         "d6_scale": d6_scale, "d7_clean_linear": d7_clean_linear,
         "j9_segment_hist": j9_segment_hist, "j9_segment_cuts": j9_segment_cuts,
@@ -946,7 +960,7 @@ def registry() -> dict:
         "e6_target_models": e6_target_models, "g12_soft_vote": g12_soft_vote,
         "g12_score_range": g12_score_range, "k2_learner_ensembles": k2_learner_ensembles, "d7_noscale": d7_noscale,
         "h6_search": h6_search, "h9_candidates": h9_candidates,
-        "f2_smote": _resampled(_sampler("smote")),
+        "f2_smote": _resampled(_sampler("smote")), "f2_smote_lsh": f2_smote_lsh,
         "f3_borderline_smote": _resampled(_sampler("borderline")),
         "f5_smote_tomek": _resampled(_sampler("smotetomek")),
         "f6_smote_enn": _resampled(_sampler("smoteenn")), "j8_apply_segments": j8_apply_segments,
