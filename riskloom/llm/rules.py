@@ -83,16 +83,15 @@ def statistics(text: Column) -> Column:
         F.length(F.regexp_replace(text, r"[^A-Z]+", "")).cast("long").alias("n_capitals"))))
 
 
-def base_failed(stats: str) -> Column:
-    s = lambda k: F.col(f"{stats}.{k}")
-    return (s("n_words") < 50) | (100 * s("n_repeat_words") > 50 * s("n_words"))
+def base_failed(stats: Column) -> Column:
+    return (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
 
 
-def _level(stats: str, rule: str) -> Column:
+def _level(stats: Column, rule: str) -> Column:
     """How many of the rule's cutoffs, from the loosest on, the document does not exceed;
     it is rejected by the cutoffs at and after that place."""
     top, bottom, cutoffs = RULES[rule]
-    value = F.col(f"{stats}.{top}") / F.greatest(F.col(f"{stats}.{bottom}"), F.lit(1))
+    value = stats[top] / F.greatest(stats[bottom], F.lit(1))
     return sum((F.when(value <= c, 1).otherwise(0) for c in cutoffs), F.lit(0))
 
 
@@ -124,7 +123,7 @@ def safe_cutoffs(labelled: DataFrame, alpha: float = 0.05, delta: float = 0.05)
     ``labelled``: ``stratum`` and ``stats`` of documents labelled good that pass the base.
     """
     levels = labelled.select("stratum", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), _level("stats", r).alias("level"), F.lit(len(RULES[r][2])).alias("cutoffs"))
+        F.struct(F.lit(r).alias("rule"), _level(F.col("stats"), r).alias("level"), F.lit(len(RULES[r][2])).alias("cutoffs"))
         for r in RULES])).alias("x")).select("stratum", "x.*")
     counts = levels.groupBy("stratum", "rule", "cutoffs", "level").count()
     tests = counts.groupBy("stratum", "rule", "cutoffs").agg(
@@ -145,34 +144,34 @@ def safe_cutoffs(labelled: DataFrame, alpha: float = 0.05, delta: float = 0.05)
             .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "places"))).alias("places")))
 
 
-def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """``rows(stratum, stats, ...)`` plus ``base_failed`` and ``kept``. ``cutoffs`` must be
-    a stored table."""
+def _with_cutoffs(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``rows(stratum, ...)`` plus ``places``. ``cutoffs`` must be a stored table."""
     if cutoffs.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)
-    fails = [_level("stats", r) < F.coalesce(F.col("places")[r], F.lit(0)) for r in RULES]
-    any_rule = fails[0]
-    for f in fails[1:]:
-        any_rule = any_rule | f
-    failed = base_failed("stats")
-    return rows.join(cutoffs, "stratum", "left").withColumns(
-        {"base_failed": failed, "kept": ~failed & ~any_rule}).drop("places")
+    return rows.join(cutoffs, "stratum", "left")
+
+
+def _passes(stats: Column) -> Column:
+    """Whether a document with these statistics passes the base and the rules of its stratum."""
+    failed = base_failed(stats)
+    for r in RULES:
+        failed = failed | (_level(stats, r) < F.coalesce(F.col("places")[r], F.lit(0)))
+    return ~failed
 
 
 def _good(stats: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per stratum and distinct text of the good documents that pass the base."""
     good = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
-    return stats.join(good, "doc_id").where(~base_failed("stats")).select(
+    return stats.join(good, "doc_id").where(~base_failed(F.col("stats"))).select(
         "stratum", "body", "stats").distinct().drop("body")
 
 
-def _measured(docs: DataFrame, stratum: str, *more: Column) -> DataFrame:
-    """doc_id, stratum, hash of the text, its statistics and ``more`` columns, stored: holdout
-    and verdicts read the statistics instead of taking them from the text again."""
+def _measured(docs: DataFrame, stratum: str) -> DataFrame:
+    """doc_id, stratum, hash of the text and its statistics, stored."""
     return stored(docs.select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"),
                               F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("body"),
-                              statistics(F.col("text")).alias("stats"), *more), "rule-stats")
+                              statistics(F.col("text")).alias("stats")), "rule-stats")
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05,
@@ -180,12 +179,16 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
     """doc_id, stratum, stats, base_failed and kept of every row of ``docs``."""
     stats = _measured(docs, stratum)
     cutoffs = stored(safe_cutoffs(_good(stats, labels), alpha, delta), "rule-cutoffs")
-    return _judged(stats.drop("body"), cutoffs)
+    return _with_cutoffs(stats.drop("body"), cutoffs).withColumns(
+        {"base_failed": base_failed(F.col("stats")), "kept": _passes(F.col("stats"))}).drop("places")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05,
                    delta: float = 0.05) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns only."""
-    rows = _measured(docs, stratum, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    cutoffs = stored(safe_cutoffs(_good(rows.drop("row"), labels), alpha, delta), "rule-cutoffs")
-    return _judged(rows.select("stratum", "stats", "row"), cutoffs).where("kept").select("row.*")
+    """The rows of ``docs`` that are kept, with their own columns only. The statistics are
+    stored for the holdout and taken once more, by one expression, where the rows are judged:
+    no text is copied or shuffled."""
+    cutoffs = stored(safe_cutoffs(_good(_measured(docs, stratum), labels), alpha, delta), "rule-cutoffs")
+    rows = docs.select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), F.col("text").alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return _with_cutoffs(rows, cutoffs).where(let(statistics(F.col("text")), _passes)).select("row.*")
