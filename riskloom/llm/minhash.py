@@ -9,7 +9,8 @@
 3. Bands of registers are bucketed. A bucket links no pairs by itself: its members are
    compared with a few pivots, then members of different components with each other, and
    every link is confirmed on the full sets. Exact bounds from set sizes and rare shingles
-   spare comparisons that cannot confirm.
+   spare comparisons that cannot confirm. Hot buckets and pivots are dealt over many
+   tasks (``parts.py``).
 4. Links are contracted to components; the smallest doc_id of a component stays.
 
 With 42 bands of 6 registers a pair at similarity 0.8 is missed with probability 3e-6.
@@ -21,15 +22,20 @@ the smallest of their texts stands for it.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import parts
 from riskloom.llm.common import WordHasher, mix64, run_index, ship, slices, stored, text_bytes
 from riskloom.llm.components import components
 
 BANDS, ROWS = 42, 6
+#: members of a bucket and size that meet in one cell of the last round
+CELL = 1024
 _U = np.uint64
 _ID_BITS = 10  # texts of a block; the other 54 bits hold the shingle
 
@@ -158,20 +164,31 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame, end: str, other: str, total: int) -> DataFrame:
+    """``pairs`` with the set of one end; the pairs of a hot end are dealt by the other."""
+    hot = F.broadcast(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("m")).select(
+        end, parts.salts(F.col("m"), total).alias("hot")).where("hot > 1"))
+    dealt = pairs.join(hot, end, "left").withColumn("s", parts.part_of(other, F.coalesce("hot", F.lit(1)))).drop("hot")
+    held = sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"s{end}")).join(hot, end, "left").withColumn(
+        "salts", F.coalesce("hot", F.lit(1))).drop("hot")
+    return dealt.join(parts.each_part(held).drop("salts"), [end, "s"]).drop("s")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= similarity * union."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    total = pairs.count()
     both = F.size(F.array_intersect("sa", "sb"))
     either = F.size("sa") + F.size("sb") - both
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= similarity * either).select("a", "b")
+    full = _with_sets(_with_sets(pairs, sets, "a", "b", total), sets, "b", "a", total)
+    return full.where(100 * both >= similarity * either).select("a", "b")
 
 
 def _clustered(members: DataFrame) -> DataFrame:
     """Members with ``g``, the cluster of all members that buckets connect: only members of
     one cluster ever meet."""
-    least = members.groupBy("key").agg(F.min("rep").alias("least"))
-    ties = members.join(least, "key").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
+    least = members.groupBy("key").agg(F.min("rep").alias("least"), F.max("salts").alias("salts"))
+    ties = members.drop("salts").join(parts.each_part(least), ["key", "s"]).select(
+        F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
     return members.join(components(ties), F.col("rep") == F.col("node"), "left").withColumn(
         "g", F.coalesce("component", "rep")).drop("node", "component")
 
@@ -204,19 +221,50 @@ def _feasible(similarity: int, rare=None):
     return 100 * shared >= similarity * (F.col("nx") + F.col("ny") - shared)
 
 
-def _meetings(rows: DataFrame, others: DataFrame, similarity: int) -> DataFrame:
-    """Distinct pairs (a < b) of a bucket's members in different components that can link
-    without sharing a rare shingle."""
-    x = rows.select("key", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px"), F.col("c").alias("cx"))
-    y = others.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"), F.col("c").alias("cy"))
-    return x.join(y, (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & _feasible(similarity)).select(
+def _side(rows: DataFrame, name: str, on: list[str]) -> DataFrame:
+    return rows.select(*on, F.col("rep").alias(name), *[F.col(c).alias(c + name) for c in ("n", "p", "c")])
+
+
+def _meetings(rows: DataFrame, pivots: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs (a < b) of a bucket's members and its pivots, in different components,
+    that can link without sharing a rare shingle."""
+    on = ["key", "s"]
+    met = _side(rows, "x", on).join(_side(parts.each_part(pivots), "y", on), on)
+    return met.where((F.col("cx") != F.col("cy")) & _feasible(similarity)).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _last_meetings(rows: DataFrame, similarity: int) -> DataFrame:
+    """As ``_meetings``, of all members of a bucket with each other.
+
+    ``_feasible`` can only hold if each set's rest is at least the similarity of the set,
+    and the larger set at most 1 / similarity times the smaller. So members with too many
+    rare shingles stay away, and members meet those of their own and the next level of size.
+    More than ``CELL`` members of a level are dealt to a row of a square (as the smaller
+    set) and to a column (as the larger); each two meet in one cell, with about ``CELL``
+    members on either side.
+    """
+    step = math.log(100 / similarity) + 1e-6
+    able = rows.where(100 * (F.col("n") - F.col("p")) >= similarity * F.col("n")).withColumn(
+        "level", F.floor(F.log(F.col("n").cast("double")) / step))
+    seeking = able.withColumn("level", F.explode(F.array(F.col("level"), F.col("level") + 1)))
+    crowds = parts.each_part(seeking.groupBy("key", "level").agg(
+        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("side"), F.max("salts").alias("salts"))).drop("salts")
+
+    def placed(members: DataFrame, name: str, own: str, all_of: str) -> DataFrame:
+        at = members.join(crowds, ["key", "level", "s"]).withColumn(own, parts.part_of("rep", F.col("side")))
+        return _side(at.withColumn(all_of, F.explode(F.sequence(F.lit(0), F.col("side") - 1))), name, on)
+
+    on = ["key", "level", "across", "down"]
+    met = placed(seeking, "x", "across", "down").join(placed(able, "y", "down", "across"), on)
+    return met.where((F.struct("nx", "x") < F.struct("ny", "y")) & (F.col("cx") != F.col("cy"))
+                     & _feasible(similarity)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _pivots(rows: DataFrame, order: list) -> DataFrame:
     """The first members of each bucket in each of the given orders (no list of members is
     gathered: every order is one minimum)."""
-    member = F.struct("rep", "n", "p", "c")
+    member = F.struct("rep", "n", "p", "c", "salts")
     least = rows.groupBy("key").agg(*[F.min(F.struct(o.alias("o"), member.alias("m"))).alias(f"m{i}")
                                       for i, o in enumerate(order)])
     return least.select("key", F.explode(F.array_distinct(F.array(*[
@@ -227,8 +275,18 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components, with their component."""
     labelled = members.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
         "c", F.coalesce("component", "rep")).drop("node", "component")
-    spread = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    return stored(labelled.join(spread.select("key"), "key"), "open-members")
+    spread = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                         F.max("salts").alias("salts")).where("lo <> hi")
+    return stored(labelled.join(parts.each_part(spread).select("key", "s"), ["key", "s"]), "open-members")
+
+
+def _bucket_members(entries: DataFrame) -> DataFrame:
+    """The entries of buckets with two members or more, dealt in parts: part ``s`` of the
+    bucket's ``salts``."""
+    shared = stored(entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"),
+                                               F.count(F.lit(1)).alias("m")).where("lo <> hi").select("key", "m"), "buckets")
+    total = shared.agg(F.sum("m")).first()[0] or 0
+    return parts.joined(entries, shared.select("key", parts.salts(F.col("m"), total).alias("salts")), "key", "rep")
 
 
 def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = BANDS,
@@ -247,9 +305,7 @@ def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = B
     classes = (sigs.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
                .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
     entries = classes.select(F.explode("keys").alias("key"), "rep", F.col("n_shingles").alias("n"))
-    shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
-    members = stored(entries.join(shared.select("key"), "key").select(
-        "key", "rep", "n", F.lit(0).cast("long").alias("p")), "bucket-members")
+    members = stored(_bucket_members(entries).withColumn("p", F.lit(0).cast("long")), "bucket-members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = _named(docs).join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     sets = stored(_sets(texts, words), "shingle-sets")
@@ -269,10 +325,10 @@ def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = B
         share = F.floor(F.col("p") * 1_000_000 / F.col("n"))
         central = [F.struct(F.floor(share / 10 ** i), F.xxhash64(F.lit(i), "rep")) for i in range(pivots)]
         for r in range(2):
-            others = _pivots(members, central) if r == 0 else members
-            meet = _meetings(members, others, similarity)
-            if r == 1:
-                meet = meet.union(_sharing_rare(members, rare, similarity)).distinct()
+            if r == 0:
+                meet = _meetings(members, _pivots(members, central), similarity)
+            else:
+                meet = _last_meetings(members, similarity).union(_sharing_rare(members, rare, similarity)).distinct()
             more = stored(meet.join(pairs, ["a", "b"], "left_anti"), "pairs")
             pairs = pairs.unionByName(more)
             found = found.unionByName(stored(_confirmed(more, sets, similarity), "links"))

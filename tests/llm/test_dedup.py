@@ -5,6 +5,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from riskloom.llm import minhash
+from riskloom.llm import parts as dealing
 from riskloom.llm.common import table
 from riskloom.llm.components import components
 from riskloom.llm.minhash import drop_near_duplicates, near_duplicates, superminhash
@@ -47,6 +51,51 @@ def test_near_duplicates_of_edited_copies(spark):
     assert 1 < len(set(got.values())) < 90
 
 
+def test_hot_buckets_and_pivots_are_dealt_without_losing_pairs(spark, monkeypatch):
+    """Parts never hold more than their share, and all settings find the same links."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(x if rng.random() > 0.03 else f"x{i}_{j}" for j, x in enumerate(base))) for i in range(120)]
+    rows += [(200 + i, " ".join(f"v{i}_{j}" for j in range(40)) + (" end" if i % 2 else "")) for i in range(30)]
+    rows += [(300 + i, t + " more") for i, (_, t) in enumerate(rows[-30:])]
+    docs = documents(spark, rows)
+    found = {}
+    for parts in (1, 7, 4096):
+        monkeypatch.setattr(dealing, "PARTS", parts)
+        monkeypatch.setattr(minhash, "CELL", 9 if parts == 7 else 1024)
+        found[parts] = sorted((r["doc_id"], r["component_id"]) for r in near_duplicates(docs, words=2).collect())
+        entries = minhash.signatures(docs, 2).select(
+            F.explode("keys").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
+        members = minhash._bucket_members(entries).cache()
+        total, buckets = members.count(), members.select("key").distinct().count()
+        assert members.select("key", "salts").distinct().groupBy().sum("salts").first()[0] <= buckets + parts
+        assert members.where("s < 0 or s >= salts").count() == 0
+        assert members.groupBy("key").count().count() == buckets and total == entries.join(
+            entries.groupBy("key").count().where("count > 1"), "key").count()
+        members.unpersist()
+    assert found[1] == found[7] == found[4096]
+    sizes, top = near_components(rows, 2, 80)
+    assert [c for _, c in found[1]] == [min(i for (i, _), t in zip(rows, top) if t == u) for u in top]
+
+
+@pytest.mark.parametrize("cell", [4, 1024])
+def test_last_round_meets_all_that_can_link(spark, monkeypatch, cell):
+    """Every pair of a bucket that the bound lets through meets, in whatever level or part."""
+    monkeypatch.setattr(minhash, "CELL", cell)
+    rng = np.random.default_rng(3)
+    members = [(int(k), int(r), int(n), int(rng.integers(0, n // 3 + 1)), int(r), int(salts), int(r) % int(salts))
+               for r, (k, n, salts) in enumerate(zip(np.repeat([1, 2], 60), rng.integers(1, 40, 120), np.repeat([50, 1], 60)))]
+    frame = spark.createDataFrame(members, "key long, rep long, n long, p long, c long, salts int, s int")
+    got = {(r["a"], r["b"]) for r in minhash._last_meetings(frame, 80).collect()}
+    want = set()
+    for x in members:
+        for y in members:
+            rest = min(x[2] - x[3], y[2] - y[3])
+            if x[0] == y[0] and x[1] < y[1] and 100 * rest >= 80 * (x[2] + y[2] - rest):
+                want.add((x[1], y[1]))
+    assert got == want and len(want) > 50
+
+
 def test_near_duplicates_keep_one_row_and_all_columns(spark):
     docs = edges(spark)
     kept = drop_near_duplicates(docs, words=2)
