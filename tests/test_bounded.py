@@ -1,8 +1,10 @@
 """What is stored, held and sent follows rows, not pairs or trees."""
 import os
+import pickle
 
 import numpy as np
 
+from riskloom.operators import trees as T
 from riskloom.operators.knn import knn
 
 
@@ -26,3 +28,25 @@ def test_knn_shuffles_rows_not_pairs_of_queries_and_blocks(spark):
     np.fill_diagonal(d, np.inf)
     want = np.argsort(d, axis=1)[:, :3]
     assert got == {(i, r + 1): int(want[i, r]) for i in range(900) for r in range(3)}
+
+
+def test_large_forests_stay_in_files_and_a_task_grows_few_trees_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 4))
+    y = (x[:, 0] + rng.normal(size=2000) > 0).astype(np.int64)
+    ids = np.arange(2000)
+    rows = spark.createDataFrame([(int(i), int(k), r.tolist()) for i, k, r in zip(ids, y, x)], "ID long, label int, features array<double>")
+    spec = T.Spec("forest", trees=60, node_features="sqrt", bins=64)
+    want = T.fit_arrays(x, y, ids, spec, 5)
+    model, = T.fit_many([(rows, spec, 5)])
+    assert len(pickle.dumps(model)) < 10_000 < len(pickle.dumps(want))  # what the driver holds and every task is sent
+    got = {r["ID"]: r["proba"] for r in T.add_proba(rows, model).select("ID", "proba").collect()}
+    assert all(got[i] == p for i, p in zip(ids.tolist(), want.proba(x)))
+
+    asked = []
+    grow = T.forest_trees
+    monkeypatch.setattr(T, "ENTRIES", 6000)
+    monkeypatch.setattr(T, "forest_trees", lambda *a: asked.append(len(a[6])) or grow(*a))
+    again = T.fit_arrays(x, y, ids, spec, 5)
+    assert asked == [3] * 20
+    assert all(np.array_equal(u, v) for s, t in zip(again.trees, want.trees) for u, v in zip(s, t))
