@@ -4,8 +4,10 @@ import pickle
 
 import numpy as np
 
+from riskloom.operators import knn as K
 from riskloom.operators import trees as T
 from riskloom.operators.knn import knn
+from riskloom.session import ship
 
 
 def _shuffled_bytes(spark):
@@ -50,3 +52,15 @@ def test_large_forests_stay_in_files_and_a_task_grows_few_trees_at_a_time(spark,
     again = T.fit_arrays(x, y, ids, spec, 5)
     assert asked == [3] * 20
     assert all(np.array_equal(u, v) for s, t in zip(again.trees, want.trees) for u, v in zip(s, t))
+
+
+def test_blocks_out_of_reach_are_not_read(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    x = rng.random((40, 2))
+    near = tmp_path / "near"
+    near.write_bytes(np.arange(40).tobytes() + x.tobytes())
+    queries = spark.createDataFrame([(i, r.tolist(), 0) for i, r in enumerate(x)], "ID long, features array<double>, block int")
+    units = [[(str(near), 40)], [(str(tmp_path / "absent"), 40)]]
+    ship(spark)
+    got = K._reachable(queries, np.array([[0.5, 0.5], [100.0, 100.0]]), np.array([1.0, 1.0]), units, 3, True).collect()
+    assert len(got) == 120 and all(r["qid"] != r["nid"] for r in got)
