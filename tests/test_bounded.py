@@ -3,11 +3,13 @@ import os
 import pickle
 
 import numpy as np
+import pytest
 
 from riskloom.operators import knn as K
 from riskloom.operators import trees as T
 from riskloom.operators.knn import knn
 from riskloom.session import ship
+from tests.conftest import SF
 
 
 def _shuffled_bytes(spark):
@@ -64,3 +66,17 @@ def test_blocks_out_of_reach_are_not_read(spark, tmp_path):
     ship(spark)
     got = K._reachable(queries, np.array([[0.5, 0.5], [100.0, 100.0]]), np.array([1.0, 1.0]), units, 3, True).collect()
     assert len(got) == 120 and all(r["qid"] != r["nid"] for r in got)
+
+
+@pytest.mark.parametrize("query", ["j9_segment_hist", "j9_segment_cuts", "j10_honest_transfer", "j11_segment_predictions"])
+def test_segment_queries_derive_the_panel_once(spark, monkeypatch, query):
+    from riskloom.plans import queries as Q
+    from riskloom.sources import panel
+    made, real = [], panel.credit_panel
+
+    def counted(*args):
+        made.append(args)
+        return real(*args)
+    monkeypatch.setattr(panel, "credit_panel", counted)
+    getattr(Q, query)(spark, SF)
+    assert len(made) == 1
