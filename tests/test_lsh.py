@@ -117,3 +117,33 @@ def test_two_writers_get_two_numbers_and_two_rows(spark, tmp_path):
     assert not errors and sorted(numbers) == [1, 2, 3, 4]
     assert sorted(r["n"] for r in spark.read.parquet(f"{root}/ledger").collect()) == [1, 2, 3, 4]
     assert sink.emit_submission(spark, sub, ids, root, "after") == 5
+
+
+def test_meeting_stores_rows_not_pairs_of_queries_and_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    kept, real = [], lsh.cut_lineage
+
+    def counted(df):
+        out = real(df)
+        kept.append(out.count())
+        return out
+    monkeypatch.setattr(lsh, "cut_lineage", counted)
+    x = _rows(spark, rng.normal(size=(1500, 6)))
+    assert lsh.knn_lsh(x, x, 5, bucket_rows=40).count() == 5 * 1500
+    assert max(kept) <= (5 + 1) * 1500
+
+
+def test_near_copies_far_from_the_origin_are_told_apart(spark):
+    """Vectors whose squares dwarf their distances: the product only proposes."""
+    rng = np.random.default_rng(10)
+    x = np.repeat(rng.normal(size=(8, 4)) * 1e5, 60, axis=0) + rng.integers(0, 40, size=(480, 4))
+    got, want = _lists(lsh.knn_lsh(_rows(spark, x), _rows(spark, x), 5)), _exact(x, x, 5)
+    assert all([round(got[i][r][1], 6) for r in range(1, 6)] == [round(float(((x[i] - x[j]) ** 2).sum()), 6) for j in want[i]]
+               for i in range(len(x)))
+
+
+def test_a_repeated_id_keeps_its_vectors_apart(spark):
+    q = spark.createDataFrame([(1, [0.0, 0.0]), (1, [10.0, 10.0])], FEATURES)
+    t = spark.createDataFrame([(5, [0.0, 1.0]), (6, [10.0, 11.0])], FEATURES)
+    assert sorted((r["nid"], r["dist2"]) for r in lsh.knn_lsh(q, t, 1, False, bucket_rows=1).collect()) == [(5, 1.0)]
+    assert sorted((r["nid"], r["dist2"]) for r in lsh.knn_lsh(q, t, 2, False).collect()) == [(5, 1.0), (6, 1.0)]
