@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.knn import PARTIAL, _matrix, _squared, knn
+from riskloom.operators.knn import PARTIAL, PROPOSED, _matrix, _squared, knn
 from riskloom.session import cut_lineage, open_output, open_shared, scratch_path, ship
 
 SLICE = 1024
@@ -277,6 +277,11 @@ class _Units:
         return m[:, 0].copy().view(np.int64), m[:, 1:]
 
 
+def _exact(tx: np.ndarray, j: np.ndarray, x: np.ndarray, i: np.ndarray) -> np.ndarray:
+    diff = tx[j] - x[i]
+    return np.einsum("jk,jk->j", diff, diff)
+
+
 def _best(x: np.ndarray, row: np.ndarray, unit: np.ndarray, units, k: int):
     """(row, nid, dist2): the k best targets in the units that each row of ``x`` visits. A
     matrix product proposes, exact distances decide."""
@@ -291,15 +296,24 @@ def _best(x: np.ndarray, row: np.ndarray, unit: np.ndarray, units, k: int):
         near = _squared(x[r], tx)
         # what rounding can move a proposed distance by, both of a pair
         slack = 1e-14 * (8 + x.shape[1]) * (norm[r] + (tx * tx).sum(1).max())
+        # each of the n rows of a repeated ID takes n places of the unit's list
+        repeats = (np.diff(tid) == 0).any()
+        limit = bound[r]
         if len(tid) >= k:
-            bound[r] = np.minimum(bound[r], np.partition(near, k - 1, axis=1)[:, k - 1] + slack)
-        i, j = np.nonzero(near <= (bound[r] + slack)[:, None])
-        for s in range(0, len(i), 1 << 16):
-            r_, t_ = r[i[s:s + (1 << 16)]], j[s:s + (1 << 16)]
-            diff = tx[t_] - x[r_]
-            rows.append(r_)
-            nids.append(tid[t_])
-            dists.append(np.einsum("jk,jk->j", diff, diff))
+            limit = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1] + slack)
+            if not repeats:
+                bound[r] = limit
+        i, j = np.nonzero(near <= (limit + slack)[:, None])
+        d = np.concatenate([np.zeros(0), *(_exact(tx, j[s:s + PROPOSED], x, r[i[s:s + PROPOSED]]) for s in range(0, len(i), PROPOSED))])
+        if repeats:
+            times = (np.searchsorted(tid, tid, "right") - np.searchsorted(tid, tid))[j]
+            i, j, d = (np.repeat(v, times) for v in (i, j, d))
+            order = np.lexsort((tid[j], d, i))
+            order = order[np.arange(len(i)) - np.searchsorted(i[order], i[order]) < k]
+            i, j, d = i[order], j[order], d[order]
+        rows.append(r[i])
+        nids.append(tid[j])
+        dists.append(d)
     row, nid, dist = (np.concatenate(v) for v in (rows, nids, dists))
     order = np.lexsort((nid, dist, row))
     row, nid, dist = row[order], nid[order], dist[order]
