@@ -174,3 +174,16 @@ def test_missing_values_go_right():
     x[::3, 0] = np.nan
     model = T.fit_arrays(x, y, ids, T.Spec("forest", trees=3, depth=4), 1)
     assert np.isfinite(model.proba(x)).all()
+
+
+@pytest.mark.parametrize("weight", [1, 1000])
+def test_sums_by_chunk_are_those_of_whole_columns(weight):
+    rng = np.random.default_rng(3)
+    n = 3 * T.CHUNK + 77
+    bins = np.asfortranarray(rng.integers(0, 60, (n, 4)).astype(np.uint8))
+    bins[:, 1] %= 2
+    bins[:, 2] = 0
+    g, h = np.round(rng.normal(size=n) * T.SCALE) * weight, np.round(rng.random(n) * T.SCALE / 4) * weight
+    for rows in (np.arange(n), np.arange(9, T.CHUNK + 9), np.flatnonzero(rng.random(n) < 0.3)):
+        want = [[np.bincount(bins[rows, j], s, 64) for j in range(4)] for s in (None, g[rows], h[rows])]
+        assert np.array_equal(T._sums_by_chunk(bins, rows, g, h, 64)[0], want)
