@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import stored
+from riskloom.llm.common import discard, stored
 
 
 def _digest(edges: DataFrame):
@@ -19,22 +19,22 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     Alternating star contraction: every node hands its larger neighbours (then its
     smaller ones) to the smallest node it sees, until all links point at the smallest
     node of their component. Each step is a partial aggregate and a join on the node,
-    so the links of a hot node are split across tasks.
+    so the links of a hot node are split across tasks. Neither step makes more than two
+    rows of a link, so links are told apart once a round; a round's table goes when the
+    next one is written.
     """
     edges = stored(_smaller(links.where("a <> b")), "links")
     seen = _digest(edges)
     if seen[0] == 0:
         return edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = _each(edges, ("a", "b"), ("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a <> b")
         down = large.groupBy("b").agg(F.min("a").alias("m"))
-        moved = large.join(down, "b")
-        small = moved.select(F.col("m").alias("x"), F.col("a").alias("y")).union(
-            moved.select(F.col("m").alias("x"), F.col("b").alias("y")))
-        edges = stored(_smaller(small.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b")),
-                       "links")
+        small = _each(large.join(down, "b"), ("m", "a"), ("m", "b"))
+        last, edges = edges, stored(_smaller(small.where("a <> b")), "links")
+        discard(last)
         now = _digest(edges)
         if now == seen:
             break
@@ -45,5 +45,11 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
             .union(edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct())
 
 
+def _each(rows: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """A link (a, b) for every row and pair of its columns, in one pass over ``rows``."""
+    return rows.select(F.explode(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in ends])).alias(
+        "link")).select("link.*")
+
+
 def _smaller(links: DataFrame) -> DataFrame:
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts
-from riskloom.llm.common import WordHasher, mix64, run_index, ship, slices, stored, text_bytes
+from riskloom.llm.common import WordHasher, discard, mix64, run_index, ship, slices, stored, text_bytes
 from riskloom.llm.components import components
 
 BANDS, ROWS = 42, 6
@@ -271,6 +271,11 @@ def _pivots(rows: DataFrame, order: list) -> DataFrame:
         F.col(f"m{i}.m") for i in range(len(order))]))).alias("m")).select("key", "m.*")
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """Links that connect what ``labels`` name as one component."""
+    return labels.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
+
+
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that still hold several components, with their component."""
     labelled = members.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
@@ -281,12 +286,15 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _bucket_members(entries: DataFrame) -> DataFrame:
-    """The entries of buckets with two members or more, dealt in parts: part ``s`` of the
-    bucket's ``salts``."""
+    """The entries of buckets with two members or more, stored and dealt in parts: part ``s``
+    of the bucket's ``salts``; ``p``, rare shingles, is not known yet."""
     shared = stored(entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"),
                                                F.count(F.lit(1)).alias("m")).where("lo <> hi").select("key", "m"), "buckets")
     total = shared.agg(F.sum("m")).first()[0] or 0
-    return parts.joined(entries, shared.select("key", parts.salts(F.col("m"), total).alias("salts")), "key", "rep")
+    dealt = parts.joined(entries, shared.select("key", parts.salts(F.col("m"), total).alias("salts")), "key", "rep")
+    members = stored(dealt.withColumn("p", F.lit(0).cast("long")), "bucket-members")
+    discard(shared)
+    return members
 
 
 def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = BANDS,
@@ -305,7 +313,7 @@ def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = B
     classes = (sigs.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
                .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
     entries = classes.select(F.explode("keys").alias("key"), "rep", F.col("n_shingles").alias("n"))
-    members = stored(_bucket_members(entries).withColumn("p", F.lit(0).cast("long")), "bucket-members")
+    members = _bucket_members(entries)
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = _named(docs).join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     sets = stored(_sets(texts, words), "shingle-sets")
@@ -315,13 +323,17 @@ def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = B
     found = stored(_confirmed(pairs, sets, similarity), "links")
     labels = components(found)
 
+    used = [members, sets, pairs, found]
     members = _unsettled(members, labels)
+    used.append(members)
     if not members.isEmpty():
         members = stored(_clustered(members), "clustered")
+        used.append(members)
         rare = _rare_shingles(members, sets, rare_in)
         held = rare.groupBy("rep").agg(F.count(F.lit(1)).alias("p"))
         members = stored(members.drop("p").join(held, "rep", "left").withColumn(
             "p", F.coalesce("p", F.lit(0).cast("long"))), "open-members")
+        used += [rare, members]
         share = F.floor(F.col("p") * 1_000_000 / F.col("n"))
         central = [F.struct(F.floor(share / 10 ** i), F.xxhash64(F.lit(i), "rep")) for i in range(pivots)]
         for r in range(2):
@@ -331,10 +343,13 @@ def linked(docs: DataFrame, words: int = 5, similarity: int = 80, bands: int = B
                 meet = _last_meetings(members, similarity).union(_sharing_rare(members, rare, similarity)).distinct()
             more = stored(meet.join(pairs, ["a", "b"], "left_anti"), "pairs")
             pairs = pairs.unionByName(more)
-            found = found.unionByName(stored(_confirmed(more, sets, similarity), "links"))
-            labels = components(found)
+            found = stored(_confirmed(more, sets, similarity), "links")
+            labels = components(_stars(labels).unionByName(found))
+            used += [more, found]
             if r == 0:
                 members = _unsettled(members.drop("c"), labels)
+                used.append(members)
+    discard(*used)
     by_class = classes.select("set_a", "set_b", F.col("n_shingles").alias("n"), "rep").join(
         labels, F.col("rep") == F.col("node"), "left").select(
         "set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
