@@ -29,6 +29,7 @@ from riskloom.llm.rules import let
 
 WEIGHT = 2**31 - 1  # low bits of a shingle's hash that hold its weight: no string is longer
 KEY = ["doc_id", "body"]
+HASHES = 1 << 20  # numbers that keys are told apart by before they are joined
 
 
 def words_of(text: Column) -> Column:
@@ -103,6 +104,25 @@ def _starts(hits: DataFrame, words: int, similarity: int) -> DataFrame:
         *KEY, "n", "least", "held", "lo", "hi")
 
 
+def _met(texts: DataFrame, windows: DataFrame) -> DataFrame:
+    """The texts that may have a window, so that the join ships few others: their hash falls on
+    one of ``HASHES`` numbers that a window's does. That list is bounded, whatever the tables hold."""
+    number = F.pmod(F.xxhash64(*KEY), F.lit(HASHES)).cast("int").alias("number")
+    return texts.withColumn("number", number).join(
+        F.broadcast(windows.select(number).distinct()), "number", "left_semi").drop("number")
+
+
+def _runs(grams: Column, words: int) -> Column:
+    """The runs of window starts of a text, each with the shingles of its own windows only: what
+    is dealt out start by start does not hold the text."""
+    def one(x: Column) -> Column:
+        lo = F.greatest(F.lit(0), x["lo"])
+        hi = F.least(x["hi"] - 1, F.greatest(F.lit(0), F.size(grams) + words - 1 - x["n"]))
+        return F.struct(x["n"].alias("n"), x["least"].alias("least"), x["held"].alias("held"), lo.alias("lo"), hi.alias("hi"),
+                        F.slice(grams, lo + 1, F.greatest(F.lit(0), hi - lo + x["n"] - words + 1)).alias("grams"))
+    return F.transform("windows", one)
+
+
 def _held(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int = 80,
           radius: int = 18) -> DataFrame:
     """One row per text, item and window that reaches the similarity."""
@@ -120,14 +140,14 @@ def _held(docs: DataFrame, benchmark: DataFrame, words: int = 5, similarity: int
     grams = texts.select(*KEY, F.posexplode(let(words_of(F.col("text")), lambda w: _grams(w, words)))
                          .alias("place", "gram"))
     windows = _starts(grams.join(item_grams, "gram"), words, similarity)
-    windows = windows.groupBy(*KEY).agg(F.collect_list(F.struct("n", "least", "held", "lo", "hi")).alias("windows"))
-    found = texts.join(windows, KEY).select(*KEY, "windows", words_of(F.col("text")).alias("w"))
-    cut = found.select(*KEY, "w", F.inline("windows")).select(
-        *KEY, "w", "n", "least", "held", F.greatest(F.lit(0), "lo").alias("lo"),
-        F.least(F.col("hi") - 1, F.greatest(F.lit(0), F.size("w") - F.col("n"))).alias("hi")).where("lo <= hi")
-    cut = cut.withColumn("s", F.explode(F.sequence("lo", "hi"))).select(
+    windows = stored(windows.groupBy(*KEY).agg(F.collect_list(F.struct("n", "least", "held", "lo", "hi")).alias("windows")),
+                     "runs")
+    found = _met(texts, windows).join(windows, KEY)
+    cut = found.select(*KEY, F.inline(let(
+        let(words_of(F.col("text")), lambda w: _weighed(w, words)), lambda grams: _runs(grams, words))))
+    cut = cut.where("lo <= hi").withColumn("s", F.explode(F.sequence("lo", "hi"))).select(
         *KEY, "s", "n", "least", "held",
-        _features(F.slice("w", F.col("s") + 1, F.col("n")), words).alias("features"))
+        F.array_distinct(F.slice("grams", F.col("s") - F.col("lo") + 1, F.col("n") - words + 1)).alias("features"))
     cut = cut.where(100 * F.col("held") >= similarity * (_weight(F.col("features")) + F.col("least") - F.col("held")))
     cut = cut.drop("least", "held")
     cut = stored(cut.distinct().withColumn("fp", simhash(F.col("features"))), "windows")

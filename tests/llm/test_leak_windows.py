@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import table
-from riskloom.llm.decontam import _features, _held, _weight, leaks, simhash, without_leaks, words_of
+from riskloom.llm.decontam import _features, _held, _met, _runs, _weighed, _weight, leaks, simhash, without_leaks, words_of
 from riskloom.llm.minhash import drop_near_duplicates
 from tests.conftest import SF
 from tests.llm import brute
@@ -109,3 +109,21 @@ def test_the_radius_loses_no_pair_of_the_test_tables(spark):
     pairs = [{(r["doc_id"], r["body"], r["item_id"]) for r in _held(
         table(spark, SF, "documents"), table(spark, SF, "benchmark"), radius=radius).collect()} for radius in (18, 63)]
     assert pairs[0] == pairs[1] and pairs[0]
+
+
+def test_only_texts_with_windows_travel_and_only_their_runs(spark):
+    """What is joined and dealt out follows the windows found, not the length or number of texts."""
+    rng = random.Random(8)
+    item = _text(rng, 20)
+    leaky = " ".join(_text(rng, 3000) + item + _text(rng, 3000))
+    texts = documents(spark, [(1, leaky)] + [(i, " ".join(_text(rng, 10))) for i in range(2, 300)]).select(
+        "doc_id", "text", F.xxhash64("text").alias("body"))
+    runs = "array<struct<n: int, least: long, held: long, lo: int, hi: int>>"
+    windows = texts.where("doc_id = 1").select("doc_id", "body", F.expr(f"from_json('[{{\"n\":20,\"lo\":2995,\"hi\":3005}}]', '{runs}')").alias("windows"))
+    met = _met(texts, windows)
+    assert met.where("doc_id = 1").count() == 1 and met.count() < 30
+    run = met.join(windows, ["doc_id", "body"]).withColumn("w", words_of(F.col("text"))).select(
+        F.inline(_runs(_weighed(F.col("w"), 5), 5))).collect()
+    assert [(r["lo"], r["hi"], len(r["grams"])) for r in run] == [(2995, 3004, 3004 - 2995 + 20 - 4)]
+    got = leaks(documents(spark, [(1, leaky)]), spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()
+    assert [(r["doc_id"], r["first_word"], r["n_words"], r["similarity"]) for r in got] == [(1, 3000, 20, 1.0)]
