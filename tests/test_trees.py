@@ -187,3 +187,90 @@ def test_sums_by_chunk_are_those_of_whole_columns(weight):
     for rows in (np.arange(n), np.arange(9, T.CHUNK + 9), np.flatnonzero(rng.random(n) < 0.3)):
         want = [[np.bincount(bins[rows, j], s, 64) for j in range(4)] for s in (None, g[rows], h[rows])]
         assert np.array_equal(T._sums_by_chunk(bins, rows, g, h, 64)[0], want)
+
+
+def _table(n=700, seed=3):
+    rng = np.random.default_rng(seed)
+    x = np.c_[rng.normal(size=(n, 4)).round(2), rng.integers(0, 2, (n, 2)), rng.integers(0, 9, (n, 2))].astype(float)
+    y = (x[:, 0] + x[:, 6] / 4 + rng.normal(size=n) > 1).astype(np.int64)
+    return x, y, np.arange(n) * 7 + 1
+
+
+def _plain(model):
+    return [[a.tolist() for a in t] for t in model.trees]
+
+
+@pytest.mark.parametrize("spec", [
+    T.Spec(trees=4, bins=64, node_features="sqrt", weights="balanced"), T.Spec(trees=3, bins=32, leaf_rows=5, node_features=0.5, impurity="entropy"),
+    T.Spec("extra", trees=4, node_features="sqrt", bootstrap=False, weights="balanced_subsample")])
+def test_forests_do_not_depend_on_how_entries_are_cut(spec, monkeypatch):
+    """Pieces of one run, of a few entries, and (``LEVEL_BYTES``) of few nodes grow the same trees."""
+    x, y, ids = _table()
+    whole = _plain(T.fit_arrays(x, y, ids, spec, 5))
+    monkeypatch.setattr(T, "PIECE", 40)
+    assert _plain(T.fit_arrays(x, y, ids, spec, 5)) == whole
+    monkeypatch.setattr(T, "LEVEL_BYTES", 1)
+    assert _plain(T.fit_arrays(x, y, ids, spec, 5)) == whole
+
+
+def test_sparse_splits_are_those_of_histograms():
+    """One piece looks at filled bins only; ``best_splits`` at all bins."""
+    rng = np.random.default_rng(1)
+    m, k, width = 6, 3, 16
+    spec = T.Spec(leaf_rows=2, split_rows=4)
+    feats = np.sort(rng.permuted(np.tile(np.arange(8), (m, 1)), axis=1)[:, :k], axis=1)
+    weights = np.round(np.array([[1.3, 0.7]] * m) * T.SCALE)
+    pos = np.sort(rng.integers(0, m, 90))
+    bins = rng.integers(0, width, (90, k))
+    c, y = rng.integers(1, 4, 90), rng.integers(0, 2, 90)
+    at = (pos[:, None] * k + np.arange(k)) * width + bins
+    sums = np.bincount(at.ravel(), np.repeat(T._packed(c, y), k), m * k * width)
+    hist = np.stack(T._unpacked(sums.reshape(m, k, width)), axis=1)
+    hist[:, 1:] *= weights[:, :, None, None]
+    got = T._sparse_splits(sums, feats, width, weights, spec)
+    want = T.level_splits(np.arange(m), feats, hist, np.zeros((8, width)), spec, 0, 0)
+    assert (got[0] > 0).any()
+    for a, b in zip(got, want):
+        assert np.array_equal(a[got[0] > 0], b[got[0] > 0])
+    assert np.array_equal(got[0], want[0]) and np.array_equal(got[4], want[4])
+
+
+@pytest.mark.parametrize("spec", [T.Spec("boost", trees=6, leaf_rows=5, impurity="newton", rows=0.7), T.Spec("boost", trees=6, leaves=4, depth=2, impurity="newton"),
+                                  T.Spec("boost", trees=25, leaf_rows=5, held_out=0.2, step=0.5, impurity="newton")])
+def test_leaves_known_from_growth_are_those_of_routing(spec, monkeypatch):
+    x, y, ids = _table()
+    known = _plain(T.fit_arrays(x, y, ids, spec, 5))
+    grow = T.leafwise_tree
+
+    def routed(bins, rows, g, h, width, spec, seed, number, leaf):
+        tree = grow(bins, rows, g, h, width, spec, seed, number)
+        leaf[:] = tree.route(bins)
+        return tree
+    monkeypatch.setattr(T, "leafwise_tree", routed)
+    assert _plain(T.fit_arrays(x, y, ids, spec, 5)) == known
+
+
+def test_oblivious_levels_from_siblings_are_those_of_all_rows(monkeypatch):
+    """The smaller sibling is summed, the other is what its parent leaves; chunks add up."""
+    x, y, ids = _table()
+    edges = T.bin_edges(x, 16)
+    bins = np.asfortranarray(T.binned(x, edges))
+    rows = np.flatnonzero(ids % 5 > 0)
+    raw, w = np.full(len(y), -0.3), np.ones(len(y))
+    spec = T.Spec("oblivious", depth=5, leaf_hessian=0.0, l2=3.0, impurity="newton")
+    path, leaf = T._grow_oblivious(bins, rows, raw, y, w, 16, spec)
+    g, h = T._gradients(raw, y, w)
+    want = []
+    for _ in range(spec.depth):
+        at = T._leaf_of(bins, want)
+        hist = np.stack([T._whole_histogram(bins, rows[at[rows] == i], g, h, 16)[0] for i in range(1 << len(want))])
+        gain, j, b = T.best_level(hist, spec)
+        if gain <= 0:
+            break
+        want.append((j, b))
+    assert path == want and len(path) > 2 and np.array_equal(leaf, T._leaf_of(bins, path))
+    monkeypatch.setattr(T, "CHUNK", 50)
+    assert T._grow_oblivious(bins, rows, raw, y, w, 2, T.Spec("oblivious", depth=0))[0] == []
+    small = T._leaf_histograms(bins, rows, leaf, 1 << len(path), g, h, 16)
+    monkeypatch.setattr(T, "CHUNK", 1 << 14)
+    assert np.array_equal(small, T._leaf_histograms(bins, rows, leaf, 1 << len(path), g, h, 16))
