@@ -80,3 +80,37 @@ def test_segment_queries_derive_the_panel_once(spark, monkeypatch, query):
     monkeypatch.setattr(panel, "credit_panel", counted)
     getattr(Q, query)(spark, SF)
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("offset,spread", [(0, 1), (1e6, 1), (0, 1e5), (-3e8, 2e5), (0, 1e-9), (0, 1e20)])
+def test_rough_distances_keep_to_their_slack(offset, spread):
+    """What proposes neighbours is single precision; no true distance lies beyond its slack."""
+    from riskloom.operators import knn as K
+    rng = np.random.default_rng(4)
+    t = offset + spread * rng.normal(size=(300, 12))
+    q = np.r_[t[:40] * (1 + 1e-12), offset + spread * rng.normal(size=(60, 12))]
+    exact = ((q[:, None] - t[None]) ** 2).sum(2)
+    seen = 0
+    for run, near, slack in K._rough(q, t):
+        assert (np.abs(near - exact[run]) <= slack[:, None] / 2).all()
+        seen += len(near)
+    assert seen == len(q)
+
+
+@pytest.mark.parametrize("tile", [1 << 18, 64])
+def test_nearest_by_rough_tiles_are_the_exact_ones(tile, monkeypatch):
+    """Near-equal distances, ties and own rows, met unit by unit in tiles of a few queries."""
+    from riskloom.operators import knn as K
+    monkeypatch.setattr(K, "TILE", tile)
+    rng = np.random.default_rng(5)
+    t = np.repeat(1e5 * rng.integers(0, 3, (60, 6)), 4, axis=0) + np.tile([0, 0, 1e-3, 2e-3], 60)[:, None]
+    ids = np.arange(len(t)) * 3 + 1
+    best = K._Best(t[:50], ids[:50], 5, True)
+    for s in range(0, len(t), 70):
+        best.meet(np.arange(50), ids[s:s + 70], t[s:s + 70])
+    diff = (t[None] - t[:50, None]).reshape(-1, 6)
+    exact = np.einsum("jk,jk->j", diff, diff).reshape(50, -1)
+    exact[np.arange(50), np.arange(50)] = np.inf
+    for r in range(50):
+        own = best.row == r
+        assert best.nid[own].tolist() == ids[np.lexsort((ids, exact[r]))[:5]].tolist()
