@@ -149,6 +149,21 @@ def test_stacking_scores_each_id_once(split):
         assert all(0 <= r["proba"] <= 1 for r in rows)
 
 
+def test_stacks_share_their_members(split, monkeypatch):
+    """A member that two stacks name is fitted once for each fold and once for the refit, and
+    each stack scores as if it were alone."""
+    from riskloom.plans import stacking
+    dev, ev = split
+    alone = [stacking.Stacking(m, meta).fit(dev).score(ev).collect() for m, meta in ((["dummy"], "logreg_balanced"),)]
+    jobs = []
+    monkeypatch.setattr(stacking, "fit_together", lambda todo, fit=stacking.fit_together: jobs.extend(todo) or fit(todo))
+    both = stacking.fit_stacks([stacking.Stacking(["dummy"], "logreg_balanced"), stacking.Stacking(["dummy"])], dev)
+    assert len(jobs) == stacking.config.N_SPLITS + 1
+    for stack, want in zip(both[:1], alone):
+        got = {r["ID"]: r["proba"] for r in stack.score(ev).collect()}
+        assert got.keys() == {r["ID"] for r in want} and all(abs(got[r["ID"]] - r["proba"]) < 1e-9 for r in want)
+
+
 @pytest.mark.parametrize("method", ["sigmoid", "isotonic"])
 def test_calibration_is_monotone(spark, method):
     from riskloom.plans.calibrate import CALIBRATORS
